@@ -5,15 +5,26 @@ from __future__ import annotations
 import findery
 from pyspark import cloudpickle
 
-from findery.llm import chat, mixing, urlrules
+from findery.llm import chat, mixing, packing, topk, urlrules
 
 # Functions travel with the job: executors need not have this package installed.
 cloudpickle.register_pickle_by_value(findery)
 
 
 def queries():
-    return {"op4_mixing": mixing.op4_mixing, "op6_chat_formatting": chat.op6_chat_formatting, "op9_url_filters": urlrules.op9_url_filters}
+    return {
+        "op2_packing": packing.op2_packing,
+        "op4_mixing": mixing.op4_mixing,
+        "op6_chat_formatting": chat.op6_chat_formatting,
+        "op8_exact_topk": topk.op8_exact_topk,
+        "op9_url_filters": urlrules.op9_url_filters,
+    }
 
 
 def oracle_sql():
-    return {"op4_mixing": mixing.ORACLE_SQL, "op6_chat_formatting": chat.ORACLE_SQL, "op9_url_filters": urlrules.ORACLE_SQL}
+    return {
+        "op4_mixing": mixing.ORACLE_SQL,
+        "op6_chat_formatting": chat.ORACLE_SQL,
+        "op8_exact_topk": topk.ORACLE_SQL,
+        "op9_url_filters": urlrules.ORACLE_SQL,
+    }
