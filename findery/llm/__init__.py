@@ -5,7 +5,7 @@ from __future__ import annotations
 import findery
 from pyspark import cloudpickle
 
-from findery.llm import chat, mixing, packing, topk, urlrules
+from findery.llm import chat, mixing, packing, passages, topk, urlrules
 
 # Functions travel with the job: executors need not have this package installed.
 cloudpickle.register_pickle_by_value(findery)
@@ -15,6 +15,7 @@ def queries():
     return {
         "op2_packing": packing.op2_packing,
         "op4_mixing": mixing.op4_mixing,
+        "op5_substring_dedup": passages.op5_substring_dedup,
         "op6_chat_formatting": chat.op6_chat_formatting,
         "op8_exact_topk": topk.op8_exact_topk,
         "op9_url_filters": urlrules.op9_url_filters,
@@ -24,6 +25,7 @@ def queries():
 def oracle_sql():
     return {
         "op4_mixing": mixing.ORACLE_SQL,
+        "op5_substring_dedup": passages.ORACLE_SQL,
         "op6_chat_formatting": chat.ORACLE_SQL,
         "op8_exact_topk": topk.ORACLE_SQL,
         "op9_url_filters": urlrules.ORACLE_SQL,
