@@ -5,7 +5,7 @@ from __future__ import annotations
 import findery
 from pyspark import cloudpickle
 
-from findery.llm import chat, mixing, packing, passages, topk, urlrules
+from findery.llm import chat, mixing, ngramjoin, packing, passages, topk, urlrules
 
 # Functions travel with the job: executors need not have this package installed.
 cloudpickle.register_pickle_by_value(findery)
@@ -13,6 +13,7 @@ cloudpickle.register_pickle_by_value(findery)
 
 def queries():
     return {
+        "op1_ngram_jaccard": ngramjoin.op1_ngram_jaccard,
         "op2_packing": packing.op2_packing,
         "op4_mixing": mixing.op4_mixing,
         "op5_substring_dedup": passages.op5_substring_dedup,
@@ -24,6 +25,7 @@ def queries():
 
 def oracle_sql():
     return {
+        "op1_ngram_jaccard": ngramjoin.ORACLE_SQL,
         "op4_mixing": mixing.ORACLE_SQL,
         "op5_substring_dedup": passages.ORACLE_SQL,
         "op6_chat_formatting": chat.ORACLE_SQL,
