@@ -5,7 +5,7 @@ from __future__ import annotations
 import findery
 from pyspark import cloudpickle
 
-from findery.llm import chat, mixing, ngramjoin, packing, passages, topk, urlrules
+from findery.llm import chat, langid, mixing, ngramjoin, packing, passages, topk, urlrules
 
 # Functions travel with the job: executors need not have this package installed.
 cloudpickle.register_pickle_by_value(findery)
@@ -15,6 +15,7 @@ def queries():
     return {
         "op1_ngram_jaccard": ngramjoin.op1_ngram_jaccard,
         "op2_packing": packing.op2_packing,
+        "op3_language_id": langid.op3_language_id,
         "op4_mixing": mixing.op4_mixing,
         "op5_substring_dedup": passages.op5_substring_dedup,
         "op6_chat_formatting": chat.op6_chat_formatting,
