@@ -32,13 +32,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window as W
 
 from findery.llm.components import components
-from findery.llm.words import mix, windows, words
+from findery.llm.words import mix, slices, windows, words
 from findery.scratch import materialize, shuffle_partitions
 
 SIZE, NUM, DEN = 5, 4, 5
-GROUP, HOT, PART = 256, 512, 1 << 22
+GROUP, HOT, PART, SLICE = 256, 512, 1 << 22, 1 << 23
 _KEY = 12
 
 
@@ -71,7 +72,7 @@ def _info(size: int):
     """Per document its id, set size and key; per batch the shingles that many of its sets have, with their number (a null key)."""
 
     def run(batches):
-        for b in batches:
+        for b in slices(batches, "text", SLICE):
             n, key, distinct = [0] * len(b), [None] * len(b), {}
             for row, s in _sets(b["text"], size):
                 n[row], key[row] = len(s), _key(s)
@@ -81,8 +82,8 @@ def _info(size: int):
             found, count = found[often], count[often]
             none = [None] * len(found)
             yield pa.RecordBatch.from_arrays(
-                [pa.concat_arrays([b["doc_id"].cast(pa.int64()), pa.array(none, pa.int64())]), pa.array(n + count.tolist(), pa.int64()), pa.array(key + none, pa.binary()), pa.array([None] * len(b) + found.view(np.int64).tolist(), pa.int64())],
-                names=["doc_id", "n", "key", "hot"],
+                [*(pa.concat_arrays([b[c].cast(pa.int64()), pa.array(none, pa.int64())]) for c in ("doc_id", "text_hash")), pa.array(n + count.tolist(), pa.int64()), pa.array(key + none, pa.binary()), pa.array([None] * len(b) + found.view(np.int64).tolist(), pa.int64())],
+                names=["doc_id", "text_hash", "n", "key", "hot"],
             )
 
     return run
@@ -114,7 +115,7 @@ def _shingles(size: int, parts: int, hot: np.ndarray, hot_ranks: np.ndarray):
     """Every set's shingles to the parts by their hash; those known to be frequent to parts of their own (below 0), with their ranks."""
 
     def run(batches):
-        for b in batches:
+        for b in slices(batches, "text", SLICE):
             distinct = {}
             for _, s in _sets(b["text"], size):
                 distinct.setdefault(_key(s), s)
@@ -345,9 +346,10 @@ def _links(units: DataFrame, nodes: DataFrame, num: int, den: int) -> DataFrame:
 
 
 def join_documents(docs: DataFrame, size: int = SIZE, num: int = NUM, den: int = DEN, group: int = GROUP) -> DataFrame:
-    """``doc_id, text`` -> ``doc_id, n_shingles, component_id``, a row per row."""
+    """``doc_id, text`` -> ``doc_id, text_hash, n_shingles, component, component_id``, a row per row; ``component`` is null for an empty set."""
     spark = docs.sparkSession
-    info = materialize(docs.select("doc_id", "text").mapInArrow(_info(size), "doc_id long, n long, key binary, hot long"), "ngram-info")
+    shape = "doc_id long, text_hash long, n long, key binary, hot long"
+    info = materialize(docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text").mapInArrow(_info(size), shape), "ngram-info")
     rows = info.filter("hot IS NULL")
     n_docs, n_tokens = rows.agg(F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0))).first()
     often = info.filter("hot IS NOT NULL").groupBy("hot").agg(F.sum("n").alias("n")).filter(F.col("n") >= max(64, n_docs // HOT)).collect()
@@ -387,14 +389,29 @@ def join_documents(docs: DataFrame, size: int = SIZE, num: int = NUM, den: int =
     ids = rows.filter("key IS NOT NULL").groupBy("key").agg(F.min("doc_id").alias("least"))
     of = ids.join(stars, ids["key"] == stars["node"], "left").select("key", "least", F.coalesce("component", "key").alias("component"))
     named = of.groupBy("component").agg(F.min("least").alias("component_id"))
-    classes = of.select("key", "component").join(named, "component").select(F.col("key").alias("_key"), "component_id")
+    classes = of.select("key", "component").join(named, "component").select(F.col("key").alias("_key"), "component", "component_id")
     out = rows.join(classes, rows["key"] == classes["_key"], "left")
     own_id = F.when(F.col("key").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-    return out.select("doc_id", F.col("n").alias("n_shingles"), own_id.alias("component_id"))
+    return out.select("doc_id", "text_hash", F.col("n").alias("n_shingles"), "component", own_id.alias("component_id"))
+
+
+def keep_one(docs: DataFrame, **how) -> DataFrame:
+    """All columns of one row of each class: the smallest ``doc_id`` (nulls last), then text hash. Rows with empty sets stay."""
+    classes = join_documents(docs, **how)
+    order = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("text_hash"))
+    first = classes.filter("component IS NOT NULL").groupBy("component").agg(F.min(order).alias("o"))
+    kept = first.select(F.col("o.doc_id").alias("_ng_id"), F.col("o.text_hash").alias("_ng_hash"))
+    empty = classes.filter("component IS NULL").select(F.col("doc_id").alias("_ng_id"), F.col("text_hash").alias("_ng_hash")).distinct()
+    rows = docs.withColumn("_ng_own", F.xxhash64("text"))
+    same = rows["doc_id"].eqNullSafe(kept["_ng_id"]) & (rows["_ng_own"] == kept["_ng_hash"])
+    once = W.partitionBy("doc_id", "_ng_own").orderBy(*(c for c, t in docs.dtypes if c not in ("doc_id", "text") and not t.startswith("map")), F.lit(0))
+    found = rows.join(kept, same, "left_semi").withColumn("_ng_place", F.row_number().over(once)).filter("_ng_place = 1")
+    same = rows["doc_id"].eqNullSafe(empty["_ng_id"]) & (rows["_ng_own"] == empty["_ng_hash"])
+    return found.select(docs.columns).unionByName(rows.filter(~F.col("text").rlike(r"[^\x20\x09-\x0D]") | F.col("text").isNull()).join(empty, same, "left_semi").select(docs.columns))
 
 
 def op1_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return join_documents(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    return join_documents(spark.read.parquet(f"{sf_dir}/documents.parquet")).select("doc_id", "n_shingles", "component_id")
 
 
 ORACLE_SQL = rf"""

@@ -7,6 +7,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 
 _M1, _M2, _R = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0x9E3779B97F4A7C15)
 
@@ -77,6 +78,16 @@ def words(texts: pa.Array, lower: bool = False, chunk: int = 1 << 18) -> Iterato
         low = high
 
 
+def slices(batches: Iterator[pa.RecordBatch], column: str, size: int) -> Iterator[pa.RecordBatch]:
+    """Batches cut so that none has much more than ``size`` bytes in ``column`` (a single row may)."""
+    for b in batches:
+        lengths = np.asarray(pa.compute.fill_null(pa.compute.binary_length(b[column]), 0)).astype(np.int64)
+        group = np.cumsum(lengths) // size
+        cuts = np.flatnonzero(np.diff(group, prepend=-1) > 0) if len(b) else []
+        for a, c in zip(cuts, [*cuts[1:], len(b)], strict=True):
+            yield b.slice(a, c - a)
+
+
 def windows(hashes: np.ndarray, length: int, seed: int = 0) -> np.ndarray:
     """Hashes of all runs of ``length`` words, across documents too: the caller picks those within one."""
     n = max(0, len(hashes) - length + 1)
