@@ -2,14 +2,7 @@
 
 from __future__ import annotations
 
-import findery
-from pyspark import cloudpickle
-
-from findery.llm import chat, langid, mixing, ngramjoin, packing, passages, topk, urlrules
-
-# Functions travel with the job: executors need not have this package installed.
-cloudpickle.register_pickle_by_value(findery)
-
+from findery.llm import chat, counts, langid, media, mixing, ngramjoin, packing, passages, topk, urlrules
 
 def queries():
     return {
@@ -19,8 +12,10 @@ def queries():
         "op4_mixing": mixing.op4_mixing,
         "op5_substring_dedup": passages.op5_substring_dedup,
         "op6_chat_formatting": chat.op6_chat_formatting,
+        "op7_media_columns": media.op7_media_columns,
         "op8_exact_topk": topk.op8_exact_topk,
         "op9_url_filters": urlrules.op9_url_filters,
+        "op10_token_counts": counts.op10_token_counts,
     }
 
 

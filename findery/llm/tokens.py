@@ -34,3 +34,11 @@ def encoder(name: str = "byte_bpe_50k.json"):
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(vocabulary(name.replace(".json", ".tiktoken")), "rb"))}
         cache["encoder", name] = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
     return cache["encoder", name].encode_ordinary
+
+
+def pretokens():
+    """text -> the pieces that the vocabulary's pattern cuts it into; no token spans two of them."""
+    import public_tokenizers
+    import regex
+
+    return regex.compile(public_tokenizers.PATTERN).findall
