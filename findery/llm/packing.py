@@ -1,7 +1,7 @@
 """Packing token sequences by a harmonic rule, each worker on its own.
 
-Class k takes pieces longer than ``capacity // (k + 1)`` and up to ``capacity // k``; a bin of class
-k is full with exactly k pieces. Since documents may be cut, a document is full sequences (class
+Class k takes pieces of which k fit into the capacity and k + 1 don't; a bin of class k is full with
+exactly k pieces. Since documents may be cut, a document is full sequences (class
 1), then the largest whole reciprocals ``capacity // k`` that fit what is left, until at most
 ``small`` tokens remain, which go to their own class uncut. Where a worker's rows end, the pieces
 in its unfinished bins are laid end to end over sequences, and what doesn't fill one is dealt to
@@ -36,9 +36,9 @@ def cut(n: int, capacity: int = CAPACITY, small: int = SMALL) -> list[tuple[int,
     pieces = [(1, capacity)] * (n // capacity)
     n %= capacity
     while n > small:
-        k = -(-capacity // n)
-        pieces.append((k, capacity // k))
-        n -= capacity // k
+        length = capacity // -(-capacity // n)
+        pieces.append((capacity // length, length))
+        n -= length
     if n:
         pieces.append((capacity // n, n))
     return pieces
