@@ -11,6 +11,9 @@ the mix takes nothing from it; columns beside those of ``documents`` are carried
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,8 +23,22 @@ from findery.scratch import materialize
 #: Below this mean probability a text is in no language that was learned. (One of four at random: 0.25.)
 LEAST_SCORE = 0.35
 ORACLE_SQL = None
+OWN = ("doc_id", "text", "lang", "source", "n_chars")
+
+
+def carrying(stage: Callable) -> Callable:
+    """A stage that sees columns beside those of ``documents`` under names that no operator uses."""
+
+    @wraps(stage)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        other = {c: f"_carried_{n}" for n, c in enumerate(docs.columns) if c not in OWN}
+        out = stage(spark, docs.withColumnsRenamed(other), sf_dir)
+        return out.withColumnsRenamed({b: a for a, b in other.items()})
+
+    return run
 
 
+@carrying
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language can be told."""
     told = langid.predict(docs, langid.learn(docs))
@@ -29,17 +46,20 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return kept.select(docs.columns)
 
 
+@carrying
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group."""
     return ngramjoin.keep_one(docs)
 
 
+@carrying
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the passages that an earlier one has."""
     kept = passages.remove_repeats(docs).withColumn("text", F.col("kept")).withColumn("n_chars", F.length("kept").cast("long"))
     return kept.select(docs.columns)
 
 
+@carrying
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes them; of the last one of a shard's share, as many words as it takes."""
     own = mixing.mix(docs.withColumn("size", mixing.n_words(F.col("text")))).filter("taken > 0")
