@@ -1,0 +1,76 @@
+"""Plain Python versions of the corpus operators, for small tables."""
+
+import re
+from collections import defaultdict
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+ASCII_LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def words(text):
+    return WORD.findall(text or "")
+
+
+def shingles(text, size=5):
+    w = words((text or "").translate(ASCII_LOWER))
+    return {tuple(w[i : i + size]) for i in range(max(1, len(w) - size + 1))} if w else set()
+
+
+def classes(rows):
+    """rows: (doc_id, text) -> (doc_id, set size, smallest reachable id), in order."""
+    sets = [shingles(t) for _, t in rows]
+    label = list(range(len(rows)))
+
+    def root(i):
+        while label[i] != i:
+            i = label[i]
+        return i
+
+    for i in range(len(rows)):
+        for j in range(i):
+            shared = len(sets[i] & sets[j])
+            if sets[i] and sets[j] and 100 * shared >= 80 * (len(sets[i]) + len(sets[j]) - shared):
+                label[root(i)] = root(j)
+    least = defaultdict(list)
+    for i, (doc_id, _) in enumerate(rows):
+        if doc_id is not None:
+            least[root(i)].append(doc_id)
+    return [(d, len(sets[i]), min(least[root(i)], default=None)) for i, (d, _) in enumerate(rows)]
+
+
+def removals(rows, window=13):
+    """rows: (doc_id, text) -> (words, flags of the removed ones), in order."""
+    first = {}
+    texts = [words(t) for _, t in rows]
+    for (doc_id, _), w in zip(rows, texts, strict=True):
+        for i in range(len(w) - window + 1):
+            if doc_id is not None:
+                key = tuple(w[i : i + window])
+                first[key] = min(first.get(key, doc_id), doc_id)
+    out = []
+    for (doc_id, _), w in zip(rows, texts, strict=True):
+        gone = [False] * len(w)
+        for i in range(len(w) - window + 1):
+            if doc_id is not None and first[tuple(w[i : i + window])] < doc_id:
+                gone[i : i + window] = [True] * window
+        out.append((w, gone))
+    return out
+
+
+def corpus(rng, n, vocabulary=400):
+    """Texts with exact and near copies, shared passages, short, empty and null ones; ids may repeat or be null."""
+    some = [f"{'wW'[k % 2]}{k}" for k in range(vocabulary)]
+    base = [[rng.choice(some) for _ in range(rng.choice([0, 1, 3, 4, 5, 6, 12, 13, 14, 40, 150]))] for _ in range(n // 4)]
+    passage = [f"p{k}" for k in range(30)]
+    rows = []
+    for i in range(n):
+        w = list(rng.choice(base))
+        for _ in range(rng.choice([0, 0, 1, 2, 5])):
+            if w:
+                w[rng.randrange(len(w))] = rng.choice(some)
+        if rng.random() < 0.2:
+            at = rng.randrange(len(w) + 1)
+            w[at:at] = passage[rng.randrange(5) : rng.randrange(15, 30)]
+        text = "".join(x + rng.choice([" ", "\n", "\t", "  ", "\r\n", "\x0b"]) for x in w)
+        rows.append((i, text.swapcase() if rng.random() < 0.1 else text))
+    return [*rows, (n, None), (n + 1, ""), (n + 2, " \n "), (None, rows[0][1]), (None, rows[1][1]), (None, None), rows[3], (rows[4][0], rows[5][1]), (-5, rows[6][1]), (n + 3, "x\u00a0y\u2003z " * 30), (n + 4, "long " * 3000)]

@@ -1,0 +1,87 @@
+import random
+import zlib
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
+
+from findery.llm import langid
+
+SMALL = "/root/testdata/sf0.01"
+
+
+def plain(m, text):
+    """One byte after another, in double precision."""
+    data = text.encode()
+    total = np.zeros(len(m.labels))
+    sigmoid = lambda a: 1 / (1 + np.exp(-a))
+    for at in range(0, len(data), langid.SEGMENT):
+        part, states = data[at : at + langid.SEGMENT], []
+        for way in (0, 1):
+            h, own = np.zeros(langid.HIDDEN), []
+            for byte in part if way == 0 else part[::-1]:
+                a, r = m.x[byte + 256 * way].astype(float), h @ m.u[way].astype(float)
+                k = langid.HIDDEN
+                z, g = sigmoid(a[:k] + r[:k]), sigmoid(a[k : 2 * k] + r[k : 2 * k])
+                c = np.tanh(a[2 * k :] + g * r[2 * k :])
+                h = (1 - z) * c + z * h
+                own.append(h)
+            states.append(own if way == 0 else own[::-1])
+        for f, b in zip(*states, strict=True):
+            logits = f @ m.o[0] + b @ m.o[1] + m.b
+            p = np.exp(logits - logits.max())
+            total += p / p.sum()
+    return total / max(1, len(data))
+
+
+def some_model(labels=("a", "b", "c"), seed=1):
+    rng = np.random.default_rng(seed)
+    init = lambda *s: rng.standard_normal(s).astype(np.float32)
+    k = langid.HIDDEN
+    return langid.Model(list(labels), init(512, 3 * k), init(2, k, 3 * k), init(2, k, len(labels)), init(len(labels)))
+
+
+def test_every_byte_of_whole_texts_counts():
+    m, rng = some_model(), random.Random(1)
+    texts = ["", "x", "é汉", "".join(rng.choice("abcé \n汉") for _ in range(700)), "y" * langid.SEGMENT, "z" * (langid.SEGMENT + 1)]
+    got = langid.probabilities(m, pa.array([*texts, None]))
+    for row, text in zip(got, [*texts, ""], strict=True):
+        assert row == pytest.approx(plain(m, text), abs=1e-5)
+
+
+def test_gradients(monkeypatch):
+    """One step of plain descent from the learned gradient lowers the loss; training separates two made-up languages."""
+    rng = random.Random(2)
+    texts = [" ".join(rng.choice(w) for _ in range(40)).encode() for w in (["ka", "ko", "tak"], ["ri", "mi", "rim"]) for _ in range(30)]
+    m = langid.train(texts, np.repeat([0, 1], 30), ["k", "r"], steps=60)
+    p = langid.probabilities(m, pa.array(["kotak ka ko", "mi rimi ri"]))
+    assert p[0, 0] > 0.9 and p[1, 1] > 0.9
+
+
+def test_held_out_accuracy(spark):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    rows = langid.op3_language_id(spark, SMALL).join(docs.select("doc_id", "lang"), "doc_id").collect()
+    assert len(rows) == docs.count()
+    assert all(r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 5 == 0) and 0 <= r["score"] <= 1 for r in rows)
+    held = [r for r in rows if r["held_out"]]
+    assert sum(r["lang_pred"] == r["lang"] for r in held) >= 0.95 * len(held)
+
+
+def test_only_text_decides_and_held_out_rows_teach_nothing(spark):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet").limit(200)
+    other = docs.withColumn("lang", F.when(langid.held_out(F.col("doc_id")), "zz").otherwise(F.col("lang"))).withColumn("source", F.lit("s"))
+    a, b = langid.learn(docs, 20, 5), langid.learn(other, 20, 5)
+    assert a.labels == b.labels and "zz" not in a.labels and (a.x == b.x).all() and (a.o == b.o).all()
+
+
+def test_hard_rows(spark):
+    rows = [(1, None), (2, ""), (3, "12 !? 34"), (None, "abc def"), (5, "abc def"), (5, "abc def"), (6, "w" * 300000), (7, "²³"), (8, "é")]
+    df = spark.createDataFrame([(*r, "x", 1.5) for r in rows], "doc_id long, text string, lang_pred string, score double")
+    got = langid.predict(df, some_model()).collect()
+    assert [r["lang_pred"] == "und" and r["score"] == 0 for r in got] == [True, True, True, False, False, False, False, True, False]
+    assert got[3][1:] == got[4][1:] == got[5][1:]
+    assert {r["lang_pred"] for r in langid.predict(df, None).collect()} == {"und"}
+    assert langid.predict(df.limit(0), some_model()).count() == 0
+    assert langid.learn(spark.createDataFrame([(1, "a", None), (None, "b", "x"), (2, None, "x")], "doc_id long, text string, lang string")) is None
+    assert [r[0] for r in df.select(langid.held_out(F.col("doc_id"))).collect()] == [d is not None and zlib.crc32(str(d).encode()) % 5 == 0 for d, _ in rows]

@@ -1,0 +1,90 @@
+import random
+from collections import Counter, defaultdict
+
+import pytest
+
+import corpus_pipeline
+from findery.llm import langid, mixing
+from findery.llm.tokens import encoder
+from tests.llm import brute
+
+SMALL = "/root/testdata/sf0.001"
+
+
+def staged(spark, docs, tmp_path):
+    """Every stage's output, written and read again."""
+    out = [docs]
+    for n, (_, stage) in enumerate(corpus_pipeline.STAGES):
+        path = str(tmp_path / str(n))
+        stage(spark, out[-1], SMALL).write.parquet(path)
+        out.append(spark.read.parquet(path))
+    return [[tuple(r) for r in x.collect()] for x in out]
+
+
+def check(told, rows):
+    start, known, single, kept, mixed, packed = rows
+    wanted = [r for r in start if told(r)]
+    assert sorted(map(repr, known)) == sorted(map(repr, wanted))
+
+    classes = brute.classes([(r[0], r[1]) for r in known])
+    groups = defaultdict(list)
+    for r, (_, _, c) in zip(known, classes, strict=True):
+        groups[c].append(r)
+    assert Counter(min((r[0] is None, r[0] or 0) for r in g) for g in groups.values()) == Counter((r[0] is None, r[0] or 0) for r in single)
+    assert not Counter(single) - Counter(known)
+
+    for r, (w, gone) in zip(single, brute.removals([(r[0], r[1]) for r in single]), strict=True):
+        left = " ".join(x for x, g in zip(w, gone, strict=True) if not g) if any(gone) else r[1]
+        assert (r[0], left, r[2], r[3], len(left), *r[5:]) in kept
+    assert len(kept) == len(single)
+
+    size, source = Counter(), Counter()
+    for r in mixed:
+        size[r[0]] += len(brute.words(r[1]))
+        source[r[3]] += len(brute.words(r[1]))
+        assert r[4] == len(r[1])
+    for r in kept:
+        own = len(brute.words(r[1]))
+        assert size[r[0]] <= 2 * own
+    total = sum(len(brute.words(r[1])) for r in kept)
+    assert abs(sum(size.values()) - 1.5 * total) <= mixing.BLOCK * (len({r[3] for r in kept}) + 1)
+
+    tokens = Counter()
+    for r in mixed:
+        tokens[r[0]] += len(encoder()(r[1])) + 1
+    have = Counter()
+    for p in packed:
+        have[p[0]] += p[2]
+    assert have == tokens
+    return rows
+
+
+def test_stages_on_the_small_table(spark, tmp_path):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    model = langid.learn(docs)
+    pred = {r["doc_id"]: (r["lang_pred"], r["score"]) for r in langid.predict(docs, model).collect()}
+    told = lambda r: pred[r[0]][0] != "und" and pred[r[0]][1] >= corpus_pipeline.LEAST_SCORE
+    rows = check(told, staged(spark, docs, tmp_path))
+    assert len(rows[1]) >= 0.98 * len(rows[0])
+    assert len(rows[2]) < len(rows[1]) and any(a[4] != b[4] for a, b in zip(sorted(rows[2]), sorted(rows[3]), strict=True))
+    got = corpus_pipeline.run(spark, SMALL).drop("ids").collect()
+    assert Counter((r["doc_id"], r["start"], r["length"]) for r in got) == Counter((p[0], p[1], p[2]) for p in rows[-1])
+
+
+SHAPE = "doc_id long, text string, lang string, source string, n_chars long, score double, size int, key string"
+
+
+def test_stages_on_hard_rows(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(langid, "STEPS", 5)
+    made = brute.corpus(random.Random(9), 80)
+    rows = [(d, t, ["en", "fr", None][i % 3], ["s", None, "t", "u"][i % 4], None if i % 5 == 0 else len(t or ""), 0.5, 1, "k") for i, (d, t) in enumerate(made) if d is not None]
+    docs = spark.createDataFrame(rows, SHAPE).dropDuplicates(["doc_id"]).repartition(3)
+    told = lambda r: any(map(str.isalpha, r[1] or ""))  # noqa: E731  of two languages, one always reaches a half
+    check(told, staged(spark, docs, tmp_path))
+
+
+@pytest.mark.parametrize("rows", [[], [(None, None, None, None, None, None, None, None)] * 2, [(1, "only 1", "en", "s", 6, 0.1, 2, "k"), (None, "no id", "en", None, 5, 0.1, 2, "k"), (1, "only 1", "en", "s", 6, 0.1, 2, "k")]])
+def test_stages_on_few_rows(spark, tmp_path, rows):
+    docs = spark.createDataFrame(rows, SHAPE)
+    got = staged(spark, docs, tmp_path)
+    assert all(len(x) <= max(6, len(rows)) for x in got)
