@@ -14,10 +14,12 @@ def tables(folder):
 
 
 def same(spark_df, sql, folder):
-    got = spark_df.toPandas()
-    want = tables(folder).execute(sql).df()
-    columns = sorted(got.columns)
-    assert columns == sorted(want.columns)
-    order = lambda x: x[columns].astype(str).sort_values(columns).reset_index(drop=True)
-    assert order(got).equals(order(want))
-    return got
+    """The rows, as dictionaries."""
+    columns = sorted(spark_df.columns)
+    got = [tuple(r) for r in spark_df.select(columns).collect()]
+    rows = tables(folder).execute(sql)
+    names = [d[0] for d in rows.description]
+    assert sorted(names) == columns
+    want = [tuple(r[names.index(c)] for c in columns) for r in rows.fetchall()]
+    assert sorted(map(repr, got)) == sorted(map(repr, want))
+    return [dict(zip(columns, r, strict=True)) for r in got]
