@@ -140,7 +140,7 @@ def _unpack(table: pa.Table):
     """(keys, sizes, index of each token's key, tokens, ranks) of bulk rows."""
     whole = lambda c, t: np.concatenate([np.frombuffer(x.as_buffer(), t) for x in table[c]])
     counts = whole("counts", "<u4")
-    return whole("keys", f"V{_KEY}"), whole("sizes", "<u4"), np.repeat(np.arange(len(counts)), counts), whole("tokens", "<u8"), whole("ranks", "u1")
+    return whole("keys", f"V{_KEY}"), whole("sizes", "<u4"), np.repeat(np.arange(len(counts), dtype=np.int32), counts), whole("tokens", "<u8"), whole("ranks", "u1")
 
 
 def _words_of(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -166,9 +166,14 @@ def _count(parts: int):
             again[o[1:]] = (a[o][1:] == a[o][:-1]) & (b[o][1:] == b[o][:-1])
             fresh = ~again[doc]
             doc, tokens = doc[fresh], tokens[fresh]
-            _, back, count = np.unique(tokens, return_inverse=True, return_counts=True)
-            several = count[back] > 1
-            doc, tokens, ranks = doc[several], tokens[several], rank_of(count)[back[several]]
+            s = np.sort(tokens)
+            begin = np.flatnonzero(np.r_[len(s) > 0, s[1:] != s[:-1]])
+            count = np.diff(np.r_[begin, len(s)])
+            shared, count = s[begin[count > 1]], count[count > 1]  # few, next to all
+            del s, begin
+            at = np.minimum(np.searchsorted(shared, tokens), max(0, len(shared) - 1)).astype(np.int32)
+            several = shared[at] == tokens if len(shared) else np.zeros(len(tokens), bool)
+            doc, tokens, ranks = doc[several], tokens[several], rank_of(count)[at[several]] if len(shared) else ranks[:0]
         where = _words_of(keys)[0][doc] % np.uint64(parts)
         return pa.Table.from_batches([_bulk(list(_deal(where, parts, keys, sizes, doc, tokens, ranks, lambda p: p)))])
 
