@@ -8,7 +8,8 @@ its quota from its documents in a seeded order, laid end to end and repeated.
 Defined results: a null or empty text has size 0 and nothing is taken from it; a null source is a
 source of its own, after all others; a null ``doc_id`` is ordered like the text ``null``; rows with
 equal id and size are interchangeable; an empty table gives an empty result. Columns of the input
-beside those named here are kept, except that names starting with ``_mix_`` are taken.
+beside those named here are kept, but source_size, target and taken are replaced and names starting
+with ``_mix_`` dropped.
 """
 
 from __future__ import annotations
@@ -115,6 +116,7 @@ def mix(sized: DataFrame, weights=WEIGHTS, share=SHARE, cap=CAP, block=BLOCK, sh
     A shard is a hash part of a source with about ``shard_docs`` documents, so that a source with a
     third of all rows is many windows. Within its shard, a document is taken ``taken / size`` times.
     """
+    sized = sized.drop("source_size", "target", "taken")
     ordered = sized.withColumn("_mix_order", seeded(F.col("doc_id"), seed))
     plan = quotas(ordered.select("source", "size", "_mix_order"), weights, share, cap, block, shard_docs)
     plan = materialize(plan.select("_mix_source", "source_size", "target", "_mix_shards", F.col("_mix_shard").alias("_mix_part"), "_mix_shard_size", "_mix_take"), "mix-quotas")

@@ -61,7 +61,7 @@ def test_apportion(spark):
 
 def test_hard_rows(spark):
     rows = [(1, "a", 10), (1, "a", 10), (None, "a", 5), (2, None, 100), (3, None, 0), (4, "b", 0), (5, "c", 20000), (6, "", 7)]
-    df = spark.createDataFrame([(*r, "x") for r in rows], "doc_id long, source string, size long, target string").drop("target")
+    df = spark.createDataFrame([(*r, "x") for r in rows], "doc_id long, source string, size long, target string")
     got = mixing.mix(df).collect()
     assert len(got) == len(rows) and all(0 <= r["taken"] <= 2 * r["size"] for r in got)
     for source in {r["source"] for r in got}:
