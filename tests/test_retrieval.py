@@ -61,6 +61,13 @@ def test_question_blocks_give_the_same(spark, corpus, monkeypatch):
     assert [sorted(map(tuple, f(corpus, asked).collect())) for f in (retrieval.sparse_search, retrieval.dense_search)] == one
 
 
+def test_postings_give_the_scores(spark, corpus):
+    index = {(r["ord"], r["tok"]): (r["tf"], r["nd"]) for r in retrieval.postings(corpus).collect()}
+    for i, t in enumerate(TEXTS):
+        own = Counter(tokens_python(t))
+        assert {k[1]: v for k, v in index.items() if k[0] == i} == {w: (n, len(own)) for w, n in own.items()}
+
+
 def test_dense_search(spark, corpus):
     got = retrieval.dense_search(corpus, make_questions(spark, [(1, "q", ["가"], 5, [3.0, 4.0]), (2, "q", [], 5, [0.0, 2.0]), (3, "q", ["가"], 5, None)]), k=3).orderBy("question_id", "rank")
     assert [(r["question_id"], r["ord"], r["similarity"]) for r in got.collect()] == [(1, 6, 4.4), (1, 4, 3.2), (1, 2, 2.0), (2, 0, 1.0), (2, 1, 1.0), (2, 2, 1.0)]
