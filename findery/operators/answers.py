@@ -73,6 +73,11 @@ def _in_order(order: str, value: Column) -> Column:
     return F.transform(F.sort_array(F.collect_list(F.struct(F.col(order).alias("o"), value.alias("v")))), lambda x: x["v"])
 
 
+def display(text: Column) -> Column:
+    """As much of a context as is shown."""
+    return F.substring(text, 1, DISPLAY_CHARS)
+
+
 def contexts(selected: DataFrame) -> DataFrame:
     """``question_id, context``: the blocks of the selected rows (at most eight a question), in order."""
     block = context_block(F.col("context_rank"), F.col("text"), F.col("metadata"))

@@ -12,9 +12,10 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from findery.functions.text import question_type
+from findery.functions.text import question_type, strip
 from findery.operators import answers, filters, fusion, retrieval
 from findery.scratch import materialize
+from findery.settings import Settings
 
 
 @dataclass
@@ -33,6 +34,12 @@ def prepare(questions: DataFrame) -> DataFrame:
     return questions.withColumn("issuers", filters.clean(F.col("issuers"))).withColumn("qtype", question_type(F.col("question")))
 
 
+def checked(questions: DataFrame) -> DataFrame:
+    """Fails on a question without a visible character, as a form would before sending it."""
+    seen = F.length(strip(F.coalesce("question", F.lit("")))) > 0
+    return questions.withColumn("question", F.when(seen, F.col("question")).otherwise(F.raise_error(F.lit("a question is required")).cast("string")))
+
+
 def facts_of(chunks: DataFrame) -> DataFrame:
     """What fusing and reranking need of a chunk, without its text."""
     doc = fusion.document_of(F.col("canonical_doc_id"), F.col("doc_id"))
@@ -89,16 +96,18 @@ def lookups(chunks: DataFrame, found: Retrieved, ranked: DataFrame, selected: Da
     return answers.lookup_contexts(by_results, top(own, "at")).unionByName(answers.lookup_contexts(by_records, top(records, "ord")))
 
 
-def ask(chunks: DataFrame, questions: DataFrame, client: Callable | None = None) -> DataFrame:
+def ask(chunks: DataFrame, questions: DataFrame, client: Callable | None = None, settings: Settings | None = None) -> DataFrame:
     """``question_id, answer, issuers, question_type, route, contexts, lookups`` and the counts of every step. Without a ``client``, as where it fails, answers are made of the contexts themselves."""
-    found = retrieve(chunks, questions)
+    limits = settings or Settings.of(chunks.sparkSession)
+    asked = questions.withColumn("max_contexts", F.coalesce(F.nullif("max_contexts", F.lit(0)), F.lit(limits.max_contexts)))
+    found = retrieve(chunks, asked, limits.dense_k, limits.sparse_k)
     ranked, picked = select(chunks, found)
     rows = materialize(with_texts(picked, chunks), "selected")
     hints = materialize(lookups(chunks, found, ranked, rows), "lookups")
     plain = answers.fallback(found.questions, rows).withColumnRenamed("answer", "plain")
     context = answers.contexts(rows)
     prompts = found.questions.join(context, "question_id").select("question_id", F.format_string(answers.PROMPT, "question", "context").alias("prompt"))
-    said = answers.generate(prompts, client) if client else prompts.select("question_id", F.lit(None).cast("string").alias("generated"), F.lit("RuntimeError: no generator").alias("error"))
+    said = answers.generate(prompts, client, limits.answer_tokens) if client else prompts.select("question_id", F.lit(None).cast("string").alias("generated"), F.lit("RuntimeError: no generator").alias("error"))
     parts = F.struct("context_rank", "chunk_id", "retrievers", "final_score", F.col("metadata")["source_file"].alias("filename"), "metadata", "text")
     given = rows.groupBy("question_id").agg(F.array_sort(F.collect_list(parts), lambda a, b: a["context_rank"] - b["context_rank"]).alias("contexts"), F.count(F.lit(1)).alias("selected_count"))
     noted = hints.groupBy("question_id").agg(F.sort_array(F.collect_list(F.struct("n", "notice_number", "issuer", "project_name", "source_file", "g2b_url", "text"))).alias("lookups"))

@@ -13,6 +13,7 @@ from findery.functions.taxonomy import NEEDED, POINTS, metadata_priority
 from findery.functions.text import norm_text, tokens_python
 from findery.operators import answers, filters, fusion, retrieval
 from findery.plans import hybrid, standins
+from findery.scratch import spread
 from findery.sources import eav
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -49,7 +50,7 @@ def tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
             own = [tokens_python(t) for t in b["text"].to_pylist()]
             yield pa.RecordBatch.from_arrays([b["doc_id"], pa.array(map(len, own), pa.int64()), pa.array((len(set(t)) for t in own), pa.int64())], names=["doc_id", "n_tokens", "n_distinct"])
 
-    return _documents(spark, sf_dir).select("doc_id", "text").mapInArrow(run, "doc_id long, n_tokens long, n_distinct long")
+    return spread(_documents(spark, sf_dir).select("doc_id", "text")).mapInArrow(run, "doc_id long, n_tokens long, n_distinct long")
 
 
 def mojibake(spark: SparkSession, sf_dir: str) -> DataFrame:

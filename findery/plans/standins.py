@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from findery.scratch import spread
+
 # The kinds of facts, in the order in which documents get them; a word of each type of question.
 FACTS = (
     "project_budget", "total_allocation", "document_summary", "document_identity", "project_purpose_effect", "project_background", "project_scope", "requirements",
@@ -37,7 +39,7 @@ def _columns() -> dict[str, F.Column]:
 
 def chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The records table as the pivot leaves it, with embeddings: ``ord, chunk_id, text, metadata``, hot columns, ``embedding``."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").join(_labels(spark, sf_dir), "doc_id", "left")
+    docs = spread(spark.read.parquet(f"{sf_dir}/documents.parquet")).join(_labels(spark, sf_dir), "doc_id", "left")
     vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet").select(F.col("vec_id").alias("doc_id"), "embedding")
     columns = _columns()
     pairs = F.array(*(F.struct(F.lit(k).alias("k"), v.alias("v")) for k, v in columns.items()))
@@ -49,7 +51,7 @@ def chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def eav(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """The same corpus as entities and entity-attribute-value rows of four types."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").join(_labels(spark, sf_dir), "doc_id", "left")
+    docs = spread(spark.read.parquet(f"{sf_dir}/documents.parquet")).join(_labels(spark, sf_dir), "doc_id", "left")
     entities = docs.select(F.col("doc_id").alias("id"), F.concat(F.lit("E"), F.col("doc_id").cast("string")).alias("embedding_id"))
     none = F.lit(None)
     columns = _columns() | {"chroma:document": F.col("text"), "chunk_id": F.concat(F.lit("C"), F.col("doc_id").cast("string"))}

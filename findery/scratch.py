@@ -31,6 +31,13 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def spread(df: DataFrame, least: int = 1 << 22) -> DataFrame:
+    """``df`` over all cores where it is smaller than ``least`` bytes for each: such a table is often one row group, so one task."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    return df.repartition(cores) if size < cores * least else df
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     """How many partitions this session deals rows to."""
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))

@@ -179,3 +179,21 @@ def test_answer_stream(spark, corpus, tmp_path):
     stream = spark.readStream.schema(asked.schema).parquet(str(tmp_path / "in"))
     answer_stream(stream, corpus, lambda df, n: seen.extend(r["question_id"] for r in df.collect()), str(tmp_path / "check")).awaitTermination()
     assert seen == [1]
+
+
+def test_settings_and_checks(spark, corpus):
+    from findery.settings import Settings
+
+    assert Settings.of(spark) == Settings(50, 50, 5, 320)
+    spark.conf.set("spark.findery.sparse_k", "1")
+    try:
+        asked = make_questions(spark, [(1, "서버", ["가"], 0, None)])
+        row = hybrid.ask(corpus, asked, settings=Settings.of(spark)).first()
+    finally:
+        spark.conf.unset("spark.findery.sparse_k")
+    assert (row["sparse_count"], row["dense_count"]) == (1, 0)
+    assert hybrid.checked(asked).count() == 1
+    for bad in (None, "", " \u3000"):
+        with pytest.raises(Exception, match="question"):
+            hybrid.checked(make_questions(spark, [(1, bad, ["가"], 5, None)])).collect()
+    assert spark.range(1).select(answers.display(F.lit("x" * 1300))).first()[0] == "x" * 1200
