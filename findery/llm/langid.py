@@ -23,6 +23,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
+from findery.scratch import spread
+
 HIDDEN, SEGMENT, BLOCK = 8, 128, 1024
 SAMPLE, WINDOWS, TRAIN_CHARS, STEPS, BATCH, TRAIN_BYTES = 300, 4, 96, 700, 192, 64
 UNKNOWN = "und"
@@ -174,16 +176,23 @@ def held_out(doc_id: Column) -> Column:
 
 
 def learn(docs: DataFrame, sample: int = SAMPLE, steps: int = STEPS) -> Model | None:
-    """A model from ``doc_id, text, lang``: the ``sample`` documents of each language with the smallest text hashes."""
+    """A model from ``doc_id, text, lang``: of each language ``sample`` documents by id hash.
+
+    Of a language's n documents those go on whose hash modulo n is small, about twice as many as
+    are asked for, so that what meets in one task doesn't grow with the table.
+    """
     usable = docs.filter(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & (F.length("text") > 0) & ~held_out(F.col("doc_id")))
-    hashed = usable.select("lang", "text", F.xxhash64("text").alias("h"))
+    hashed = usable.select("lang", "text", F.xxhash64("doc_id", F.lit("sample")).alias("h"))
+    counts = usable.groupBy("lang").count().collect()  # a row per language, as many as the model tells apart
+    if not counts:
+        return None
+    count = F.create_map(*(F.lit(x) for r in counts for x in (r["lang"], r["count"])))
+    some = hashed.withColumn("c", count[F.col("lang")]).filter(F.pmod("h", "c") < 2 * sample)
     place = lambda k: F.pmod(F.xxhash64("h", F.lit(k)), F.greatest(F.lit(1), F.length("text") - TRAIN_CHARS)) + 1
     cut = F.concat_ws(" ", *(F.substr("text", place(k).cast("int"), F.lit(TRAIN_CHARS)) for k in range(WINDOWS)))
-    first = W.partitionBy("lang").orderBy("h", "cut")
-    rows = hashed.select("lang", "h", cut.alias("cut")).withColumn("n", F.row_number().over(first)).filter(F.col("n") <= sample).collect()
+    first = W.partitionBy("lang").orderBy(F.pmod("h", "c"), "cut")
+    rows = some.select("lang", "h", "c", cut.alias("cut")).withColumn("n", F.row_number().over(first)).filter(F.col("n") <= sample).collect()
     rows = sorted((r["lang"], r["n"], r["cut"]) for r in rows)
-    if not rows:
-        return None
     labels = sorted({r[0] for r in rows})
     return train([r[2].encode() for r in rows], np.array([labels.index(r[0]) for r in rows]), labels, steps)
 
@@ -207,7 +216,7 @@ def predict(docs: DataFrame, model: Model | None) -> DataFrame:
     """All columns, and ``lang_pred, score``: from ``text`` alone."""
     docs = docs.drop("lang_pred", "score")
     shape = ", ".join(f"`{c}` {t}" for c, t in docs.dtypes)
-    return docs.mapInArrow(_predict(model), f"{shape}, lang_pred string, score double")
+    return spread(docs).mapInArrow(_predict(model), f"{shape}, lang_pred string, score double")
 
 
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
