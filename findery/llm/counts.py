@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from findery.llm.tokens import encoder, pretokens
 from findery.llm.words import slices
+from findery.scratch import spread
 
 RUN, LOOK, SLICE = 2048, 2, 1 << 22
 
@@ -166,7 +167,7 @@ def _count(name: str):
 
 def count_edits(docs: DataFrame, name: str = "byte_bpe_50k.json") -> DataFrame:
     """``doc_id, text, edits`` (array of start, length, text) -> the counts before and after, the length after, and how many characters the edits had counted anew."""
-    return docs.select("doc_id", "text", "edits").mapInArrow(_count(name), SHAPE)
+    return spread(docs.select("doc_id", "text", "edits")).mapInArrow(_count(name), SHAPE)
 
 
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
