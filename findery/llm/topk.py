@@ -7,7 +7,7 @@ integer product has to be taken. Every query starts with the k-th best score amo
 vectors as its threshold, and a block ends where length times length can't reach it.
 
 Defined results: vectors that are null, or hold null or non-finite components or ones whose integer
-exceeds 2**24, and rows with a null id, take no part; a shorter vector counts as filled up with
+exceeds 2**28 (scores of such might not fit a long), and rows with a null id, take no part; a shorter vector counts as filled up with
 zeros; a query given by several rows is asked once, with the smallest of their vectors, and
 candidates with the query's id are its own; an empty table gives no rows.
 """
@@ -34,7 +34,7 @@ def _whole(scale: int):
                 if i is None or v is None or None in v:
                     continue
                 x = np.floor(np.array(v, dtype=np.float64) * scale)
-                if np.isfinite(x).all() and (np.abs(x) <= 2**24).all():
+                if np.isfinite(x).all() and (np.abs(x) <= 2**28).all():
                     ids.append(i)
                     rows.append(x.astype("<i4").tobytes())
                     lengths.append(float(np.sqrt((x * x).sum())))
