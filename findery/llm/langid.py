@@ -64,45 +64,49 @@ def _train_forward(m: Model, bytes_: np.ndarray):
     return kept
 
 
+def gradients(m: Model, seen: np.ndarray, wanted: np.ndarray):
+    """Loss and its gradients by x, u, o, b: mean cross entropy of every byte of windows ``seen`` (T, B) of languages ``wanted`` (B,), back through time."""
+    t, n = seen.shape
+    kept = _train_forward(m, seen)
+    f, b = np.stack([k[6][0] for k in kept]), np.stack([k[6][1] for k in kept])[::-1]
+    logits = f @ m.o[0] + b @ m.o[1] + m.b
+    p = np.exp(logits - logits.max(-1, keepdims=True))
+    p /= p.sum(-1, keepdims=True)
+    loss = -np.log(p[:, np.arange(n), wanted]).mean()
+    p[:, np.arange(n), wanted] -= 1
+    d = p / (t * n)
+    gx, gu = np.zeros_like(m.x), np.zeros_like(m.u)
+    go = np.stack([np.einsum("tbh,tbl->hl", f, d), np.einsum("tbh,tbl->hl", b, d)])
+    down = np.stack([d @ m.o[0].T, (d @ m.o[1].T)[::-1]], 1)  # by each direction's own time
+    dh = np.zeros((2, n, HIDDEN), m.u.dtype)
+    for i in range(t - 1, -1, -1):
+        own, h, z, g, c, rc, _ = kept[i]
+        dh = dh + down[i]
+        dz, dc = dh * (h - c) * z * (1 - z), dh * (1 - z) * (1 - c * c)
+        dg = dc * rc * g * (1 - g)
+        da = np.concatenate([dz, dg, dc], -1)
+        dr = np.concatenate([dz, dg, dc * g], -1)
+        np.add.at(gx, own.ravel(), da.reshape(-1, 3 * HIDDEN))
+        gu += h.transpose(0, 2, 1) @ dr
+        dh = dh * z + dr @ m.u.transpose(0, 2, 1)
+    return loss, (gx, gu, go, d.sum((0, 1)))
+
+
 def train(texts: list[bytes], targets: np.ndarray, labels: list[str], steps: int = STEPS, seed: int = 5) -> Model:
-    """Adam on the mean cross entropy of every byte of random windows."""
+    """Adam over random windows, as many of each language."""
     rng, classes = np.random.default_rng(seed), len(labels)
     init = lambda *s, by=0.3: (rng.standard_normal(s) * by).astype(np.float32)
     m = Model(labels, init(512, 3 * HIDDEN), init(2, HIDDEN, 3 * HIDDEN), init(2, HIDDEN, classes), np.zeros(classes, np.float32))
     texts = [t if len(t) >= TRAIN_BYTES else (t * (TRAIN_BYTES // max(1, len(t)) + 1))[:TRAIN_BYTES] for t in texts]
     of = [np.flatnonzero(targets == k) for k in range(classes)]
-    moments = [(np.zeros_like(p), np.zeros_like(p)) for p in (m.x, m.u, m.o, m.b)]
+    weights = (m.x, m.u, m.o, m.b)
+    moments = [(np.zeros_like(w), np.zeros_like(w)) for w in weights]
     for step in range(1, steps + 1):
         who = np.array([rng.choice(of[k]) for k in rng.permutation(np.arange(BATCH) % classes)])
-        rows = []
-        for i in who:
-            s = rng.integers(0, len(texts[i]) - TRAIN_BYTES + 1)
-            rows.append(np.frombuffer(texts[i], np.uint8, TRAIN_BYTES, s))
-        seen = np.stack(rows, 1)
-        kept = _train_forward(m, seen)
-        f, b = np.stack([k[6][0] for k in kept]), np.stack([k[6][1] for k in kept])[::-1]
-        logits = f @ m.o[0] + b @ m.o[1] + m.b
-        p = np.exp(logits - logits.max(-1, keepdims=True))
-        p /= p.sum(-1, keepdims=True)
-        p[:, np.arange(BATCH), targets[who]] -= 1
-        d = p / (TRAIN_BYTES * BATCH)
-        gx, gu = np.zeros_like(m.x), np.zeros_like(m.u)
-        go = np.stack([np.einsum("tbh,tbl->hl", f, d), np.einsum("tbh,tbl->hl", b, d)])
-        down = np.stack([d @ m.o[0].T, (d @ m.o[1].T)[::-1]], 1)  # by each direction's own time
-        dh = np.zeros((2, BATCH, HIDDEN), np.float32)
-        for i in range(TRAIN_BYTES - 1, -1, -1):
-            own, h, z, g, c, rc, _ = kept[i]
-            dh = dh + down[i]
-            dz, dc = dh * (h - c) * z * (1 - z), dh * (1 - z) * (1 - c * c)
-            dg = dc * rc * g * (1 - g)
-            da = np.concatenate([dz, dg, dc], -1)
-            dr = np.concatenate([dz, dg, dc * g], -1)
-            flat = own.ravel()
-            np.add.at(gx, flat, da.reshape(-1, 3 * HIDDEN))
-            gu += h.transpose(0, 2, 1) @ dr
-            dh = dh * z + dr @ m.u.transpose(0, 2, 1)
+        at = [rng.integers(0, len(texts[i]) - TRAIN_BYTES + 1) for i in who]
+        seen = np.stack([np.frombuffer(texts[i], np.uint8, TRAIN_BYTES, s) for i, s in zip(who, at, strict=True)], 1)
         rate = 0.02 * min(1.0, 2 * (1 - step / (steps + 1)))
-        for w, g, (a, v) in zip((m.x, m.u, m.o, m.b), (gx, gu, go, d.sum((0, 1))), moments, strict=True):
+        for w, g, (a, v) in zip(weights, gradients(m, seen, targets[who])[1], moments, strict=True):
             g = np.clip(g, -0.5, 0.5)
             a += 0.1 * (g - a)
             v += 0.001 * (g * g - v)

@@ -50,8 +50,25 @@ def test_every_byte_of_whole_texts_counts():
         assert row == pytest.approx(plain(m, text), abs=1e-5)
 
 
-def test_gradients(monkeypatch):
-    """One step of plain descent from the learned gradient lowers the loss; training separates two made-up languages."""
+def test_gradients_are_those_of_the_loss():
+    m, rng = some_model(), np.random.default_rng(4)
+    for name in ("x", "u", "o", "b"):
+        setattr(m, name, getattr(m, name).astype(np.float64) / 2)
+    seen, wanted = rng.integers(97, 103, (7, 5)).astype(np.uint8), np.array([0, 1, 2, 1, 0])
+    _, found = langid.gradients(m, seen, wanted)
+    for name, g in zip(("x", "u", "o", "b"), found, strict=True):
+        w = getattr(m, name)
+        used = np.argwhere(np.abs(g) > 0)
+        for at in map(tuple, used[rng.choice(len(used), min(25, len(used)), replace=False)]):
+            old, loss = w[at], []
+            for step in (1e-5, -1e-5):
+                w[at] = old + step
+                loss.append(langid.gradients(m, seen, wanted)[0])
+            w[at] = old
+            assert g[at] == pytest.approx((loss[0] - loss[1]) / 2e-5, rel=1e-3, abs=1e-7)
+
+
+def test_training_tells_two_made_up_languages():
     rng = random.Random(2)
     texts = [" ".join(rng.choice(w) for _ in range(40)).encode() for w in (["ka", "ko", "tak"], ["ri", "mi", "rim"]) for _ in range(30)]
     m = langid.train(texts, np.repeat([0, 1], 30), ["k", "r"], steps=60)
