@@ -197,3 +197,12 @@ def test_settings_and_checks(spark, corpus):
         with pytest.raises(Exception, match="question"):
             hybrid.checked(make_questions(spark, [(1, bad, ["가"], 5, None)])).collect()
     assert spark.range(1).select(answers.display(F.lit("x" * 1300))).first()[0] == "x" * 1200
+
+
+def test_issuers_and_columns_reach_the_scan(spark, corpus, tmp_path):
+    from findery.operators import filters
+
+    corpus.write.parquet(str(tmp_path / "chunks"))
+    chunks = spark.read.parquet(str(tmp_path / "chunks"))
+    plan = filters.records_for_issuers(chunks, ["가", " 나"]).select("ord", "text")._jdf.queryExecution().executedPlan().toString()
+    assert "In(issuer, [가,나])" in plan and "embedding" not in plan and "metadata" not in plan
