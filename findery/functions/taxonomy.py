@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from findery.functions.text import nfc, to_bool
+from findery.functions.text import TRUE, nfc, to_bool
 
 # Kinds of facts by type of question, for backfilling.
 NEEDED = {
@@ -54,3 +54,8 @@ def metadata_priority(qtype: Column, fact_type: Column, policy: Column, enabled:
 
 def safe_budget(fact_type: Column, enabled: Column) -> Column:
     return F.coalesce(nfc(fact_type).isin(*SAFE_FACTS), F.lit(False)) & to_bool(enabled)
+
+
+def plainly_safe_budget(fact_type: Column, enabled: Column) -> Column:
+    """The same without normalising or stripping: what decides whether notices are looked up."""
+    return F.coalesce(fact_type.isin(*SAFE_FACTS) & F.lower(enabled).isin(*TRUE), F.lit(False))

@@ -12,6 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from findery.functions.taxonomy import plainly_safe_budget
 from findery.functions.text import question_type, strip
 from findery.operators import answers, filters, fusion, retrieval
 from findery.scratch import materialize
@@ -82,7 +83,7 @@ def response(selected: DataFrame) -> DataFrame:
 def lookups(chunks: DataFrame, found: Retrieved, ranked: DataFrame, selected: DataFrame) -> DataFrame:
     """Notice numbers for budget questions without a safe row: from their results, else from all records of their issuers. With the hints' texts."""
     budget = found.questions.filter("qtype = 'budget'").select("question_id", "issuers")
-    safe = selected.groupBy("question_id").agg(F.max("safe").alias("safe")).filter("safe")
+    safe = selected.filter(plainly_safe_budget(F.col("fact_type"), F.col("budget_answer_enabled"))).select("question_id").distinct()
     need = budget.join(safe, "question_id", "left_anti")
     numbers = answers.notice_numbers(answers.candidate_text(F.col("chunk_id"), F.col("text"), F.col("metadata")))
     fields = ("issuer", "project_name", "source_file")

@@ -109,6 +109,7 @@ def test_budget_takes_safe_rows_alone(spark, corpus):
     for r in picked.orderBy("question_id", "context_rank").collect():
         rows.setdefault(r["question_id"], []).append(r["ord"])
     assert rows[1] == [5]
+    assert hybrid.lookups(corpus, found, ranked, picked).count() == 0  # looked up, as "Yes " is padded, but no number is there
     assert len(rows[2]) == 3 and rows[2][0] == 2  # no safe row: by score, the budget fact first
     assert len(rows[3]) == 4 - 1  # the vectorless, textless chunk is found by neither search
     top = ranked.filter("question_id = 1 AND ord = 5").first()
@@ -206,3 +207,10 @@ def test_issuers_and_columns_reach_the_scan(spark, corpus, tmp_path):
     chunks = spark.read.parquet(str(tmp_path / "chunks"))
     plan = filters.records_for_issuers(chunks, ["가", " 나"]).select("ord", "text")._jdf.queryExecution().executedPlan().toString()
     assert "In(issuer, [가,나])" in plan and "embedding" not in plan and "metadata" not in plan
+
+
+def test_a_padded_flag_selects_but_still_looks_up(spark):
+    meta = {"issuer": "가", "fact_type": "project_budget", "doc_id": "d", "budget_answer_enabled": " true "}
+    chunks = make_chunks(spark, [(1, "예산 공고번호: 1234567890", meta, [1.0, 0.0])])
+    row = hybrid.ask(chunks, make_questions(spark, [(1, "예산", ["가"], 5, [1.0, 0.0])])).first()
+    assert row["route"] == ["issuer_filter", "hybrid_dense_sparse", "ngram_backfill", "metadata_rerank", "budget_strict_selection", "g2b_manual_lookup", "llm_fallback"]
