@@ -46,12 +46,16 @@ def notice_numbers(candidate: Column) -> Column:
     return F.concat(F.regexp_extract_all(candidate, F.lit(NOTICE_BARE), F.lit(0)), F.regexp_extract_all(candidate, F.lit(NOTICE_LABELLED), F.lit(1)))
 
 
-def notices(rows: DataFrame, order: str, limit: int = NOTICES_PER_ANSWER) -> DataFrame:
-    """``question_id, notice_number, n``: a question's first distinct numbers, by row, pattern, place. ``rows``: ``question_id``, order, ``numbers``."""
-    flat = rows.select("question_id", order, F.posexplode("numbers").alias("place", "notice_number")).filter("notice_number <> ''")
-    first = flat.groupBy("question_id", "notice_number").agg(F.min(F.struct(order, "place")).alias("first"))
-    n = F.row_number().over(W.partitionBy("question_id").orderBy("first"))
-    return first.withColumn("n", n).filter(F.col("n") <= limit).drop("first")
+def first_notices(found: DataFrame, key: str = "question_id", limit: int = NOTICES_PER_ANSWER) -> DataFrame:
+    """``key, notice_number, n, first`` of a key's first distinct numbers. ``found``: key, ``notice_number``, ``first`` (where it comes)."""
+    own = found.groupBy(key, "notice_number").agg(F.min("first").alias("first"))
+    return own.withColumn("n", F.row_number().over(W.partitionBy(key).orderBy("first"))).filter(F.col("n") <= limit)
+
+
+def notices(rows: DataFrame, order: str, key: str = "question_id", limit: int = NOTICES_PER_ANSWER) -> DataFrame:
+    """The same from ``key``, order and ``numbers`` of rows: by row, pattern, place."""
+    flat = rows.select(key, F.col(order).cast("long").alias("o"), F.posexplode("numbers").alias("place", "notice_number")).filter("notice_number <> ''")
+    return first_notices(flat.select(key, "notice_number", F.struct("o", "place").alias("first")), key, limit)
 
 
 def lookup_contexts(found: DataFrame, first_rows: DataFrame) -> DataFrame:

@@ -89,12 +89,18 @@ def lookups(chunks: DataFrame, found: Retrieved, ranked: DataFrame, selected: Da
     fields = ("issuer", "project_name", "source_file")
     first = selected.select("question_id", "ord", F.col("context_rank").alias("at")).unionByName(ranked.select("question_id", "ord", (F.col("final_rank") + fusion.MOST_CONTEXTS).alias("at")))
     own = first.join(need.select("question_id"), "question_id").join(chunks.select("ord", numbers.alias("numbers"), *fields), "ord")
+    head = F.min_by(F.struct(*(F.coalesce(c, F.lit("")).alias(c) for c in fields)), "at").alias("head")
+    flat = lambda rows: rows.select("question_id", "head.*")
     by_results = answers.notices(own, "at")
+    # All records of an issuer: what is kept of each issuer is its first record and its first numbers, however many questions ask for it.
     rest = need.join(by_results.select("question_id").distinct(), "question_id", "left_anti").select("question_id", F.explode("issuers").alias("issuer"))
-    records = chunks.select("ord", numbers.alias("numbers"), *fields).join(rest, "issuer")
-    by_records = answers.notices(records, "ord")
-    top = lambda rows, order: rows.groupBy("question_id").agg(*(F.min_by(F.coalesce(c, F.lit("")), order).alias(c) for c in fields))
-    return answers.lookup_contexts(by_results, top(own, "at")).unionByName(answers.lookup_contexts(by_records, top(records, "ord")))
+    records = chunks.join(rest.select("issuer").distinct(), "issuer", "left_semi").select(F.col("ord").alias("at"), numbers.alias("numbers"), *fields)
+    by_issuer = answers.notices(records, "at", "issuer").drop("n")
+    by_records = answers.first_notices(rest.join(by_issuer, "issuer"))
+    heads = records.groupBy("issuer").agg(head, F.min("at").alias("at")).withColumnRenamed("issuer", "own_issuer")
+    heads = rest.join(heads, F.col("issuer") == F.col("own_issuer")).groupBy("question_id").agg(F.min_by("head", "at").alias("head"))
+    hints = answers.lookup_contexts(by_results.drop("first"), flat(own.groupBy("question_id").agg(head)))
+    return hints.unionByName(answers.lookup_contexts(by_records.drop("first"), flat(heads)))
 
 
 def ask(chunks: DataFrame, questions: DataFrame, client: Callable | None = None, settings: Settings | None = None) -> DataFrame:

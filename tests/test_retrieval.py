@@ -119,7 +119,7 @@ def test_budget_takes_safe_rows_alone(spark, corpus):
 def notices_of(spark, texts, limit=3):
     rows = spark.createDataFrame([(1, i, t) for i, t in enumerate(texts)], "question_id long, at int, candidate string")
     rows = rows.withColumn("numbers", answers.notice_numbers(F.col("candidate")))
-    return [r["notice_number"] for r in answers.notices(rows, "at", limit).orderBy("n").collect()]
+    return [r["notice_number"] for r in answers.notices(rows, "at", limit=limit).orderBy("n").collect()]
 
 
 def test_notice_numbers(spark):
@@ -214,3 +214,14 @@ def test_a_padded_flag_selects_but_still_looks_up(spark):
     chunks = make_chunks(spark, [(1, "예산 공고번호: 1234567890", meta, [1.0, 0.0])])
     row = hybrid.ask(chunks, make_questions(spark, [(1, "예산", ["가"], 5, [1.0, 0.0])])).first()
     assert row["route"] == ["issuer_filter", "hybrid_dense_sparse", "ngram_backfill", "metadata_rerank", "budget_strict_selection", "g2b_manual_lookup", "llm_fallback"]
+
+
+def test_notices_of_all_records_where_the_results_have_none(spark):
+    meta = lambda issuer, f: {"issuer": issuer, "fact_type": "table", "doc_id": "d", "source_file": f, "project_name": "p"}
+    rows = [(3, "예산", meta("가", "three"), None), (5, "zz 공고번호: 2222222222", meta("나", "five"), None), (2, "zz", meta("나", "two"), None)]
+    rows += [(n, f"zz 공고번호: {n}00000000", meta("가", "more"), None) for n in (21, 22, 23)] + [(1, "zz 공고번호: 3333333333", meta("다", "one"), None)]
+    chunks = make_chunks(spark, rows)
+    found = hybrid.retrieve(chunks, make_questions(spark, [(1, "예산", ["가", "나"], 5, None), (2, "예산", ["라"], 5, None), (3, "예산", ["다"], 5, None)]))
+    got = hybrid.lookups(chunks, found, *hybrid.select(chunks, found)).orderBy("question_id", "n").collect()
+    want = [(1, 1, "2222222222", "two"), (1, 2, "2100000000", "two"), (1, 3, "2200000000", "two"), (3, 1, "3333333333", "one")]
+    assert [(r["question_id"], r["n"], r["notice_number"], r["source_file"]) for r in got] == want
