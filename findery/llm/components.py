@@ -11,7 +11,11 @@ from findery.scratch import materialize
 def _large(links: DataFrame) -> DataFrame:
     both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
     least = both.groupBy("a").agg(F.least("a", F.min("b")).alias("m"))
-    return both.filter("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a <> b").distinct()
+    # The key is written anew so that both sides of the join have an exchange of their own: then
+    # Spark can split the partition of a node that very many links lead to.
+    least = least.select(F.concat("a", F.lit(bytearray())).alias("k"), "m")
+    up = both.filter("b > a")
+    return up.join(least, up["a"] == least["k"]).select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a <> b").distinct()
 
 
 def _small(links: DataFrame) -> DataFrame:
