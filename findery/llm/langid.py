@@ -26,7 +26,7 @@ from pyspark.sql.window import Window as W
 from findery.scratch import spread
 
 HIDDEN, SEGMENT, BLOCK = 8, 128, 1024
-SAMPLE, WINDOWS, TRAIN_CHARS, STEPS, BATCH, TRAIN_BYTES = 300, 4, 96, 700, 192, 64
+SAMPLE, WINDOWS, TRAIN_CHARS, STEPS, BATCH, TRAIN_BYTES = 300, 4, 96, 450, 128, 64
 UNKNOWN = "und"
 
 
