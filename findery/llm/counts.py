@@ -3,12 +3,13 @@
 A document's pre-tokens (the pieces that the tokenizer's pattern cuts a text into, none of which
 shares a token with the next) are kept in runs of about ``RUN`` characters, and the runs' lengths
 and token counts in a segment tree. An edit replaces a span of characters. Only the runs that it
-touches, and what stands two characters around it, are cut and counted anew, further ones until the new cuts meet old
+touches, and what stands ``LOOK`` characters around it, are cut and counted anew, further ones until the new cuts meet old
 ones again; then the sums on the way to the root are brought up to date.
 
 A pre-token depends on nothing before its start, and on the text after its end by two characters at
-most (white space gives up its last character to what follows), so that cutting may begin at any old
-cut that is two characters before the edit, and may end as soon as a new cut falls on an old one.
+most (white space gives up its last character to what follows), or by those of a special token's
+string, which is one piece and cuts what stands before it. So cutting may begin at any old cut that
+is ``LOOK`` characters before the edit, and may end as soon as a new cut falls on an old one.
 
 Defined results: a null text is empty and has no tokens; edits outside the text are clipped to it,
 null edits do nothing, and edits apply in order, each to the result of those before; an empty table
@@ -21,11 +22,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from findery.llm.tokens import encoder, pretokens
+from findery.llm.tokens import encoder, pretokens, specials
 from findery.llm.words import slices
 from findery.scratch import spread
 
-RUN, LOOK, SLICE = 2048, 2, 1 << 22
+RUN, SLICE = 2048, 1 << 22
+LOOK = 16  # two characters, and a special token's string before or after them
 
 
 class Tree:
@@ -149,7 +151,9 @@ SHAPE = "doc_id long, tokens_before long, tokens_after long, chars_after long, c
 
 def _count(name: str):
     def run(batches):
-        count, cut = counter(name), pretokens()
+        count, cut = counter(name), pretokens(name)
+        if any(len(s) + 2 > LOOK for s in specials(name)):
+            raise ValueError(f"a special token of {name} is longer than LOOK allows")
         for b in slices(batches, "text", SLICE):
             rows = []
             for doc_id, text, edits in zip(b["doc_id"].to_pylist(), b["text"].to_pylist(), b["edits"].to_pylist(), strict=True):

@@ -9,7 +9,8 @@ sequences whose lengths are powers of two, so that they need no padding.
 
 A row is a piece: ``doc_id, start, length, ids, doc_tokens, sequence_id, offset``. Sequence ids are
 distinct over the whole table: partition number, then a count. No shuffle takes place, memory is
-bounded by one batch, one document and the unfinished bins (k - 1 pieces of each class).
+bounded by one batch, one document and the unfinished bins (k - 1 pieces of each class, less than
+a sequence's tokens for each class; a piece that waits is a copy, so that no document is held by it).
 
 Defined results: a null or empty text has the closing id alone; a null or repeated ``doc_id``
 is carried as it is, every row being a document of its own; an empty table gives no rows; other
@@ -45,21 +46,32 @@ def cut(n: int, capacity: int = CAPACITY, small: int = SMALL) -> list[tuple[int,
 
 
 class Packer:
-    """One worker's bins. ``add`` and ``finish`` return complete sequences: lists of (doc, start, length), doc being what the caller likes."""
+    """One worker's bins. ``add`` and ``finish`` return complete sequences: lists of (doc, start, length, ids), doc being what the caller likes.
+
+    ``ids``: a document's array. Pieces of a sequence that is complete at once are views of it, those that wait are copies.
+    """
 
     def __init__(self, capacity: int = CAPACITY, small: int = SMALL):
         self.capacity, self.small, self.open = capacity, small, {}
 
-    def add(self, doc, n: int) -> list[list[tuple]]:
+    def add(self, doc, ids: np.ndarray) -> list[list[tuple]]:
         full, start = [], 0
-        for k, length in cut(n, self.capacity, self.small):
-            bin_ = self.open.setdefault(k, [])
-            bin_.append((doc, start, length))
+        for k, length in cut(len(ids), self.capacity, self.small):
+            own = ids[start : start + length]
+            if k == 1:
+                full.append([(doc, start, length, own)])
+            else:
+                bin_ = self.open.setdefault(k, [])
+                bin_.append((doc, start, length, own.copy()))
+                if len(bin_) == k:
+                    full.append(self.open.pop(k))
             start += length
-            if len(bin_) == k:
-                full.append(self.open.pop(k))
         return full
 
+    def waiting(self) -> int:
+        """Bytes held by unfinished bins."""
+        return sum((p[3] if p[3].base is None else p[3].base).nbytes for bin_ in self.open.values() for p in bin_)
+
     def finish(self) -> list[list[tuple]]:
         pieces = [p for k in sorted(self.open) for p in self.open[k]]
         self.open = {}
@@ -69,12 +81,12 @@ class Packer:
         for size in sizes:
             sequence, room = [], size
             while room:
-                doc, start, length = pieces.pop(0)
+                doc, start, length, ids = pieces.pop(0)
                 took = min(length, room)
-                sequence.append((doc, start, took))
+                sequence.append((doc, start, took, ids[:took]))
                 room -= took
                 if took < length:
-                    pieces.insert(0, (doc, start + took, length - took))
+                    pieces.insert(0, (doc, start + took, length - took, ids[took:]))
             out.append(sequence)
         return out
 
@@ -93,9 +105,8 @@ def _packed(name: str, capacity: int, small: int, sums: bool):
             nonlocal sequence
             for pieces in sequences:
                 offset, total = 0, sum(p[2] for p in pieces)
-                for (doc_id, ids), start, length in pieces:
-                    own = ids[start : start + length]
-                    row = doc_id, start, length, zlib.crc32(own) if sums else own, len(ids), sequence, offset, total
+                for (doc_id, tokens), start, length, ids in pieces:
+                    row = doc_id, start, length, zlib.crc32(ids) if sums else ids, tokens, sequence, offset, total
                     for c, v in zip(columns, row, strict=False):
                         c.append(v)
                     offset += length
@@ -110,7 +121,7 @@ def _packed(name: str, capacity: int, small: int, sums: bool):
         for b in batches:
             for doc_id, text in zip(b["doc_id"].to_pylist(), b["text"], strict=True):
                 ids = np.array([*encode(text.as_py() or ""), CLOSING], dtype="<u4")
-                put(packer.add((doc_id, ids), len(ids)))
+                put(packer.add((doc_id, len(ids)), ids))
                 if len(columns[0]) >= (20_000 if sums else 2_000):
                     yield flush()
         put(packer.finish())

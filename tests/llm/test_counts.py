@@ -22,6 +22,21 @@ def test_edits_against_counting_all(monkeypatch):
             assert own.text == text and own.tree.total == (len(text), len(encode(text)))
 
 
+def test_edits_that_make_and_break_special_tokens(monkeypatch):
+    encode, count, cut, rng = encoder(), counts.counter("byte_bpe_50k.json"), pretokens(), random.Random(8)
+    monkeypatch.setattr(counts, "RUN", 4)
+    parts = ["<|endoftext|>", "<|endoftext", "|>", "<", "!", " ", "  ", "a", "endoftext|>", "\n"]
+    for _ in range(1500):
+        text = "".join(rng.choice(parts) for _ in range(rng.randrange(12)))
+        own = counts.CountedText(text, count, cut)
+        for _ in range(4):
+            a = rng.randrange(len(text) + 1)
+            b, new = min(len(text), a + rng.choice([0, 0, 1, 2, 13])), rng.choice([*parts, "", ">", "<|end"])
+            text = text[:a] + new + text[b:]
+            own.replace(a, b, new)
+            assert own.text == text and own.tokens == len(encode(text))
+
+
 def test_only_touched_runs_are_counted_anew():
     count, cut = counts.counter("byte_bpe_50k.json"), pretokens()
     own = counts.CountedText("some words here " * 20000, count, cut)

@@ -12,8 +12,8 @@ from findery.llm.tokens import encoder, vocabulary
 
 @pytest.fixture(scope="module")
 def reference():
+    """The tokenizer as its file gives it, special tokens included."""
     t = Tokenizer.from_file(vocabulary())
-    t.encode_special_tokens = True
     return lambda text: [*t.encode(text or "", add_special_tokens=False).ids, 1]
 
 
@@ -82,11 +82,12 @@ def test_harmonic_classes():
             n = want[doc] = rng.randrange(0, 3 * capacity)
             for k, length in packing.cut(n, capacity, small):
                 assert length * k <= capacity < length * (k + 1)
-            full += packer.add(doc, n)
+            full += packer.add(doc, np.arange(n, dtype="<u4"))
         for s in [*full, *packer.finish()]:
             size = sum(p[2] for p in s)
             assert 0 < size <= capacity
-            for doc, _, length in s:
+            for doc, start, length, ids in s:
+                assert ids.tolist() == list(range(start, start + length))
                 have[doc] += length
         assert all(have[d] == n for d, n in want.items())
 
@@ -101,3 +102,24 @@ def test_ids_are_those_of_the_tokenizer(reference):
     for _ in range(300):
         text = "".join(rng.choice("ab '’sétŽ汉🙂\n\t 12.!\u00a0\u3000<|endoftext|>") for _ in range(rng.randrange(60)))
         assert [*encode(text), 1] == reference(text)
+
+
+def test_special_tokens(reference):
+    assert encoder()("a <|endoftext|> b") == [64, 220, 50256, 275]
+    rng = random.Random(9)
+    for _ in range(500):
+        text = "".join(rng.choice(["<|endoftext|>", "<|", "|>", "endoftext", " ", "  ", "\n", "a", "!", "é", "<|endoftext"]) for _ in range(rng.randrange(12)))
+        assert [*encoder()(text), 1] == reference(text)
+
+
+def test_all_documents_have_the_tokenizers_ids(spark, reference):
+    encode = encoder()
+    for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("text").collect():
+        assert [*encode(r["text"] or ""), 1] == reference(r["text"])
+
+
+def test_what_waits_holds_no_documents():
+    rng, packer = random.Random(3), packing.Packer()
+    for doc in range(3000):
+        packer.add(doc, np.zeros(rng.randrange(1, 60_000), dtype="<u4"))
+        assert packer.waiting() <= 4 * 2048 * len(packer.open) <= 1 << 20
