@@ -12,11 +12,15 @@ that have them (in steps of a ninth), then the hash. Linked sets share one of th
    joined by storing its globally ordered sets in a trie; each set is looked up by walking the trie
    with the overlap of the path so far, leaving subtrees that even the whole rest couldn't bring to
    the threshold, or that hold only sets already known to be in its component.
-4. Groups beyond ``GROUP`` nodes are joined in parts; then all nodes that aren't in the group's main
-   component meet all its parts. Components of the links give the classes.
+4. Groups beyond ``GROUP`` nodes are split by the size of the sets into bands, each node going to its
+   own and the next, so that any two that can link meet in one. A band is joined in parts; then all
+   nodes that aren't in its main component meet all its parts. Components of the links give the classes.
 
-Shingles in more than a 512th of all documents (at most 512 times the mean set's size of them: the
-sum of all sets bounds it) are known to every task, so that they don't meet in one part.
+Shingles in very many sets are known to every task, so that they don't meet in one part. They are
+found by counting the shingles of a part of all texts, chosen by hash, in which one of ``hot_count``
+sets comes some ``SEEN`` times. A frequent one that the choice misses costs balance, never a link.
+The list has no more than ``2**21`` shingles, whatever the sets: it holds those that come ``SEEN / 2``
+times among at most ``SEEN * 2**20`` counted.
 
 Defined results: a null, empty or all-white text has an empty set, links to nothing and is its own
 component; fewer words than five are one shingle, the whole sequence; repeated rows are equal sets;
@@ -27,10 +31,11 @@ are null); an empty table gives no rows; other columns are ignored.
 from __future__ import annotations
 
 import hashlib
+import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
@@ -39,7 +44,8 @@ from findery.llm.words import mix, slices, windows, words
 from findery.scratch import materialize, shuffle_partitions
 
 SIZE, NUM, DEN = 5, 4, 5
-GROUP, HOT, PART, SLICE = 256, 512, 1 << 22, 1 << 23
+GROUP, PART, SLICE = 256, 1 << 22, 1 << 23
+HOT, LEAST_HOT, SEEN = 512, 1024, 32
 _KEY = 12
 
 
@@ -69,26 +75,48 @@ def _key(s: np.ndarray) -> bytes:
 
 
 def _info(size: int):
-    """Per document its id, set size and key; per batch the shingles that many of its sets have, with their number (a null key)."""
+    """Per document its id, set size and key."""
 
     def run(batches):
         for b in slices(batches, "text", SLICE):
-            n, key, distinct = [0] * len(b), [None] * len(b), {}
+            n, key = [0] * len(b), [None] * len(b)
             for row, s in _sets(b["text"], size):
                 n[row], key[row] = len(s), _key(s)
-                distinct[key[row]] = s
-            found, count = np.unique(np.concatenate([*distinct.values(), np.zeros(0, np.uint64)]), return_counts=True)
-            often = count >= max(16, len(b) // 256)
-            found, count = found[often], count[often]
-            none = [None] * len(found)
-            yield pa.RecordBatch.from_arrays(
-                [*(pa.concat_arrays([b[c].cast(pa.int64()), pa.array(none, pa.int64())]) for c in ("doc_id", "text_hash")), pa.array(n + count.tolist(), pa.int64()), pa.array(key + none, pa.binary()), pa.array([None] * len(b) + found.view(np.int64).tolist(), pa.int64())],
-                names=["doc_id", "text_hash", "n", "key", "hot"],
-            )
+            cols = [b["doc_id"].cast(pa.int64()), b["text_hash"].cast(pa.int64()), pa.array(n, pa.int64()), pa.array(key, pa.binary())]
+            yield pa.RecordBatch.from_arrays(cols, names=["doc_id", "text_hash", "n", "key"])
 
     return run
 
 
+def hot_count(n_docs: int, n_tokens: int) -> int:
+    """In how many sets a shingle is frequent: a 512th of all, or one in 2**20 of all sets' sizes together if that is more."""
+    return max(LEAST_HOT, n_docs // HOT, n_tokens >> 20)
+
+
+def _tokens_of(size: int):
+    """The shingles of each slice's distinct sets."""
+
+    def run(batches):
+        for b in slices(batches, "text", SLICE):
+            distinct = {_key(s): s for _, s in _sets(b["text"], size)}
+            for s in distinct.values():
+                yield pa.RecordBatch.from_arrays([pa.array(s.view(np.int64), pa.int64())], names=["token"])
+
+    return run
+
+
+def frequent(docs: DataFrame, size: int, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """Shingles in about ``least`` sets or more, ascending, and their ranks, by a count over one text in ``least / SEEN``."""
+    of = 1 << 30
+    share = min(of, -(-of * SEEN // least))
+    some = docs.filter(F.pmod(F.xxhash64("text", F.lit("frequent")), F.lit(of)) < share)
+    counted = some.select("text").mapInArrow(_tokens_of(size), "token long").groupBy("token").agg(F.count(F.lit(1)).alias("n"))
+    rows = counted.filter(F.col("n") >= max(2, least * share // (2 * of))).collect()
+    tokens, n = np.array([r[0] for r in rows], np.int64).view(np.uint64), np.array([r[1] for r in rows], np.int64)
+    o = np.argsort(tokens)
+    return tokens[o], np.maximum(rank_of(np.maximum(n[o] * of // share, 1)), rank_of(np.array([least]))[0])
+
+
 _BULK = "part int, keys binary, sizes binary, counts binary, tokens binary, ranks binary"
 _NAMES = ["part", "keys", "sizes", "counts", "tokens", "ranks"]
 
@@ -203,12 +231,19 @@ def _gather(table: pa.Table) -> pa.Table:
 
 def _firsts(batches):
     for b in batches:
-        keys, tokens = [], []
-        for key, first, t in zip(b["key"].to_pylist(), b["first"].to_pylist(), b["tokens"].to_pylist(), strict=True):
+        keys, sizes, tokens = [], [], []
+        for key, n, first, t in zip(*(b[c].to_pylist() for c in ("key", "n", "first", "tokens")), strict=True):
             t = np.frombuffer(t, "<i8")[:first]
             keys += [key] * len(t)
+            sizes += [n] * len(t)
             tokens.append(t)
-        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([*tokens, np.zeros(0, np.int64)]), pa.int64()), pa.array(keys, pa.binary())], names=["token", "key"])
+        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([*tokens, np.zeros(0, np.int64)]), pa.int64()), pa.array(keys, pa.binary()), pa.array(sizes, pa.int64())], names=["token", "key", "n"])
+
+
+def bands(n: Column, num: int = NUM, den: int = DEN) -> Column:
+    """A set's own band of sizes and the next. A band is a little wider than the largest ratio of sizes that can link, so that linked sets' bands are one apart at most."""
+    own = F.floor(F.ln(n.cast("double")) / math.log(den / num * 1.01))
+    return F.array(own, own + 1)
 
 
 class Trie:
@@ -353,25 +388,25 @@ def _links(units: DataFrame, nodes: DataFrame, num: int, den: int) -> DataFrame:
 def join_documents(docs: DataFrame, size: int = SIZE, num: int = NUM, den: int = DEN, group: int = GROUP) -> DataFrame:
     """``doc_id, text`` -> ``doc_id, text_hash, n_shingles, component, component_id``, a row per row; ``component`` is null for an empty set."""
     spark = docs.sparkSession
-    shape = "doc_id long, text_hash long, n long, key binary, hot long"
-    info = materialize(docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text").mapInArrow(_info(size), shape), "ngram-info")
-    rows = info.filter("hot IS NULL")
+    shape = "doc_id long, text_hash long, n long, key binary"
+    rows = materialize(docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text").mapInArrow(_info(size), shape), "ngram-info")
     n_docs, n_tokens = rows.agg(F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0))).first()
-    often = info.filter("hot IS NOT NULL").groupBy("hot").agg(F.sum("n").alias("n")).filter(F.col("n") >= max(64, n_docs // HOT)).collect()
-    hot = np.array([r[0] for r in often], dtype=np.int64).view(np.uint64)
-    hot_ranks = rank_of(np.array([r[1] for r in often], dtype=np.int64)) if len(often) else np.zeros(0, np.uint8)
-    hot_ranks = np.maximum(hot_ranks, rank_of(np.array([max(64, n_docs // HOT)]))[0])
-    o = np.argsort(hot)
+    hot, hot_ranks = frequent(docs, size, hot_count(n_docs, n_tokens))
     parts = max(shuffle_partitions(spark), -(-int(n_tokens) // PART))
-    sent = docs.select("text").mapInArrow(_shingles(size, parts, hot[o], hot_ranks[o]), _BULK)
+    sent = docs.select("text").mapInArrow(_shingles(size, parts, hot, hot_ranks), _BULK)
     counted = sent.groupBy("part").applyInArrow(_count(parts), _BULK)
     nodes = materialize(counted.groupBy("part").applyInArrow(_gather, _NODE), "ngram-nodes")
 
-    firsts = nodes.select("key", "first", "tokens").mapInArrow(_firsts, "token long, key binary")
+    firsts = nodes.select("key", "n", "first", "tokens").mapInArrow(_firsts, "token long, key binary, n long")
     centres = firsts.groupBy("token").agg(F.min("key").alias("centre"), F.count(F.lit(1)).alias("c")).filter("c > 1").drop("c")
-    members = materialize(firsts.join(centres, "token").select("centre", "key").distinct(), "ngram-members")
-    sizes = members.groupBy("centre").agg(F.count(F.lit(1)).alias("m")).filter("m > 1").withColumn("parts", F.ceil(F.col("m") / group))
-    dealt = members.join(sizes, "centre").withColumn("part", F.pmod(F.xxhash64("key"), F.col("parts")))
+    members = materialize(firsts.join(centres, "token").select("centre", "key", "n").distinct(), "ngram-members")
+    sizes = members.groupBy("centre").agg(F.count(F.lit(1)).alias("m")).filter("m > 1")
+    met = members.join(sizes, "centre")
+    banded = met.filter(F.col("m") > group).withColumn("band", F.explode(bands(F.col("n"), num, den)))
+    banded = banded.select(F.concat("centre", F.encode(F.concat(F.lit("#"), F.col("band").cast("string")), "utf-8")).alias("centre"), "key")
+    again = banded.groupBy("centre").agg(F.count(F.lit(1)).alias("m")).filter("m > 1")
+    met = met.filter(F.col("m") <= group).select("centre", "key", "m").unionByName(banded.join(again, "centre").select("centre", "key", "m"))
+    dealt = met.withColumn("parts", F.ceil(F.col("m") / group)).withColumn("part", F.pmod(F.xxhash64("key"), F.col("parts")))
     unit = lambda *cs: F.concat(F.col("centre"), *(F.encode(F.concat(F.lit("/"), c.cast("string")), "utf-8") for c in cs))
     own = dealt.select(unit(F.col("part")).alias("unit"), "key", F.col("key").alias("component"))
     links = materialize(_links(own, nodes, num, den), "ngram-links")
@@ -382,7 +417,9 @@ def join_documents(docs: DataFrame, size: int = SIZE, num: int = NUM, den: int =
         named = materialize(large.join(stars, large["key"] == stars["node"], "left").select("centre", "key", "parts", "part", F.coalesce("component", "key").alias("component")), "ngram-large")
         per = named.groupBy("centre", "component").agg(F.count(F.lit(1)).alias("c"))
         main = per.groupBy("centre").agg(F.max_by("component", F.struct("c", "component")).alias("main"), (F.sum("c") - F.max("c")).alias("others"))
-        both = named.join(main.filter("others > 0"), "centre").withColumn("blocks", F.ceil(F.col("others") / group))
+        # Larger tiles than above, as each unit of a block and a part carries both sides' shingles.
+        both = named.join(main.filter("others > 0"), "centre").withColumn("blocks", F.ceil(F.col("others") / (2 * group)))
+        both = both.withColumn("parts", F.ceil(F.col("parts") / 2)).withColumn("part", F.pmod("part", F.col("parts")))
         strays = both.filter("component <> main").withColumn("block", F.pmod(F.xxhash64(F.lit(1), "key"), F.col("blocks")))
         strays = strays.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
         others = both.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
@@ -390,7 +427,6 @@ def join_documents(docs: DataFrame, size: int = SIZE, num: int = NUM, den: int =
         across = units.select(unit(F.col("block"), F.col("part")).alias("unit"), "key", "component").distinct()
         stars = components(links.unionByName(_links(across, nodes, num, den)))
 
-    stars = materialize(stars, "ngram-stars")
     ids = rows.filter("key IS NOT NULL").groupBy("key").agg(F.min("doc_id").alias("least"))
     of = ids.join(stars, ids["key"] == stars["node"], "left").select("key", "least", F.coalesce("component", "key").alias("component"))
     named = of.groupBy("component").agg(F.min("least").alias("component_id"))
@@ -409,7 +445,7 @@ def keep_one(docs: DataFrame, **how) -> DataFrame:
     empty = classes.filter("component IS NULL").select(F.col("doc_id").alias("_ng_id"), F.col("text_hash").alias("_ng_hash")).distinct()
     rows = docs.withColumn("_ng_own", F.xxhash64("text"))
     same = rows["doc_id"].eqNullSafe(kept["_ng_id"]) & (rows["_ng_own"] == kept["_ng_hash"])
-    once = W.partitionBy("doc_id", "_ng_own").orderBy(*(c for c, t in docs.dtypes if c not in ("doc_id", "text") and not t.startswith("map")), F.lit(0))
+    once = W.partitionBy("doc_id", "_ng_own").orderBy(*(c for c, t in docs.dtypes if c not in ("doc_id", "text") and "map<" not in t and t not in ("variant", "interval")), F.lit(0))
     found = rows.join(kept, same, "left_semi").withColumn("_ng_place", F.row_number().over(once)).filter("_ng_place = 1")
     same = rows["doc_id"].eqNullSafe(empty["_ng_id"]) & (rows["_ng_own"] == empty["_ng_hash"])
     return found.select(docs.columns).unionByName(rows.filter(~F.col("text").rlike(r"[^\x20\x09-\x0D]") | F.col("text").isNull()).join(empty, same, "left_semi").select(docs.columns))

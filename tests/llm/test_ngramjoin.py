@@ -2,6 +2,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from findery.llm import ngramjoin
 from findery.llm.components import components
@@ -76,7 +77,60 @@ def test_components(spark):
     assert {(r["node"][0], r["component"][0]) for r in got} == {(9, 5), (8, 5), (7, 5), (6, 5), (2, 1), (3, 1), (20, 1)}
 
 
+@pytest.mark.parametrize("local", [1, 3, 1 << 18])
+def test_components_by_rounds(spark, local):
+    rng = random.Random(local)
+    pairs = [(rng.randrange(60), rng.randrange(60)) for _ in range(45)] + [(i, i + 1) for i in range(60, 90)] + [(200, i) for i in range(100, 130)]
+    label = {x: x for p in pairs for x in p}
+    for _ in label:
+        for a, b in pairs:
+            label[a] = label[b] = min(label[a], label[b])
+    df = spark.createDataFrame([(bytes([a]), bytes([b])) for a, b in pairs], "a binary, b binary").repartition(3)
+    got = {r["node"][0]: r["component"][0] for r in components(df, local).collect()}
+    assert got == {x: y for x, y in label.items() if x != y}
+    assert components(df.limit(0), local).count() == 0
+
+
+def test_frequent_shingles_of_long_documents(spark, monkeypatch):
+    monkeypatch.setattr(ngramjoin, "LEAST_HOT", 20)
+    shared = " ".join(f"s{i}" for i in range(50))
+    docs = table(spark, [(d, shared + " " + " ".join(f"d{d}x{i}" for i in range(60_000))) for d in range(40)])
+    hot, ranks = ngramjoin.frequent(docs, 5, ngramjoin.hot_count(40, 40 * 60_046))
+    assert len(hot) == len(ranks) == 46 and (ranks == ngramjoin.rank_of(np.array([40]))[0]).all()
+
+
+def test_frequent_shingles_lose_no_link(spark, monkeypatch):
+    monkeypatch.setattr(ngramjoin, "LEAST_HOT", 3)
+    monkeypatch.setattr(ngramjoin, "SEEN", 2)
+    rows = brute.corpus(random.Random(11), 160)
+    got = ngramjoin.join_documents(table(spark, rows), group=4).select("doc_id", "n_shingles", "component_id").collect()
+    assert sorted(map(repr, map(tuple, got))) == sorted(map(repr, brute.classes(rows)))
+
+
+def test_bands_of_linked_sizes_are_neighbours(spark):
+    rows = spark.range(1, 3000).select(F.col("id").alias("n"), ngramjoin.bands(F.col("id"))[0].alias("b")).collect()
+    band = {r["n"]: r["b"] for r in rows}
+    assert all(band[5 * n // 4] - band[n] <= 1 for n in range(1, 2399))
+
+
+def test_unlike_documents_about_one_shingle_meet_by_size(spark):
+    """Templated pages: one shared shingle, bodies of their own, of all sizes; some near copies among them."""
+    rng, rows = random.Random(4), []
+    for i in range(240):
+        body = [f"b{i}x{k}" for k in range(5 + i // 4)]
+        rows.append((i, " ".join(["a", "b", "c", "d", "e", *body])))
+        if i % 40 == 0:
+            rows.append((1000 + i, " ".join(["a", "b", "c", "d", "e", *body, "end"])))
+    got = ngramjoin.join_documents(table(spark, rows), group=8).select("doc_id", "n_shingles", "component_id").collect()
+    assert sorted(map(repr, map(tuple, got))) == sorted(map(repr, brute.classes(rows)))
+
+
 def test_keep_one(spark):
     rows = [(3, "a b c d e f", "x"), (1, "A B c d e f", "y"), (1, "A B c d e f", "y"), (None, "a b c d e f", "n"), (None, "q", "n"), (5, "", "e"), (6, None, "e"), (7, "z", "s")]
     got = ngramjoin.keep_one(spark.createDataFrame(rows, "doc_id long, text string, hot string")).collect()
     assert sorted(map(repr, map(tuple, got))) == sorted(map(repr, [(1, "A B c d e f", "y"), (None, "q", "n"), (5, "", "e"), (6, None, "e"), (7, "z", "s")]))
+
+
+def test_keep_one_of_rows_with_nested_maps(spark):
+    rows = spark.createDataFrame([(1, "a b c d e f", [{"k": "v"}]), (2, "a b c d e f", None)], "doc_id long, text string, extra array<map<string,string>>")
+    assert [r["doc_id"] for r in ngramjoin.keep_one(rows).collect()] == [1]
