@@ -75,7 +75,7 @@ def _apart(least: DataFrame) -> DataFrame:
 
 
 def components(links: DataFrame, local: int = LOCAL) -> DataFrame:
-    """``a, b`` (binary) -> ``node, component`` for every node but the smallest of its component, as a written table.
+    """``a, b`` (binary, a written table: it is counted, then read) -> ``node, component`` for every node but the smallest of its component, as a written table.
 
     Each task first contracts its own links, ``local`` at a time: up to so many links are done with
     that. More of them go on by rounds of large and small stars and contraction, each written to the

@@ -425,7 +425,7 @@ def join_documents(docs: DataFrame, size: int = SIZE, num: int = NUM, den: int =
         others = both.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
         units = strays.select("centre", "block", "part", "key", "component").unionByName(others.select("centre", "block", "part", "key", "component"))
         across = units.select(unit(F.col("block"), F.col("part")).alias("unit"), "key", "component").distinct()
-        stars = components(links.unionByName(_links(across, nodes, num, den)))
+        stars = components(links.unionByName(materialize(_links(across, nodes, num, den), "ngram-across")))
 
     ids = rows.filter("key IS NOT NULL").groupBy("key").agg(F.min("doc_id").alias("least"))
     of = ids.join(stars, ids["key"] == stars["node"], "left").select("key", "least", F.coalesce("component", "key").alias("component"))
