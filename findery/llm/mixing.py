@@ -6,10 +6,11 @@ quotients, each source's blocks become quotas of its shards the same way, and ev
 its quota from its documents in a seeded order, laid end to end and repeated.
 
 Defined results: a null or empty text has size 0 and nothing is taken from it; a null source is a
-source of its own, after all others; a null ``doc_id`` is ordered like the text ``null``; rows with
-equal id and size are interchangeable; an empty table gives an empty result. Columns of the input
-beside those named here are kept, but source_size, target and taken are replaced and names starting
-with ``_mix_`` dropped.
+source of its own, after all others; null and repeated ids are told apart, and spread over shards, by
+the hash of the text (or by size, where ``mix`` is given no text); rows equal in both are
+interchangeable and share a shard; an empty table gives an empty result. Columns of the input beside
+those named here are kept, but source_size, target and taken are replaced and names starting with
+``_mix_`` dropped.
 """
 
 from __future__ import annotations
@@ -34,8 +35,10 @@ def n_words(text: Column) -> Column:
     return F.coalesce(F.length(ended) - F.length(F.translate(ended, "w", "")), F.lit(0)).cast("long")
 
 
-def seeded(doc_id: Column, seed: int = SEED) -> Column:
-    return F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(doc_id.cast("string"), F.lit("null"))))
+def seeded(doc_id: Column, other: Column, seed: int = SEED) -> Column:
+    """A row's place in the order that reruns repeat: by its id and what else tells it from rows with the same id."""
+    known = lambda c: F.coalesce(c.cast("string"), F.lit("null"))
+    return F.md5(F.concat(F.lit(f"{seed}:"), known(doc_id), F.lit(":"), known(other)))
 
 
 def shard_of(order: Column, shards: Column) -> Column:
@@ -111,13 +114,14 @@ def quotas(sized: DataFrame, weights=WEIGHTS, share=SHARE, cap=CAP, block=BLOCK,
 
 
 def mix(sized: DataFrame, weights=WEIGHTS, share=SHARE, cap=CAP, block=BLOCK, shard_docs=SHARD_DOCS, seed=SEED) -> DataFrame:
-    """``sized`` holds ``doc_id, source, size`` and any other columns; adds ``source_size, target, taken``.
+    """``sized`` holds ``doc_id, source, size`` and any other columns (``text`` or its MD5 as ``text_md5`` among them, if rows may share an id); adds ``source_size, target, taken``.
 
     A shard is a hash part of a source with about ``shard_docs`` documents, so that a source with a
     third of all rows is many windows. Within its shard, a document is taken ``taken / size`` times.
     """
     sized = sized.drop("source_size", "target", "taken")
-    ordered = sized.withColumn("_mix_order", seeded(F.col("doc_id"), seed))
+    other = F.col("text_md5") if "text_md5" in sized.columns else F.md5("text") if "text" in sized.columns else F.col("size")
+    ordered = sized.withColumn("_mix_order", seeded(F.col("doc_id"), other, seed))
     plan = quotas(ordered.select("source", "size", "_mix_order"), weights, share, cap, block, shard_docs)
     plan = materialize(plan.select("_mix_source", "source_size", "target", "_mix_shards", F.col("_mix_shard").alias("_mix_part"), "_mix_shard_size", "_mix_take"), "mix-quotas")
     counts = plan.groupBy("_mix_source").agg(F.first("_mix_shards").alias("_mix_shards"))
@@ -138,14 +142,14 @@ def mix(sized: DataFrame, weights=WEIGHTS, share=SHARE, cap=CAP, block=BLOCK, sh
 
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    sized = materialize(docs.select("doc_id", "source", n_words(F.col("text")).alias("size")), "mix-sizes")
+    sized = materialize(docs.select("doc_id", "source", n_words(F.col("text")).alias("size"), F.md5("text").alias("text_md5")), "mix-sizes")
     return mix(sized).select("doc_id", "size", "source_size", "target", "taken")
 
 
 ORACLE_SQL = f"""
 WITH d AS (
   SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0)::BIGINT AS size,
-         md5('{SEED}:' || coalesce(doc_id::VARCHAR, 'null')) AS h
+         md5('{SEED}:' || coalesce(doc_id::VARCHAR, 'null') || ':' || coalesce(md5(text), 'null')) AS h
   FROM documents),
 s AS (SELECT source, sum(size)::BIGINT AS source_size, count(*) AS docs FROM d GROUP BY source),
 r AS (SELECT *, row_number() OVER (ORDER BY source NULLS LAST) AS rk, sum(source_size) OVER ()::DOUBLE * {SHARE[0]} / {SHARE[1]} AS budget FROM s),

@@ -82,3 +82,20 @@ def test_number_of_words(spark):
     texts = [None, "", " ", "a", " a\tb\n\nc ", "w w", "a\u00a0b c", "x\x0by\x0cz", "ww"]
     rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
     assert [r[0] for r in rows.orderBy("i").select(mixing.n_words(F.col("t"))).collect()] == [len(brute.words(t)) for t in texts]
+
+
+def test_rows_without_ids_are_spread_over_shards(spark):
+    """20,000 rows of one source without an id, as many with one id: no shard has much more than its share, targets are met."""
+    rows = spark.range(40000).select(F.when(F.col("id") % 2 == 0, F.lit(7)).cast("long").alias("doc_id"), F.lit("s").alias("source"), (F.col("id") % 97).alias("size"), F.col("id").cast("string").alias("text"))
+    order = rows.select(mixing.shard_of(mixing.seeded(F.col("doc_id"), F.md5("text")), F.lit(10)).alias("shard")).groupBy("shard").count().collect()
+    assert len(order) == 10 and max(r["count"] for r in order) < 4600
+    got = mixing.mix(rows).agg(F.sum("taken").alias("taken"), F.first("target").alias("target")).first()
+    assert abs(got["taken"] - got["target"]) <= 64
+    by_size = rows.select(mixing.shard_of(mixing.seeded(F.col("doc_id"), F.col("size")), F.lit(5)).alias("shard")).groupBy("shard").count().collect()
+    assert len(by_size) == 5
+
+
+def test_query_on_null_and_repeated_ids(spark, tmp_path):
+    rows = spark.range(9000).select(F.when(F.col("id") % 3 > 0, F.col("id") % 3).alias("doc_id"), F.when(F.col("id") % 7 > 0, "s").alias("source"), F.concat(F.col("id").cast("string"), F.repeat(F.lit(" w"), (F.col("id") % 50).cast("int"))).alias("text"))
+    rows.unionByName(rows.limit(20)).write.parquet(str(tmp_path / "documents.parquet"))
+    same(mixing.op4_mixing(spark, str(tmp_path)), mixing.ORACLE_SQL, str(tmp_path))
