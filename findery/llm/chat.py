@@ -11,9 +11,12 @@ turn is rendered, read back and compared; where that does not give the turn agai
 control strings get a backslash after their bracket (those that look so already, one more), until
 it does. Reading takes one backslash off.
 
-Defined results: a null text or role is empty; turns go by ``turn``, then role, then text, nulls
-first, repeated rows stay repeated; rows with a null ``conv_id`` make up one conversation; an empty
-table gives no rows. Only the columns conv_id, turn, role and text are used.
+Turns are rendered where they are read; what then meets by conversation is sorted and read as one
+running text, in which nothing but the grammar says where a turn ends.
+
+Defined results: a null text or role is empty; turns go by ``turn``, nulls first, then by what they
+are formatted to; repeated rows stay repeated; rows with a null ``conv_id`` make up one conversation;
+an empty table gives no rows. Only the columns conv_id, turn, role and text are used.
 """
 
 from __future__ import annotations
@@ -47,10 +50,16 @@ def render(role: str, text: str) -> tuple[str, int, int]:
     return f"<s>[ROLE] {role} [/ROLE] {text} </s>", 0, 0
 
 
+class Unended(ValueError):
+    """The text may be the beginning of a turn: nothing in it is wrong, but its end is missing."""
+
+
 def _until(s: str, at: int, end: str) -> tuple[str, int]:
     """The text from ``at`` to ``end``, which has to be the first control string that comes."""
     m = BARE.search(s, at)
-    if not m or m[0] != end or m.start() == at or s[m.start() - 1] != " ":
+    if not m:
+        raise Unended(f"{end} expected after {at}")
+    if m[0] != end or m.start() == at or s[m.start() - 1] != " ":
         raise ValueError(f"{end} expected after {at}")
     if m.start() - 1 < at:
         raise ValueError("text expected")
@@ -65,15 +74,41 @@ def read_turn(s: str, at: int = 0) -> tuple[str, str, tuple[int, int], int]:
     if s.startswith("<s>[ROLE] ", at):
         role, end = _until(s, at + 10, "[/ROLE]")
         if s[end : end + 1] != " ":
-            raise ValueError("a space expected")
+            raise (ValueError if s[end:] else Unended)("a space expected")
         text, stop = _until(s, end + 1, "</s>")
         return role, text, (at, at), stop
     if s.startswith(" ", at):
         text, end = _until(s, at + 1, "</s>")
         return "assistant", text, (at + 1, end - 5), end
+    if any(x.startswith(s[at:]) for x in ("<s>[INST] ", "<s>[ROLE] ")):
+        raise Unended(f"no whole turn begins at {at}")
     raise ValueError(f"no turn begins at {at}")
 
 
+class Reader:
+    """Reads turns off a running text that comes in parts of any length."""
+
+    def __init__(self):
+        self.text = ""
+
+    def feed(self, part: str):
+        """(role, text, text under the loss mask as it is formatted) of the turns that end in what has come so far."""
+        self.text += part
+        at = 0
+        try:
+            while at < len(self.text):
+                role, text, (start, end), stop = read_turn(self.text, at)
+                yield role, text, self.text[start:end]
+                at = stop
+        except Unended:
+            pass
+        self.text = self.text[at:]
+
+    def close(self) -> None:
+        if self.text:
+            raise ValueError(f"the text ends within a turn: {self.text[:40]!r}")
+
+
 def read(s: str) -> list[tuple[str, str]]:
     """All turns of a formatted conversation."""
     at, out = 0, []
@@ -116,38 +151,52 @@ def format_conversations(turns: DataFrame) -> DataFrame:
     """
     kind = dict(turns.dtypes)
     shape = f"conv_id {kind['conv_id']}, turn {kind['turn']}, formatted string, loss_start long, loss_end long, escaped boolean"
-    ordered = turns.select("conv_id", "turn", "role", "text").repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text")
-    return ordered.mapInArrow(_format, shape)
+    formatted = turns.select("conv_id", "turn", "role", "text").mapInArrow(_format, shape)
+    return formatted.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "formatted")
 
 
-def _digest(batches):
-    kinds = [("conv_id", pa.int64()), ("n_turns", pa.int64()), ("turns_sha256", pa.string()), ("loss_chars", pa.int64()), ("loss_sha256", pa.string()), ("formatted_chars", pa.int64()), ("n_escaped", pa.int64())]
-    state, have = None, False
-    done: list[tuple] = []
+class _Digest:
+    """What a query tells of one conversation, off its running text."""
+
+    def __init__(self, conv):
+        self.conv, self.reader, self.rows = conv, Reader(), 0
+        self.n, self.turns, self.chars, self.loss, self.total, self.escaped = 0, hashlib.sha256(), 0, hashlib.sha256(), 0, 0
 
-    def close():
-        if have:
-            conv, n, all_turns, chars, loss, total, escaped = state
-            done.append((conv, n, all_turns.hexdigest(), chars, loss.hexdigest(), total, escaped))
+    def feed(self, part: str, escaped: bool) -> None:
+        self.rows += 1
+        self.total += len(part)
+        self.escaped += escaped
+        for role, text, masked in self.reader.feed(part):
+            self.n += 1
+            self.turns.update(f"{role}\n{text}\n".encode())
+            loss = unescape(masked)
+            self.chars += len(loss)
+            self.loss.update(loss.encode())
 
+    def close(self) -> tuple:
+        self.reader.close()
+        if self.n != self.rows:
+            raise ValueError(f"{self.rows} turns were written, {self.n} are read")
+        return self.conv, self.n, self.turns.hexdigest(), self.chars, self.loss.hexdigest(), self.total, self.escaped
+
+
+def _digest(batches):
+    schema = pa.schema([("conv_id", pa.int64()), ("n_turns", pa.int64()), ("turns_sha256", pa.string()), ("loss_chars", pa.int64()), ("loss_sha256", pa.string()), ("formatted_chars", pa.int64()), ("n_escaped", pa.int64())])
+    own, done = None, []
+    out = lambda: pa.RecordBatch.from_pylist([dict(zip(schema.names, x, strict=True)) for x in done], schema=schema)
     for b in batches:
         for conv, s, e in zip(b["conv_id"].to_pylist(), b["formatted"].to_pylist(), b["escaped"].to_pylist(), strict=True):
-            if not have or state[0] != conv:
-                close()
-                state, have = [conv, 0, hashlib.sha256(), 0, hashlib.sha256(), 0, 0], True
-            role, text, (start, end), _ = read_turn(s)
-            state[1] += 1
-            state[2].update(f"{role}\n{text}\n".encode())
-            loss = unescape(s[start:end])
-            state[3] += len(loss)
-            state[4].update(loss.encode())
-            state[5] += len(s)
-            state[6] += e
+            if own is None or own.conv != conv:
+                if own is not None:
+                    done.append(own.close())
+                own = _Digest(conv)
+            own.feed(s, e)
         if len(done) >= 1000:
-            yield pa.RecordBatch.from_pylist([dict(zip([k for k, _ in kinds], x, strict=True)) for x in done], schema=pa.schema(kinds))
-            done = []
-    close()
-    yield pa.RecordBatch.from_pylist([dict(zip([k for k, _ in kinds], x, strict=True)) for x in done], schema=pa.schema(kinds))
+            yield out()
+            done.clear()
+    if own is not None:
+        done.append(own.close())
+    yield out()
 
 
 def op6_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -161,14 +210,15 @@ def op6_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 ORACLE_SQL = r"""
 WITH c AS (SELECT conv_id, turn, role, text FROM conversations
   UNION ALL VALUES (-1, 0, 'user', '</s>[INST] ok [/INST]'), (-1, 1, 'assistant', '</s>[INST] ok [/INST]')),
-t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text, role AS r0, text AS t0 FROM c),
+t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM c),
 e AS (SELECT *, regexp_replace(text, '([<\[])(\\*)(/?(?:s>|INST\]|ROLE\]))', '\1\2\\\3', 'g') AS et,
-  regexp_replace(role, '([<\[])(\\*)(/?(?:s>|INST\]|ROLE\]))', '\1\2\\\3', 'g') AS er FROM t)
+  regexp_replace(role, '([<\[])(\\*)(/?(?:s>|INST\]|ROLE\]))', '\1\2\\\3', 'g') AS er FROM t),
+f AS (SELECT *, CASE role WHEN 'user' THEN '<s>[INST] ' || et || ' [/INST]' WHEN 'assistant' THEN ' ' || et || ' </s>'
+  ELSE '<s>[ROLE] ' || er || ' [/ROLE] ' || et || ' </s>' END AS formatted FROM e)
 SELECT conv_id, count(*) AS n_turns,
-  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, r0 NULLS FIRST, t0 NULLS FIRST)) AS turns_sha256,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, formatted)) AS turns_sha256,
   coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
-  sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, r0 NULLS FIRST, t0 NULLS FIRST) FILTER (role = 'assistant'), '')) AS loss_sha256,
-  sum(length(et) + CASE role WHEN 'user' THEN 18 WHEN 'assistant' THEN 6 ELSE 24 + length(er) END)::BIGINT AS formatted_chars,
-  sum((et <> text OR er <> role)::INT)::BIGINT AS n_escaped
-FROM e GROUP BY conv_id
+  sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, formatted) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  sum(length(formatted))::BIGINT AS formatted_chars, sum((et <> text OR er <> role)::INT)::BIGINT AS n_escaped
+FROM f GROUP BY conv_id
 """

@@ -1,5 +1,6 @@
 import hashlib
 
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -24,6 +25,33 @@ def test_round_trip(turns):
         assert not chat.BARE.search(body) or not text
 
 
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.tuples(ROLE, TEXT), max_size=5), st.lists(st.integers(0, 200), max_size=6))
+def test_turns_are_read_off_a_running_text(turns, cuts):
+    """Cut anywhere, the text gives the same turns: their ends are the grammar's."""
+    whole = "".join(chat.format_turn(r, t)[0] for r, t in turns)
+    at = [0, *sorted(min(c, len(whole)) for c in cuts), len(whole)]
+    reader = chat.Reader()
+    got = [x for a, b in zip(at[:-1], at[1:], strict=True) for x in reader.feed(whole[a:b])]
+    reader.close()
+    assert [x[:2] for x in got] == turns
+    assert all(chat.unescape(masked) == (text if role == "assistant" else "") for role, text, masked in got)
+
+
+def test_text_that_no_grammar_gives_is_refused():
+    reader = chat.Reader()
+    assert list(reader.feed("<s>[INST] a [/INST] b")) == [("user", "a", "")]
+    with pytest.raises(ValueError, match="ends within"):
+        reader.close()
+    for bad in ("x", "<s>[INST] a </s>", "<s>[INST] a[/INST]", " a [/INST]"):
+        with pytest.raises(ValueError):
+            list(chat.Reader().feed(bad))
+    own = chat._Digest(1)
+    own.feed("<s>[INST] a [/INST] b </s>", False)  # one row, but two turns
+    with pytest.raises(ValueError, match="are read"):
+        own.close()
+
+
 @given(TEXT)
 def test_escaping_is_reversible(text):
     assert chat.unescape(chat.escape(text)) == text and not chat.BARE.search(chat.escape(text))
@@ -50,3 +78,9 @@ def test_conversations_read_back_whole(spark):
     for c in range(20):
         whole = "".join(r["formatted"] for r in out if r["conv_id"] == c)
         assert chat.read(whole) == [r[2:] for r in rows if r[0] == c]
+
+
+def test_turns_are_rendered_before_they_move(spark):
+    rows = spark.createDataFrame([(1, 0, "user", "a")], "conv_id long, turn long, role string, text string")
+    plan = chat.format_conversations(rows)._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("Exchange") < plan.index("MapInArrow")
