@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import hashlib
 import re
 import unicodedata
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -58,6 +60,34 @@ def tokens_python(value: str | None) -> list[str]:
     return out
 
 
+_WORDS: dict[str, int] = {}
+
+
+def token_codes(value: str | None) -> np.ndarray:
+    """``tokens_python`` as 64-bit numbers, in no order: equal tokens have equal codes.
+
+    Two or three letters are written side by side, exactly; a longer word is a hash with the highest
+    bit set, so that only two long words could ever be taken for each other (one in 2**63 a pair).
+    """
+    base = norm_python(value)
+    c = np.frombuffer(base.replace(" ", "").encode("utf-32-le"), "<u4").astype(np.uint64)
+    two = c[:-1] << np.uint64(21) | c[1:]
+    three = two[:-1] << np.uint64(21) | c[2:] if len(c) > 2 else two[:0]
+    words = []
+    for w in base.split(" "):
+        if len(w) > 1:
+            code = _WORDS.get(w)
+            if code is None:
+                if len(_WORDS) >= 1 << 20:
+                    _WORDS.clear()
+                code = 0
+                for x in w if len(w) < 4 else "":
+                    code = code << 21 | ord(x)
+                _WORDS[w] = code = code or int.from_bytes(hashlib.blake2b(w.encode(), digest_size=8).digest(), "little") | 1 << 63
+            words.append(code)
+    return np.concatenate([two, three, np.array(words, np.uint64)])
+
+
 def strip(value: Column) -> Column:
     """Unicode white space off both ends."""
     return F.regexp_replace(value, r"(?U)^\s+|\s+$", "")

@@ -1,26 +1,39 @@
 """Dense and sparse retrieval for many questions in one pass over the corpus.
 
-Questions travel in blocks of at most ``BLOCK``, each a broadcast of bounded size for which the
-corpus is scanned once; a task keeps the k best of a question in its batch, so that what is
-shuffled is k rows per question and batch, whatever the size of the corpus.
+Questions travel in blocks of at most ``BLOCK``. For a block the corpus is scanned once, and a task
+keeps the k best of a question, so that what is shuffled is k rows for each question and batch,
+whatever the size of the corpus. More questions than a block are read off their table a block at a
+time, and each block's results are written before the next begins: the driver holds one block, and no
+plan grows with the number of questions.
+
+Defined results: a question or chunk without text, vector or issuer is found by, and finds, nothing
+that needs it; a question's issuers are stripped and empty ones left out (none left: the sparse side
+finds nothing, the dense side everything); repeated chunks are found each; rows that share a
+``question_id``, which may be of any type, are ranked as one list; an empty table gives no rows; other
+columns are ignored.
 """
 
 from __future__ import annotations
 
-from collections import Counter
-from functools import reduce
+import uuid
+from collections.abc import Callable
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.window import Window as W
 
-from findery.functions.text import tokens_python
+from findery.functions.text import token_codes
 from findery.operators import filters
+from findery.scratch import materialize, remove_at_end, shared_dir
 
 DENSE_K = SPARSE_K = 50
 BLOCK = 4096
+STEP, PENDING = 256, 1 << 19
 DIGITS = 9
 
 
@@ -33,117 +46,185 @@ def _first(q: np.ndarray, score: np.ndarray, order: np.ndarray, k: int) -> np.nd
     return o[place < k]
 
 
-def _out(names, ids, q, score, order, chunks) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([ids.take(pa.array(q)), chunks.take(pa.array(order)), pa.array(score, pa.float64())], names=names)
+class Best:
+    """The k best chunks of each of a block's questions so far; about ``PENDING`` new ones wait at most."""
+
+    def __init__(self, questions: int, k: int):
+        self.k, self.least, self.n = k, np.full(questions, -np.inf), 0
+        self.parts: list[tuple] = []
+
+    def add(self, q: np.ndarray, score: np.ndarray, order: np.ndarray, at: np.ndarray) -> None:
+        """``order``: the corpus order of the chunks, ``at``: where they are in the batch."""
+        if len(q):
+            self.parts.append((q.astype(np.int32), score, order, at.astype(np.int32)))
+            self.n += len(q)
+            if self.n > PENDING:
+                self.settle()
+
+    def settle(self) -> tuple:
+        q, score, order, at = (np.concatenate(x) for x in zip(*self.parts, strict=True)) if self.parts else (np.zeros(0, np.int32), np.zeros(0), np.zeros(0, np.int64), np.zeros(0, np.int32))
+        o = _first(q, score, order, self.k)
+        out = q[o], score[o], order[o], at[o]
+        self.parts, self.n = [out], 0
+        numbers, first, count = np.unique(out[0], return_index=True, return_counts=True)
+        full = count == self.k
+        self.least[numbers[full]] = out[1][first[full] + self.k - 1]
+        return out
+
+
+def _hits(batch: pa.RecordBatch, ids: pa.Array, found: Best, score: str) -> pa.RecordBatch:
+    q, s, _, at = found.settle()
+    where = pa.array(at)
+    return pa.RecordBatch.from_arrays([ids.take(pa.array(q)), batch["ord"].take(where), pa.array(s, pa.float64()), batch["chunk_id"].take(where)], names=["question_id", "ord", score, "chunk_id"])
+
+
+def _by_blocks(questions: DataFrame, name: str, plan: Callable[[list], DataFrame]) -> DataFrame | None:
+    """``plan`` of each block of questions, together. One block's plan is returned as it is; of more, each is run and written."""
+    spark = questions.sparkSession
+    rows = questions.toLocalIterator()
+    block, after = list(islice(rows, BLOCK)), list(islice(rows, BLOCK))
+    if not after:
+        return plan(block) if block else None
+    path = f"{shared_dir(spark)}/findery/{name}-{uuid.uuid4().hex}"
+    while block:
+        hits = plan(block)
+        hits.write.mode("append").parquet(path)
+        block, after = after, list(islice(rows, BLOCK))
+    remove_at_end(spark, path)
+    return spark.read.schema(hits.schema).parquet(path)
+
+
+def _ranked(hits: DataFrame, k: int, score: str, name: str) -> DataFrame:
+    order = W.partitionBy("question_id").orderBy(F.desc(score), "ord")
+    ranked = hits.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
+    return ranked.select("question_id", "ord", "chunk_id", score, "rank", F.lit(name).alias("retriever"))
 
 
-def _blocks(questions: DataFrame, columns: list[str]):
-    """The questions' rows, ``BLOCK`` at a time, in order of their ids."""
-    rows, done = questions.select(*columns).orderBy("question_id"), 0
-    while True:
-        block = rows.offset(done).limit(BLOCK).collect() if done else rows.limit(BLOCK).collect()
-        if block:
-            yield block
-        if len(block) < BLOCK:
-            return
-        done += BLOCK
+def sparse_index(chunks: DataFrame) -> DataFrame:
+    """``ord, chunk_id, issuer, tokens, counts``: a chunk's distinct tokens (``token_codes``, ascending) and how often each comes.
 
+    The sparse side's postings, kept by chunk: a task scores its chunks whole, and only the best of
+    them are shuffled. To be written once where questions come more than once.
+    """
 
-def _ranked(hits: list[DataFrame], k: int, score: str, name: str) -> DataFrame:
-    every = reduce(DataFrame.unionByName, hits)
-    order = W.partitionBy("question_id").orderBy(F.desc(score), "ord")
-    ranked = every.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
-    return ranked.select("question_id", "ord", "chunk_id", score, "rank", F.lit(name).alias("retriever"))
+    def run(batches):
+        for b in batches:
+            made = [np.unique(token_codes(t), return_counts=True) for t in b["text"].to_pylist()]
+            ends = np.r_[0, np.cumsum([len(t) for t, _ in made])].astype(np.int32)
+            flat = lambda i, t, k: pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.zeros(0, t), *(m[i] for m in made)]).view(k)))
+            tokens, counts = flat(0, np.uint64, np.int64), flat(1, np.int64, np.int64)
+            yield pa.RecordBatch.from_arrays([b["ord"], b["chunk_id"], b["issuer"], tokens, counts], names=["ord", "chunk_id", "issuer", "tokens", "counts"])
 
+    return chunks.select("ord", "chunk_id", "issuer", "text").mapInArrow(run, "ord long, chunk_id string, issuer string, tokens array<long>, counts array<long>")
 
-def _sparse(rows, k: int):
-    ids = [r["question_id"] for r in rows]
-    lists: dict[str, list[tuple[int, int]]] = {}
-    for i, r in enumerate(rows):
-        for token, n in Counter(tokens_python(r["question"])).items():
-            lists.setdefault(token, []).append((i, n))
-    tokens = {t: j for j, t in enumerate(lists)}
-    counts = np.array([len(v) for v in lists.values()])
-    begin, flat = np.r_[0, np.cumsum(counts)], np.array([x for v in lists.values() for x in v]).reshape(-1, 2)
-    allowed: dict[str, list[int]] = {}
+
+def _asked(rows) -> dict[str, tuple]:
+    """issuer -> (question numbers, their distinct tokens, where each token's questions begin, those, how often they have it)."""
+    own: dict[str, list[int]] = {}
     for i, r in enumerate(rows):
-        for issuer in r["issuers"] or []:
-            if issuer and issuer.strip():
-                allowed.setdefault(issuer.strip(), []).append(i)
-    masks = {k: np.isin(np.arange(len(rows)), v) for k, v in allowed.items()}
+        for issuer in {x.strip() for x in r["issuers"] or [] if x} - {""}:
+            own.setdefault(issuer, []).append(i)
+    codes = [np.unique(token_codes(r["question"]), return_counts=True) for r in rows]
+    out = {}
+    for issuer, who in own.items():
+        every = np.concatenate([codes[i][0] for i in who])
+        number = np.repeat(np.arange(len(who)), [len(codes[i][0]) for i in who])
+        times = np.concatenate([codes[i][1] for i in who])
+        o = np.argsort(every, kind="stable")
+        tokens, begin = np.unique(every[o], return_index=True)
+        out[issuer] = np.array(who), tokens, np.r_[begin, len(every)], number[o], times[o]
+    return out
+
+
+def _sparse(rows, ids: pa.Array, k: int):
+    asked = _asked(rows)
 
     def run(batches):
-        names = ["question_id", "ord", "sparse_score", "chunk_id"]
         for b in batches:
-            qs, scores, at = [np.zeros(0, int)], [np.zeros(0)], [np.zeros(0, int)]
-            for j, (issuer, text) in enumerate(zip(b["issuer"].to_pylist(), b["text"].to_pylist(), strict=True)):
-                if issuer not in masks:
+            found, order, issuers = Best(len(rows), k), np.asarray(b["ord"]), b["issuer"].to_pylist()
+            ends = np.asarray(b["tokens"].offsets)
+            tokens, counts = np.asarray(b["tokens"].values).view(np.uint64), np.asarray(b["counts"].values)
+            for j, issuer in enumerate(issuers):
+                if issuer not in asked:
                     continue
-                own = Counter(tokens_python(text))
-                both = [(tokens[t], n) for t, n in own.items() if t in tokens]
-                if not both:
+                who, known, begin, number, times = asked[issuer]
+                own, n = tokens[ends[j] : ends[j + 1]], counts[ends[j] : ends[j + 1]]
+                at = np.minimum(np.searchsorted(known, own), max(0, len(known) - 1))
+                both = np.flatnonzero(known[at] == own) if len(known) else at[:0]
+                if not len(both):
                     continue
-                which, n = np.array(both).T
-                size = counts[which]
-                rows_ = np.repeat(begin[which] - np.r_[0, np.cumsum(size)[:-1]], size) + np.arange(size.sum())
-                overlap = np.bincount(flat[rows_, 0], np.minimum(flat[rows_, 1], np.repeat(n, size)), len(ids))
-                q = np.flatnonzero((overlap > 0) & masks[issuer])
-                qs.append(q)
-                scores.append(overlap[q] / np.sqrt(max(1, len(own))))
-                at.append(np.full(len(q), j))
-            q, score, at = np.concatenate(qs), np.concatenate(scores), np.concatenate(at)
-            o = _first(q, score, np.asarray(b["ord"])[at], k)
-            at = pa.array(at[o])
-            yield pa.RecordBatch.from_arrays([pa.array(ids).take(pa.array(q[o])), b["ord"].take(at), pa.array(score[o]), b["chunk_id"].take(at)], names=names)
+                at, n = at[both], n[both]
+                size = begin[at + 1] - begin[at]
+                flat = np.repeat(begin[at] - np.r_[0, np.cumsum(size)[:-1]], size) + np.arange(size.sum())
+                overlap = np.bincount(number[flat], np.minimum(times[flat], np.repeat(n, size)), len(who))
+                q = np.flatnonzero(overlap)
+                score = overlap[q] / np.sqrt(len(own))
+                q = who[q]
+                good = score >= found.least[q]
+                found.add(q[good], score[good], np.full(good.sum(), order[j]), np.full(good.sum(), j))
+            yield _hits(b, ids, found, "sparse_score")
 
     return run
 
 
-def sparse_search(chunks: DataFrame, questions: DataFrame, k: int = SPARSE_K) -> DataFrame:
+def _ids(rows, kind) -> pa.Array:
+    return pa.array([r["question_id"] for r in rows], to_arrow_type(kind))
+
+
+def sparse_search(chunks: DataFrame, questions: DataFrame, k: int = SPARSE_K, index: DataFrame | None = None) -> DataFrame:
     """Shared tokens (each as often as both have it) over the root of the chunk's distinct tokens: ``question_id, ord, chunk_id, sparse_score, rank, retriever``.
 
+    Reads ``index``, if there is one, else tokenises ``chunks`` (once, however many blocks there are).
     Chunks of an issuer that no question of the block asks for are left out at the scan.
     """
-    kind = dict(questions.dtypes)["question_id"]
-    hits = []
-    for rows in _blocks(questions, ["question_id", "question", "issuers"]):
-        wanted = sorted({i for r in rows for i in r["issuers"] or [] if i})
-        own = filters.records_for_issuers(chunks, wanted).select("ord", "chunk_id", "issuer", "text")
-        hits.append(own.mapInArrow(_sparse(rows, k), f"question_id {kind}, ord long, sparse_score double, chunk_id string"))
-    return _ranked(hits or [_none(chunks, kind, "sparse_score")], k, "sparse_score", "sparse")
+    kind = questions.schema["question_id"].dataType
+    shape = f"question_id {kind.simpleString()}, ord long, sparse_score double, chunk_id string"
+    written = index
 
+    def plan(rows):
+        nonlocal written
+        wanted = sorted({i for r in rows for i in r["issuers"] or [] if i})
+        if len(rows) == BLOCK and written is None:
+            written = materialize(sparse_index(chunks), "postings")
+        own = filters.records_for_issuers(written, wanted) if written is not None else sparse_index(filters.records_for_issuers(chunks, wanted))
+        return own.select("ord", "chunk_id", "issuer", "tokens", "counts").mapInArrow(_sparse(rows, _ids(rows, kind), k), shape)
 
-def _none(chunks: DataFrame, kind: str, score: str) -> DataFrame:
-    return chunks.sparkSession.createDataFrame([], f"question_id {kind}, ord long, {score} double, chunk_id string")
+    hits = _by_blocks(questions.select("question_id", "question", "issuers"), "sparse", plan)
+    return _ranked(hits if hits is not None else chunks.sparkSession.createDataFrame([], shape), k, "sparse_score", "sparse")
 
 
-def _dense(rows, k: int):
-    rows = [r for r in rows if r["vector"]]
-    ids = [r["question_id"] for r in rows]
-    d = len(rows[0]["vector"]) if rows else 0
-    q = np.array([r["vector"] for r in rows], dtype=np.float64).reshape(len(rows), d)
-    q /= np.maximum(np.sqrt((q * q).sum(1, keepdims=True)), 1e-300)
+def _dense(rows, ids: pa.Array, k: int):
+    by_length: dict[int, list[int]] = {}
+    for i, r in enumerate(rows):
+        if r["vector"] and None not in r["vector"]:
+            by_length.setdefault(len(r["vector"]), []).append(i)
+    asked = {}
+    for d, who in by_length.items():
+        q = np.array([rows[i]["vector"] for i in who], dtype=np.float64)
+        asked[d] = np.array(who), q / np.maximum(np.sqrt((q * q).sum(1, keepdims=True)), 1e-300)
     every = np.array([not r["forms"] for r in rows], dtype=bool)
-    allowed: dict[str, list[int]] = {}
+    allowed = {}
     for i, r in enumerate(rows):
         for form in r["forms"] or []:
-            allowed.setdefault(form, []).append(i)
+            allowed.setdefault(form, every.copy())[i] = True
 
     def run(batches):
-        names = ["question_id", "ord", "similarity", "chunk_id"]
         for b in batches:
-            issuer, vectors = b["issuer"].to_pylist(), b["embedding"].to_pylist()
-            good = np.array([j for j, v in enumerate(vectors) if v is not None and len(v) == d and None not in v and len(rows)], dtype=int)
-            p = np.array([vectors[j] for j in good], dtype=np.float64).reshape(len(good), d)
-            score = np.round(p @ q.T, DIGITS)
-            mask = np.tile(every, (len(good), 1))
-            for n, j in enumerate(good.tolist()):
-                mask[n, allowed.get(issuer[j], [])] = True
-            at, qs = np.nonzero(mask)
-            s = score[at, qs]
-            o = _first(qs, s, np.asarray(b["ord"])[good[at]], k)
-            where = pa.array(good[at[o]])
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()).take(pa.array(qs[o])), b["ord"].take(where), pa.array(s[o]), b["chunk_id"].take(where)], names=names)
+            found, order = Best(len(rows), k), np.asarray(b["ord"])
+            issuer, vectors = b["issuer"].to_pylist(), b["embedding"]
+            flat = np.asarray(vectors.flatten().cast(pa.float64()).to_numpy(zero_copy_only=False))
+            sizes = np.asarray(pc.fill_null(pc.list_value_length(vectors), 0)).astype(np.int64)
+            ends = np.cumsum(sizes)
+            whole = np.bincount(np.repeat(np.arange(len(sizes)), sizes)[np.isnan(flat)], minlength=len(sizes)) == 0
+            for d, (who, q) in asked.items():
+                own = np.flatnonzero((sizes == d) & whole)
+                for a in range(0, len(own), STEP):
+                    part = own[a : a + STEP]
+                    score = np.round(flat[(ends[part] - d)[:, None] + np.arange(d)] @ q.T, DIGITS)
+                    may = np.stack([allowed.get(issuer[j], every)[who] for j in part])
+                    at, qs = np.nonzero(may & (score >= found.least[who]))
+                    found.add(who[qs], score[at, qs], order[part[at]], part[at])
+            yield _hits(b, ids, found, "similarity")
 
     return run
 
@@ -151,32 +232,19 @@ def _dense(rows, k: int):
 def dense_search(chunks: DataFrame, questions: DataFrame, k: int = DENSE_K) -> DataFrame:
     """Exact nearest neighbours by inner product with the normalised question vector: ``question_id, ord, chunk_id, similarity, distance, rank, retriever``.
 
-    ``chunks`` has an ``embedding``, ``questions`` a ``vector``; rows without one take no part.
-    Similarities are rounded to ``DIGITS`` decimals before they rank.
+    ``chunks`` has an ``embedding``, ``questions`` a ``vector``; rows without one, or with a null or NaN
+    in it, take no part, and only vectors of one length meet. Similarities are rounded to ``DIGITS``
+    decimals before they rank.
     """
-    kind = dict(questions.dtypes)["question_id"]
-    asked = questions.withColumn("forms", filters.aliases(F.col("issuers")))
-    hits = []
-    for rows in _blocks(asked, ["question_id", "vector", "forms"]):
+    kind = questions.schema["question_id"].dataType
+    shape = f"question_id {kind.simpleString()}, ord long, similarity double, chunk_id string"
+    asked = questions.select("question_id", "vector", filters.aliases(F.col("issuers")).alias("forms"))
+
+    def plan(rows):
         forms = [r["forms"] for r in rows]
         own = chunks if any(not f for f in forms) else chunks.filter(F.col("issuer").isin(*sorted({x for f in forms for x in f})))
-        hits.append(own.filter("embedding IS NOT NULL").select("ord", "chunk_id", "issuer", "embedding").mapInArrow(_dense(rows, k), f"question_id {kind}, ord long, similarity double, chunk_id string"))
-    out = _ranked(hits or [_none(chunks, kind, "similarity")], k, "similarity", "dense")
-    return out.withColumn("distance", 1 - F.col("similarity"))
+        return own.filter("embedding IS NOT NULL").select("ord", "chunk_id", "issuer", "embedding").mapInArrow(_dense(rows, _ids(rows, kind), k), shape)
 
-
-def postings(chunks: DataFrame) -> DataFrame:
-    """``ord, tok, tf, nd``: a chunk's tokens, how often each comes, and how many there are; the sparse side's index, to be written once."""
-
-    def run(batches):
-        for b in batches:
-            order, toks, tf, nd = [], [], [], []
-            for o, text in zip(b["ord"].to_pylist(), b["text"].to_pylist(), strict=True):
-                own = Counter(tokens_python(text))
-                order += [o] * len(own)
-                toks += own.keys()
-                tf += own.values()
-                nd += [len(own)] * len(own)
-            yield pa.RecordBatch.from_arrays([pa.array(order, pa.int64()), pa.array(toks, pa.string()), pa.array(tf, pa.int64()), pa.array(nd, pa.int64())], names=["ord", "tok", "tf", "nd"])
-
-    return chunks.select("ord", "text").mapInArrow(run, "ord long, tok string, tf long, nd long")
+    hits = _by_blocks(asked, "dense", plan)
+    out = _ranked(hits if hits is not None else chunks.sparkSession.createDataFrame([], shape), k, "similarity", "dense")
+    return out.withColumn("distance", 1 - F.col("similarity"))

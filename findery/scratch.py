@@ -8,26 +8,33 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``; only where that is unset (tests), one of our own."""
+    """The folder named by ``spark.checkpoint.dir``. Where that is unset, one of our own in local mode, an error on a cluster, whose machines share no such folder."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise RuntimeError("spark.checkpoint.dir has to name a folder that all machines share")
         base = "/tmp/checkpoints/findery"
         spark.conf.set("spark.checkpoint.dir", base)
     return base.rstrip("/")
 
 
+def remove_at_end(spark: SparkSession, path: str) -> None:
+    """The files go when the application ends."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(where)
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as Parquet to the shared folder and read it back.
+    """Write ``df`` as Parquet to the shared folder and read it back, until the application ends.
 
     What follows depends on replicated files only, so a lost executor costs no recomputation
-    of what came before. The files go when the application ends.
+    of what came before.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/findery/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    jvm = spark.sparkContext._jvm
-    where = jvm.org.apache.hadoop.fs.Path(path)
-    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(where)
+    remove_at_end(spark, path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -3,12 +3,15 @@
 from collections import Counter
 from math import sqrt
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from findery.functions.text import tokens_python
+from findery.functions.text import token_codes, tokens_python
 from findery.operators import answers, fusion, retrieval
 from findery.plans import hybrid
+from findery.scratch import materialize
 from findery.sources import eav
 
 HOT = ", ".join(f"{k} string" for k in eav.HOT)
@@ -61,11 +64,71 @@ def test_question_blocks_give_the_same(spark, corpus, monkeypatch):
     assert [sorted(map(tuple, f(corpus, asked).collect())) for f in (retrieval.sparse_search, retrieval.dense_search)] == one
 
 
-def test_postings_give_the_scores(spark, corpus):
-    index = {(r["ord"], r["tok"]): (r["tf"], r["nd"]) for r in retrieval.postings(corpus).collect()}
-    for i, t in enumerate(TEXTS):
-        own = Counter(tokens_python(t))
-        assert {k[1]: v for k, v in index.items() if k[0] == i} == {w: (n, len(own)) for w, n in own.items()}
+def test_an_index_gives_the_same(spark, corpus, monkeypatch):
+    asked = make_questions(spark, [(i, t or "x", ["가", "나"], 5, None) for i, t in enumerate(TEXTS)])
+    rows = lambda **how: sorted(map(tuple, retrieval.sparse_search(corpus, asked, **how).collect()))
+    one = rows()
+    index = materialize(retrieval.sparse_index(corpus), "test-index")
+    assert rows(index=index) == one
+    for r in index.collect():
+        own = Counter(tokens_python(TEXTS[r["ord"]]))
+        assert sorted(r["counts"]) == sorted(own.values()) and len(r["tokens"]) == len(own)
+    monkeypatch.setattr(retrieval, "sparse_index", None)  # what is tokenised already is not tokenised again
+    assert rows(index=index) == one
+
+
+def test_token_codes_are_the_tokens():
+    texts = [*TEXTS, None, "가나다라 가나 가나다 abcd abc ab a", "e\u0301 ×÷ 1 22 333 4444", "한국어 " * 50]
+    seen = {}
+    for t in texts:
+        words, codes = Counter(tokens_python(t)), Counter(token_codes(t).tolist())
+        assert sorted(words.values()) == sorted(codes.values())
+        for w in words:
+            (c,) = set(token_codes(w).tolist()) & set(codes) if len(w) in (2, 3) and " " not in w and len(tokens_python(w)) == 2 else (None,)
+            if c is not None:
+                assert seen.setdefault(c, w) == w and codes[c] == words[w]
+
+
+@pytest.mark.parametrize("kind", ["string", "int", "decimal(20,0)"])
+def test_question_ids_of_any_type(spark, corpus, monkeypatch, kind):
+    asked = make_questions(spark, [(i, t or "x", ["가", "나"], 5, [1.0, float(i)]) for i, t in enumerate(TEXTS)])
+    other = asked.withColumn("question_id", F.col("question_id").cast(kind))
+    for block in (4096, 3):
+        monkeypatch.setattr(retrieval, "BLOCK", block)
+        for search in (retrieval.sparse_search, retrieval.dense_search):
+            got, want = search(corpus, other), search(corpus, asked)
+            assert dict(got.dtypes)["question_id"] == kind
+            assert sorted(map(tuple, got.withColumn("question_id", F.col("question_id").cast("long")).collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_vectors_of_several_lengths(spark):
+    meta = {"issuer": "가"}
+    chunks = make_chunks(spark, [(1, "t", meta, [1.0, 0.0]), (2, "t", meta, [0.0, 1.0, 0.0]), (3, "t", meta, [1.0, None]), (4, "t", meta, []), (5, "t", {"issuer": None}, [0.5, 0.5]), (6, "t", meta, [float("nan"), 1.0])])
+    asked = make_questions(spark, [(1, "q", ["가"], 5, [2.0, 0.0]), (2, "q", ["가"], 5, [0.0, 3.0, 0.0]), (3, "q", [], 5, [1.0, 0.0]), (4, "q", ["가"], 5, [None, 1.0]), (5, "q", ["가"], 5, [])])
+    got = retrieval.dense_search(chunks, asked).orderBy("question_id", "rank").select("question_id", "ord", "similarity").collect()
+    assert list(map(tuple, got)) == [(1, 1, 1.0), (2, 2, 1.0), (3, 1, 1.0), (3, 5, 0.5)]
+
+
+def test_a_full_block_takes_little_memory():
+    """4,096 questions and 10,000 chunks in one batch: less than 500 MB beside the inputs."""
+    import tracemalloc
+
+    rng, words = np.random.default_rng(0), [f"w{i}x" for i in range(400)]
+    rows = [{"question_id": i, "question": " ".join(rng.choice(words, 6)), "issuers": ["가"], "forms": [] if i % 2 else ["가"], "vector": rng.standard_normal(64).tolist()} for i in range(4096)]
+    ids, n = pa.array(range(4096)), 10_000
+    made = [np.unique(token_codes(" ".join(rng.choice(words, 60))), return_counts=True) for _ in range(200)] * 50
+    ends = pa.array(np.r_[0, np.cumsum([len(t) for t, _ in made])].astype(np.int32))
+    lists = [pa.ListArray.from_arrays(ends, pa.array(np.concatenate([m[i] for m in made]).view(np.int64))) for i in (0, 1)]
+    base = [pa.array(range(n)), pa.array([f"c{i}" for i in range(n)]), pa.array(["가"] * n)]
+    vectors = pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * 64), pa.array(rng.standard_normal(n * 64).astype(np.float32)))
+    sparse = pa.RecordBatch.from_arrays([*base, *lists], names=["ord", "chunk_id", "issuer", "tokens", "counts"]).slice(0, 1500)
+    dense = pa.RecordBatch.from_arrays([*base, vectors], names=["ord", "chunk_id", "issuer", "embedding"])
+    for kernel, batch in ((retrieval._sparse, sparse), (retrieval._dense, dense)):
+        run = kernel(rows, ids, 50)
+        tracemalloc.start()
+        (out,) = run([batch])
+        assert tracemalloc.get_traced_memory()[1] < 500 << 20 and len(out) == 4096 * 50
+        tracemalloc.stop()
 
 
 def test_dense_search(spark, corpus):
