@@ -2,13 +2,21 @@
 
 ``chunks``: ``ord, chunk_id, text, metadata`` (map), the hot metadata columns and ``embedding``;
 ``questions``: ``question_id, question, issuers, max_contexts, vector``.
+
+Defined results: a question without a visible character, or without an issuer, is an error, as a form
+would tell before sending it; one that nothing is found for has an answer that says so; a null or 0
+``max_contexts`` means the default; a null text is empty, null metadata has no facts; a dense search
+that fails finds nothing (a warning tells why), and the sparse one goes on alone; no questions give no rows; other columns are ignored.
 """
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Callable
 from dataclasses import dataclass
 
+from py4j.protocol import Py4JError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -19,6 +27,10 @@ from findery.scratch import materialize
 from findery.settings import Settings
 
 
+#: As many ``ord`` as are sent to every task: 8 MB.
+MOST_SENT = 1 << 20
+
+
 @dataclass
 class Retrieved:
     questions: DataFrame
@@ -47,15 +59,25 @@ def facts_of(chunks: DataFrame) -> DataFrame:
     return chunks.select("ord", "chunk_id", "issuer", doc.alias("doc"), "fact_type", "answer_policy", "budget_answer_enabled")
 
 
-def retrieve(chunks: DataFrame, questions: DataFrame, dense_k: int = retrieval.DENSE_K, sparse_k: int = retrieval.SPARSE_K) -> Retrieved:
+def dense_or_none(chunks: DataFrame, asked: DataFrame, k: int) -> DataFrame:
+    """The dense results, written; an empty list where the search fails."""
+    try:
+        return materialize(retrieval.dense_search(chunks, asked, k), "dense")
+    except (PySparkException, Py4JError) as e:
+        warnings.warn(f"the dense search failed and is left out: {str(e)[:500]}", stacklevel=2)
+        return materialize(retrieval.dense_search(chunks, asked.limit(0), k), "dense")
+
+
+def retrieve(chunks: DataFrame, questions: DataFrame, dense_k: int = retrieval.DENSE_K, sparse_k: int = retrieval.SPARSE_K, index: DataFrame | None = None) -> Retrieved:
     """Both searches, fused; documents of the first results filled in; fused again.
 
-    The two result lists, k rows a question, are written once, as both fusions read them.
+    The two result lists, k rows a question, are written once, as both fusions read them. ``index``:
+    a written ``retrieval.sparse_index`` of the chunks, where there is one.
     """
     asked = prepare(questions)
     facts = facts_of(chunks)
-    dense = materialize(retrieval.dense_search(chunks, asked, dense_k), "dense")
-    sparse = materialize(retrieval.sparse_search(chunks, asked, sparse_k), "sparse")
+    dense = dense_or_none(chunks, asked, dense_k)
+    sparse = materialize(retrieval.sparse_search(chunks, asked, sparse_k, index), "sparse")
     initial = fusion.rrf([dense, sparse])
     fills = fusion.backfill(initial, asked, facts)
     return Retrieved(asked, facts, dense, sparse, initial, fills, fusion.rrf([dense, sparse, fills]))
@@ -63,13 +85,26 @@ def retrieve(chunks: DataFrame, questions: DataFrame, dense_k: int = retrieval.D
 
 def select(chunks: DataFrame, found: Retrieved) -> tuple[DataFrame, DataFrame]:
     """(reranked rows, selected rows)."""
-    ranked = materialize(fusion.rerank(found.merged, found.questions, found.facts), "ranked")
+    merged = materialize(found.merged, "merged")
+    ranked = materialize(fusion.rerank(merged, found.questions, only(found.facts, merged)), "ranked")
     return ranked, fusion.select_contexts(ranked, found.questions)
 
 
+def only(chunks: DataFrame, rows: DataFrame, most: int = MOST_SENT) -> DataFrame:
+    """The chunks whose ``ord`` the written ``rows`` have.
+
+    Up to ``most`` different ones (8 bytes each) are sent to every task, so that the corpus is filtered
+    where it is read and nothing of it moves but what is asked for; more of them are joined.
+    """
+    wanted = rows.select("ord").distinct()
+    few = wanted.limit(most + 1).count() <= most
+    return chunks.join(F.broadcast(wanted) if few else wanted, "ord", "left_semi")
+
+
 def with_texts(selected: DataFrame, chunks: DataFrame) -> DataFrame:
-    """Selected rows with their texts and metadata. The selected side is some rows a question, so that the corpus is filtered by it, not moved."""
-    return selected.join(chunks.select("ord", "text", "metadata"), "ord")
+    """Selected rows with their texts and metadata; texts of other chunks stay where they are (``only``)."""
+    rows = materialize(selected, "picked")
+    return rows.join(only(chunks.select("ord", "text", "metadata"), rows), "ord")
 
 
 def response(selected: DataFrame) -> DataFrame:
@@ -88,7 +123,8 @@ def lookups(chunks: DataFrame, found: Retrieved, ranked: DataFrame, selected: Da
     numbers = answers.notice_numbers(answers.candidate_text(F.col("chunk_id"), F.col("text"), F.col("metadata")))
     fields = ("issuer", "project_name", "source_file")
     first = selected.select("question_id", "ord", F.col("context_rank").alias("at")).unionByName(ranked.select("question_id", "ord", (F.col("final_rank") + fusion.MOST_CONTEXTS).alias("at")))
-    own = first.join(need.select("question_id"), "question_id").join(chunks.select("ord", numbers.alias("numbers"), *fields), "ord")
+    first = materialize(first.join(need.select("question_id"), "question_id"), "looked-up")
+    own = first.join(only(chunks, first).select("ord", numbers.alias("numbers"), *fields), "ord")
     head = F.min_by(F.struct(*(F.coalesce(c, F.lit("")).alias(c) for c in fields)), "at").alias("head")
     flat = lambda rows: rows.select("question_id", "head.*")
     by_results = answers.notices(own, "at")
@@ -103,11 +139,11 @@ def lookups(chunks: DataFrame, found: Retrieved, ranked: DataFrame, selected: Da
     return hints.unionByName(answers.lookup_contexts(by_records.drop("first"), flat(heads)))
 
 
-def ask(chunks: DataFrame, questions: DataFrame, client: Callable | None = None, settings: Settings | None = None) -> DataFrame:
+def ask(chunks: DataFrame, questions: DataFrame, client: Callable | None = None, settings: Settings | None = None, index: DataFrame | None = None) -> DataFrame:
     """``question_id, answer, issuers, question_type, route, contexts, lookups`` and the counts of every step. Without a ``client``, as where it fails, answers are made of the contexts themselves."""
     limits = settings or Settings.of(chunks.sparkSession)
     asked = questions.withColumn("max_contexts", F.coalesce(F.nullif("max_contexts", F.lit(0)), F.lit(limits.max_contexts)))
-    found = retrieve(chunks, asked, limits.dense_k, limits.sparse_k)
+    found = retrieve(chunks, checked(asked), limits.dense_k, limits.sparse_k, index)
     ranked, picked = select(chunks, found)
     rows = materialize(with_texts(picked, chunks), "selected")
     hints = materialize(lookups(chunks, found, ranked, rows), "lookups")

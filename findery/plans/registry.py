@@ -239,6 +239,34 @@ found AS (SELECT ord, list_sort(list_distinct(list_concat(regexp_extract_all(t,
   regexp_extract_all(t, '(?:G2B\\s*)?(?:공고번호|입찰공고번호|공고\\s*번호)\\s*[:：]?\\s*([0-9]{10,14}(?:-\\d{2})?)', 1)))) AS x FROM texts)"""
 
 
+# Notices of budget questions without a safe row: of their selected and ranked rows, else of all records of their issuers; three of each question, with what its first row says.
+_LOOKUPS = """unsafe AS (SELECT question_id, issuers FROM typed t WHERE qtype = 'budget' AND NOT EXISTS (SELECT 1 FROM selected s WHERE s.question_id = t.question_id AND s.safe)),
+nums AS (SELECT ord, list_concat(regexp_extract_all(t, '\\b20\\d{8,12}(?:-\\d{2})?\\b'), regexp_extract_all(t, '(?:G2B\\s*)?(?:공고번호|입찰공고번호|공고\\s*번호)\\s*[:：]?\\s*([0-9]{10,14}(?:-\\d{2})?)', 1)) AS ns FROM texts),
+own AS (SELECT question_id, ord, context_rank AS spot FROM selected SEMI JOIN unsafe USING (question_id) UNION ALL SELECT question_id, ord, final_rank + 8 FROM ranked SEMI JOIN unsafe USING (question_id)),
+by_results AS (SELECT question_id, number, min(spot * 1000000 + place) AS first FROM (SELECT question_id, spot, unnest(ns) AS number, unnest(range(len(ns))) AS place FROM own JOIN nums USING (ord)) WHERE number <> '' GROUP BY ALL),
+rest AS (SELECT question_id, unnest(issuers) AS issuer FROM unsafe ANTI JOIN by_results USING (question_id)),
+by_records AS (SELECT question_id, number, min(ord * 1000000 + place) AS first FROM (
+  SELECT question_id, ord, unnest(ns) AS number, unnest(range(len(ns))) AS place FROM rest JOIN chunks USING (issuer) JOIN nums USING (ord)) WHERE number <> '' GROUP BY ALL),
+heads AS (SELECT question_id, min_by(ord, spot) AS ord FROM (SELECT * FROM own SEMI JOIN by_results USING (question_id) UNION ALL SELECT question_id, ord, ord AS spot FROM rest JOIN chunks USING (issuer)) GROUP BY question_id),
+lookups AS (SELECT question_id, n, number, coalesce(issuer, '') AS issuer, coalesce(project_name, '') AS project_name, coalesce(source_file, '') AS source_file FROM (
+  SELECT question_id, number, row_number() OVER (PARTITION BY question_id ORDER BY first) AS n FROM (SELECT * FROM by_results UNION ALL SELECT * FROM by_records))
+  JOIN heads USING (question_id) JOIN chunks USING (ord) WHERE n <= 3)"""
+_ONE_ISSUER = _TYPED.replace("FROM questions", "FROM (SELECT question_id, '예산 ' || question AS question, ['src' || (question_id % 20)] AS issuers, max_contexts, vector FROM questions)")
+_PLAIN = f"""CASE WHEN sources IS NULL THEN '{answers.NO_CONTEXT}' WHEN t.qtype = 'budget' THEN '{answers.NO_BUDGET}' || chr(10) || chr(10) || '{answers.SOURCES}' || sources[1]
+  ELSE CASE WHEN t.qtype = 'purpose' THEN '{answers.LEAD_PURPOSE}' ELSE '{answers.LEAD}' END || chr(10) || CASE WHEN len(lines) = 0 THEN '{answers.EMPTY_BODY}' ELSE array_to_string(lines, chr(10)) END
+    || chr(10) || chr(10) || '{answers.SOURCES}' || array_to_string(sources, ', ') END"""
+_ASK = f"""noted AS (SELECT question_id, count(*) AS c, string_agg('- 공고번호: ' || number, chr(10) ORDER BY n) AS ls FROM lookups GROUP BY question_id),
+counts AS (SELECT question_id, (SELECT count(*) FROM dense x WHERE x.question_id = t.question_id) AS dense_count, (SELECT count(*) FROM sparse x WHERE x.question_id = t.question_id) AS sparse_count,
+  (SELECT count(*) FROM fill x WHERE x.question_id = t.question_id) AS backfill_count, (SELECT count(*) FROM merged x WHERE x.question_id = t.question_id) AS merged_count,
+  (SELECT count(*) FROM selected x WHERE x.question_id = t.question_id) AS selected_count FROM typed t)
+SELECT t.question_id, t.qtype AS question_type, array_to_string(list_filter(['issuer_filter', 'hybrid_dense_sparse', CASE WHEN backfill_count > 0 THEN 'ngram_backfill' END, 'metadata_rerank',
+    CASE WHEN t.qtype = 'budget' THEN 'budget_strict_selection' ELSE 'context_selection' END, CASE WHEN noted.c > 0 THEN 'g2b_manual_lookup' END,
+    CASE WHEN selected_count = 0 THEN 'no_context' ELSE 'llm_fallback' END], lambda x: x IS NOT NULL), ',') AS route,
+  md5(CASE WHEN noted.c > 0 THEN rtrim({_PLAIN}) || chr(10) || chr(10) || '{answers.LOOKUP_HEAD}' || chr(10) || ls || chr(10) || '- 확인 경로: {answers.LOOKUP_URL}' ELSE {_PLAIN} END) AS answer_md5,
+  dense_count, sparse_count, backfill_count, merged_count, selected_count, coalesce(noted.c, 0)::BIGINT AS lookup_count
+FROM typed t JOIN counts USING (question_id) LEFT JOIN f USING (question_id) LEFT JOIN noted USING (question_id)"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "eav_records": _with()
@@ -264,8 +292,9 @@ def oracle_sql() -> dict[str, str]:
         + "SELECT question_id, context_rank::INT AS rank, s.chunk_id, retrievers AS retriever, final_score AS score, source_file AS filename, md5(text) AS text_md5 FROM selected s JOIN chunks USING (ord)",
         "context_text": _with(*_PICKED, f"b AS (SELECT question_id, context_rank, {_BLOCK} AS block FROM selected s JOIN chunks c USING (ord))", "t AS (SELECT question_id, string_agg(block, chr(10) || chr(10) ORDER BY context_rank) AS x FROM b GROUP BY question_id)")
         + "SELECT question_id, length(x)::INT AS n_chars, md5(x) AS context_md5 FROM t",
-        "fallback_answers": _with(*_PICKED, _SNIPPETS) + f"""SELECT t.question_id, md5(CASE WHEN sources IS NULL THEN '{answers.NO_CONTEXT}' WHEN t.qtype = 'budget' THEN '{answers.NO_BUDGET}' || chr(10) || chr(10) || '{answers.SOURCES}' || sources[1]
-  ELSE CASE WHEN t.qtype = 'purpose' THEN '{answers.LEAD_PURPOSE}' ELSE '{answers.LEAD}' END || chr(10) || CASE WHEN len(lines) = 0 THEN '{answers.EMPTY_BODY}' ELSE array_to_string(lines, chr(10)) END
-    || chr(10) || chr(10) || '{answers.SOURCES}' || array_to_string(sources, ', ') END) AS answer_md5 FROM typed t LEFT JOIN f USING (question_id)""",
+        "fallback_answers": _with(*_PICKED, _SNIPPETS) + f"SELECT t.question_id, md5({_PLAIN}) AS answer_md5 FROM typed t LEFT JOIN f USING (question_id)",
+        "notice_lookups": _with(_ONE_ISSUER, *(x.replace("rank <= 50", "rank <= 5") for x in _PICKED[1:]), _CANDIDATES, _LOOKUPS)
+        + "SELECT question_id, n::INT AS n, number AS notice_number, issuer, project_name, source_file FROM lookups",
+        "ask": _with(*_PICKED, _SNIPPETS, _CANDIDATES, _LOOKUPS, _ASK),
         "notice_numbers": _with(_CANDIDATES) + "SELECT ord, len(x)::INT AS n, array_to_string(x, ',') AS numbers FROM found",
     }

@@ -1,4 +1,10 @@
-"""Chunk records from entity-attribute-value metadata, and the issuers among them."""
+"""Chunk records from entity-attribute-value metadata, and the issuers among them.
+
+Defined results: rows of metadata with a null key or no value of any type are left out; of a key that
+an entity has twice, the greatest value is taken (rows of a table have no order); entities without
+metadata, and metadata of unknown entities, give no record; an entity that is listed twice gives two; an empty
+table gives no rows; other columns are ignored.
+"""
 
 from __future__ import annotations
 
@@ -17,9 +23,19 @@ def read_tables(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]
     return spark.read.parquet(f"{folder}/entities.parquet"), spark.read.parquet(f"{folder}/entity_metadata.parquet")
 
 
-def read_jdbc(spark: SparkSession, url: str, entities: str = "embeddings", metadata: str = "embedding_metadata", parts: int = 16, top: int = 1 << 40, **options) -> tuple[DataFrame, DataFrame]:
-    """The same tables from a database, read in ranges of ids."""
-    get = lambda t: spark.read.format("jdbc").options(url=url, dbtable=t, partitionColumn="id", lowerBound=0, upperBound=top, numPartitions=parts, **options).load()
+def read_jdbc(spark: SparkSession, url: str, entities: str = "embeddings", metadata: str = "embedding_metadata", parts: int = 16, **options) -> tuple[DataFrame, DataFrame]:
+    """The same tables from a database, each read in ``parts`` ranges between the ids that it has."""
+
+    def get(table: str) -> DataFrame:
+        read = lambda **how: spark.read.format("jdbc").options(url=url, **options, **how).load()
+        whole = read(dbtable=table)
+        own = next(c for c in whole.columns if c.lower() == "id")
+        quoted = spark.sparkContext._jvm.org.apache.spark.sql.jdbc.JdbcDialects.get(url).quoteIdentifier(own)
+        ends = read(query=f"SELECT min({quoted}) AS low, max({quoted}) AS high FROM {table}").first()
+        if ends[0] is None:
+            return whole
+        return read(dbtable=table, partitionColumn=own, lowerBound=str(ends[0]), upperBound=str(int(ends[1]) + 1), numPartitions=str(parts))
+
     return get(entities), get(metadata)
 
 
@@ -31,12 +47,13 @@ def value_of() -> F.Column:
 def records(entities: DataFrame, metadata: DataFrame) -> DataFrame:
     """``ord, chunk_id, text, metadata`` and the hot keys, a row per entity with metadata.
 
-    One shuffle by id brings an entity's few rows together. Of a key that comes twice, the
-    greatest value is taken (rows of a table have no order). ``ord`` is the id: the corpus order.
+    One exchange by id brings an entity's few rows together, and what they make joins without
+    another. ``ord`` is the id: the corpus order.
     """
-    pairs = metadata.select("id", "key", value_of().alias("value")).filter("key IS NOT NULL")
-    one = pairs.groupBy("id", "key").agg(F.max("value").alias("value"))
-    maps = one.groupBy("id").agg(F.map_from_entries(F.collect_list(F.struct("key", "value"))).alias("m"))
+    pairs = metadata.select("id", "key", value_of().alias("value")).filter("key IS NOT NULL AND value IS NOT NULL")
+    rows = pairs.groupBy("id").agg(F.sort_array(F.collect_list(F.struct("key", "value"))).alias("kv"))
+    last = F.filter("kv", lambda x, i: (i + 1 == F.size("kv")) | (F.get("kv", i + 1)["key"] != x["key"]))
+    maps = rows.select("id", F.map_from_entries(last).alias("m"))
     m, name = F.col("m"), F.col("embedding_id")
     out = entities.join(maps, "id").select(
         F.col("id").alias("ord"),

@@ -7,14 +7,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
+from findery.operators import retrieval
 from findery.plans import hybrid
+from findery.scratch import materialize
 
 
 def answer_stream(questions: DataFrame, chunks: DataFrame, sink: Callable[[DataFrame, int], None], checkpoint: str, client: Callable | None = None, **trigger) -> StreamingQuery:
-    """Each micro-batch is one set of questions over the corpus; ``sink(answers, batch_id)`` writes it, and may be called again with the same id after a failure."""
+    """Each micro-batch is one set of questions over the corpus; ``sink(answers, batch_id)`` writes it, and may be called again with the same id after a failure.
+
+    The corpus is tokenised once, when the stream starts; a batch reads the written index.
+    """
+    index = materialize(retrieval.sparse_index(chunks), "postings")
 
     def each(batch: DataFrame, batch_id: int) -> None:
         if not batch.isEmpty():
-            sink(hybrid.ask(chunks, batch, client), batch_id)
+            sink(hybrid.ask(chunks, batch, client, index=index), batch_id)
 
     return questions.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()

@@ -263,6 +263,82 @@ def test_settings_and_checks(spark, corpus):
     assert spark.range(1).select(answers.display(F.lit("x" * 1300))).first()[0] == "x" * 1200
 
 
+def test_ask_refuses_what_a_form_would(spark, corpus):
+    for bad in (None, " \u3000"):
+        with pytest.raises(Exception, match="question is required"):
+            hybrid.ask(corpus, make_questions(spark, [(1, bad, ["가"], 5, None)])).collect()
+    with pytest.raises(Exception, match="issuer is required"):
+        hybrid.ask(corpus, make_questions(spark, [(1, "서버", [" "], 5, None)])).collect()
+
+
+def test_a_failing_dense_search_finds_nothing(spark, corpus):
+    broken = corpus.withColumn("embedding", F.when(F.col("ord") >= 0, F.raise_error(F.lit("no vectors"))).cast("array<float>"))
+    asked = make_questions(spark, [(1, "서버 구축", ["가"], 5, [1.0, 0.0])])
+    with pytest.warns(UserWarning, match="no vectors"):
+        found = hybrid.retrieve(broken, asked)
+    assert found.dense.count() == 0 and found.merged.count() == found.sparse.count() > 0
+
+
+def test_texts_of_other_chunks_do_not_move(spark, corpus, tmp_path, monkeypatch):
+    corpus.write.parquet(str(tmp_path / "chunks"))
+    chunks = spark.read.parquet(str(tmp_path / "chunks"))
+    rows = spark.createDataFrame([(1, 3), (1, 5)], "question_id long, ord long")
+    plan = lambda: hybrid.only(chunks.select("ord", "text"), rows)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan() and "SortMergeJoin" not in plan()
+    assert sorted(r["ord"] for r in hybrid.only(chunks, rows).collect()) == [3, 5]
+    assert sorted(r["ord"] for r in hybrid.only(chunks, rows, most=1).collect()) == [3, 5]
+
+
+def test_records_take_one_exchange(spark, tmp_path):
+    entities = spark.range(100).select("id", F.concat(F.lit("e"), "id").alias("embedding_id"))
+    metadata = entities.select("id", F.explode(F.array(*map(F.lit, ("issuer", "content", "issuer")))).alias("key"), F.concat(F.lit("v"), F.col("id")).alias("string_value"), *(F.lit(None).cast(t).alias(n) for n, t in (("int_value", "long"), ("float_value", "double"), ("bool_value", "boolean"))))
+    entities.write.parquet(str(tmp_path / "entities.parquet"))
+    metadata.write.parquet(str(tmp_path / "entity_metadata.parquet"))
+    rows = eav.records(*eav.read_tables(spark, str(tmp_path)))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = rows._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plan.count("Exchange hashpartitioning(id") == 2 == plan.count("Exchange")  # the metadata, and the entities beside it
+    assert rows.count() == 100 and {(r["chunk_id"], r["issuer"], r["text"]) for r in rows.collect()} == {(f"e{i}", f"v{i}", f"v{i}") for i in range(100)}
+
+
+def test_records_of_hard_rows(spark):
+    shape = "id long, key string, string_value string, int_value long, float_value double, bool_value boolean, extra int"
+    rows = [(1, "k", "a", None, None, None, 0), (1, "k", "b", None, None, None, 0), (1, "n", None, None, None, None, 0), (9, "k", "x", None, None, None, 0), (2, None, "x", None, None, None, 0), (None, "k", "x", None, None, None, 0)]
+    entities = spark.createDataFrame([(1, "e1", 5), (1, "e1", 5), (2, "e2", 5), (None, "e", 5)], "id long, embedding_id string, ord int")
+    got = eav.records(entities, spark.createDataFrame(rows, shape)).collect()
+    assert [(r["ord"], r["chunk_id"], r["text"], r["metadata"]) for r in got] == [(1, "e1", "", {"k": "b"})] * 2
+    assert eav.records(entities.limit(0), spark.createDataFrame([], shape)).count() == 0
+
+
+def test_tables_of_a_database(spark, tmp_path):
+    url = f"jdbc:derby:{tmp_path}/db;create=true"
+    entities = spark.createDataFrame([(10_000_000_000 + i, f"e{i}") for i in range(40)], "id long, embedding_id string")
+    metadata = entities.selectExpr("id", "'issuer' AS meta_key", "embedding_id AS string_value")
+    driver = {"driver": "org.apache.derby.jdbc.EmbeddedDriver"}
+    entities.write.jdbc(url, "embeddings", properties=driver)
+    metadata.write.jdbc(url, "embedding_metadata", properties=driver)
+    a, b = eav.read_jdbc(spark, url, parts=4, **driver)
+    assert a.count() == b.count() == 40 and a.rdd.getNumPartitions() == 4
+    per = a.groupBy(F.spark_partition_id()).count().collect()
+    assert len(per) == 4 and max(r["count"] for r in per) <= 12
+    entities.limit(0).write.jdbc(url, "no_rows", properties=driver)
+    assert eav.read_jdbc(spark, url, "no_rows", "no_rows", **driver)[0].count() == 0
+
+
+def test_a_cluster_without_a_shared_folder_is_an_error():
+    from types import SimpleNamespace
+
+    from findery import scratch
+
+    unset = SimpleNamespace(get=lambda *a: None)
+    for master in ("spark://host:7077", "yarn", "local-cluster[2,1,1024]"):
+        with pytest.raises(RuntimeError, match="checkpoint"):
+            scratch.shared_dir(SimpleNamespace(conf=unset, sparkContext=SimpleNamespace(master=master)))
+
+
 def test_issuers_and_columns_reach_the_scan(spark, corpus, tmp_path):
     from findery.operators import filters
 
