@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from findery.llm import langid, mixing, ngramjoin, packing, passages
-from findery.scratch import materialize
+from findery.scratch import few, materialize
 
 #: Below this mean probability a text is in no language that was learned. (One of four at random: 0.25.)
 LEAST_SCORE = 0.35
@@ -49,14 +49,14 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 @carrying
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group."""
-    return ngramjoin.keep_one(docs)
+    return few(ngramjoin.keep_one(docs))
 
 
 @carrying
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the passages that an earlier one has."""
     kept = passages.remove_repeats(docs).withColumn("text", F.col("kept")).withColumn("n_chars", F.length("kept").cast("long"))
-    return kept.select(docs.columns)
+    return few(kept.select(docs.columns))
 
 
 @carrying
@@ -68,7 +68,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     copies = own.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_whole") + F.signum("_rest").cast("long"))))
     words = F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != "")
     text = F.when(F.col("_copy") <= F.col("_whole"), F.col("text")).otherwise(F.array_join(F.slice(words, F.lit(1), F.greatest(F.col("_rest"), F.lit(1))), " "))
-    return copies.withColumn("text", text).withColumn("n_chars", F.length("text").cast("long")).select(docs.columns)
+    return few(copies.withColumn("text", text).withColumn("n_chars", F.length("text").cast("long")).select(docs.columns))
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

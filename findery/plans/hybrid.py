@@ -62,10 +62,10 @@ def facts_of(chunks: DataFrame) -> DataFrame:
 def dense_or_none(chunks: DataFrame, asked: DataFrame, k: int) -> DataFrame:
     """The dense results, written; an empty list where the search fails."""
     try:
-        return materialize(retrieval.dense_search(chunks, asked, k), "dense")
+        return materialize(retrieval.dense_search(chunks, asked, k), "dense", exchanged=True)
     except (PySparkException, Py4JError) as e:
         warnings.warn(f"the dense search failed and is left out: {str(e)[:500]}", stacklevel=2)
-        return materialize(retrieval.dense_search(chunks, asked.limit(0), k), "dense")
+        return materialize(retrieval.dense_search(chunks, asked.limit(0), k), "dense", exchanged=True)
 
 
 def retrieve(chunks: DataFrame, questions: DataFrame, dense_k: int = retrieval.DENSE_K, sparse_k: int = retrieval.SPARSE_K, index: DataFrame | None = None) -> Retrieved:
@@ -77,7 +77,7 @@ def retrieve(chunks: DataFrame, questions: DataFrame, dense_k: int = retrieval.D
     asked = prepare(questions)
     facts = facts_of(chunks)
     dense = dense_or_none(chunks, asked, dense_k)
-    sparse = materialize(retrieval.sparse_search(chunks, asked, sparse_k, index), "sparse")
+    sparse = materialize(retrieval.sparse_search(chunks, asked, sparse_k, index), "sparse", exchanged=True)
     initial = fusion.rrf([dense, sparse])
     fills = fusion.backfill(initial, asked, facts)
     return Retrieved(asked, facts, dense, sparse, initial, fills, fusion.rrf([dense, sparse, fills]))
@@ -85,8 +85,8 @@ def retrieve(chunks: DataFrame, questions: DataFrame, dense_k: int = retrieval.D
 
 def select(chunks: DataFrame, found: Retrieved) -> tuple[DataFrame, DataFrame]:
     """(reranked rows, selected rows)."""
-    merged = materialize(found.merged, "merged")
-    ranked = materialize(fusion.rerank(merged, found.questions, only(found.facts, merged)), "ranked")
+    merged = materialize(found.merged, "merged", exchanged=True)
+    ranked = materialize(fusion.rerank(merged, found.questions, only(found.facts, merged)), "ranked", exchanged=True)
     return ranked, fusion.select_contexts(ranked, found.questions)
 
 
@@ -103,7 +103,7 @@ def only(chunks: DataFrame, rows: DataFrame, most: int = MOST_SENT) -> DataFrame
 
 def with_texts(selected: DataFrame, chunks: DataFrame) -> DataFrame:
     """Selected rows with their texts and metadata; texts of other chunks stay where they are (``only``)."""
-    rows = materialize(selected, "picked")
+    rows = materialize(selected, "picked", exchanged=True)
     return rows.join(only(chunks.select("ord", "text", "metadata"), rows), "ord")
 
 
@@ -123,7 +123,7 @@ def lookups(chunks: DataFrame, found: Retrieved, ranked: DataFrame, selected: Da
     numbers = answers.notice_numbers(answers.candidate_text(F.col("chunk_id"), F.col("text"), F.col("metadata")))
     fields = ("issuer", "project_name", "source_file")
     first = selected.select("question_id", "ord", F.col("context_rank").alias("at")).unionByName(ranked.select("question_id", "ord", (F.col("final_rank") + fusion.MOST_CONTEXTS).alias("at")))
-    first = materialize(first.join(need.select("question_id"), "question_id"), "looked-up")
+    first = materialize(first.join(need.select("question_id"), "question_id"), "looked-up", exchanged=True)
     own = first.join(only(chunks, first).select("ord", numbers.alias("numbers"), *fields), "ord")
     head = F.min_by(F.struct(*(F.coalesce(c, F.lit("")).alias(c) for c in fields)), "at").alias("head")
     flat = lambda rows: rows.select("question_id", "head.*")
@@ -145,8 +145,8 @@ def ask(chunks: DataFrame, questions: DataFrame, client: Callable | None = None,
     asked = questions.withColumn("max_contexts", F.coalesce(F.nullif("max_contexts", F.lit(0)), F.lit(limits.max_contexts)))
     found = retrieve(chunks, checked(asked), limits.dense_k, limits.sparse_k, index)
     ranked, picked = select(chunks, found)
-    rows = materialize(with_texts(picked, chunks), "selected")
-    hints = materialize(lookups(chunks, found, ranked, rows), "lookups")
+    rows = materialize(with_texts(picked, chunks), "selected", exchanged=True)
+    hints = materialize(lookups(chunks, found, ranked, rows), "lookups", exchanged=True)
     plain = answers.fallback(found.questions, rows).withColumnRenamed("answer", "plain")
     context = answers.contexts(rows)
     prompts = found.questions.join(context, "question_id").select("question_id", F.format_string(answers.PROMPT, "question", "context").alias("prompt"))

@@ -25,15 +25,24 @@ def remove_at_end(spark: SparkSession, path: str) -> None:
     where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(where)
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
+#: Tasks that a core gets of a stage that has more partitions than that.
+WAVES = 4
+
+
+def few(df: DataFrame) -> DataFrame:
+    """Rows that come off an exchange, in ``WAVES`` tasks a core at most: partitions beyond that are read one after another, and each task's file is one instead of many small ones."""
+    return df.coalesce(max(1, WAVES * df.sparkSession.sparkContext.defaultParallelism))
+
+
+def materialize(df: DataFrame, name: str, exchanged: bool = False) -> DataFrame:
     """Write ``df`` as Parquet to the shared folder and read it back, until the application ends.
 
     What follows depends on replicated files only, so a lost executor costs no recomputation
-    of what came before.
+    of what came before. ``exchanged``: the rows come off an exchange, and go to ``few`` files.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/findery/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    (few(df) if exchanged else df).write.parquet(path)
     remove_at_end(spark, path)
     return spark.read.schema(df.schema).parquet(path)
 
