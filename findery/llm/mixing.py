@@ -123,7 +123,7 @@ def mix(sized: DataFrame, weights=WEIGHTS, share=SHARE, cap=CAP, block=BLOCK, sh
     other = F.col("text_md5") if "text_md5" in sized.columns else F.md5("text") if "text" in sized.columns else F.col("size")
     ordered = sized.withColumn("_mix_order", seeded(F.col("doc_id"), other, seed))
     plan = quotas(ordered.select("source", "size", "_mix_order"), weights, share, cap, block, shard_docs)
-    plan = materialize(plan.select("_mix_source", "source_size", "target", "_mix_shards", F.col("_mix_shard").alias("_mix_part"), "_mix_shard_size", "_mix_take"), "mix-quotas")
+    plan = materialize(plan.select("_mix_source", "source_size", "target", "_mix_shards", F.col("_mix_shard").alias("_mix_part"), "_mix_shard_size", "_mix_take"), "mix-quotas", exchanged=True)
     counts = plan.groupBy("_mix_source").agg(F.first("_mix_shards").alias("_mix_shards"))
     dealt = ordered.join(counts, ordered["source"].eqNullSafe(counts["_mix_source"])).drop("_mix_source")
     dealt = dealt.withColumn("_mix_shard", shard_of(F.col("_mix_order"), F.col("_mix_shards"))).drop("_mix_shards")

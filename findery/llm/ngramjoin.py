@@ -41,10 +41,10 @@ from pyspark.sql.window import Window as W
 
 from findery.llm.components import components
 from findery.llm.words import mix, slices, windows, words
-from findery.scratch import materialize, shuffle_partitions
+from findery.scratch import few, materialize, shuffle_partitions
 
 SIZE, NUM, DEN = 5, 4, 5
-GROUP, PART, SLICE = 256, 1 << 22, 1 << 23
+GROUP, PART, SLICE = 256, 1 << 21, 1 << 22
 HOT, LEAST_HOT, SEEN = 512, 1024, 32
 _KEY = 12
 
@@ -395,11 +395,11 @@ def join_documents(docs: DataFrame, size: int = SIZE, num: int = NUM, den: int =
     parts = max(shuffle_partitions(spark), -(-int(n_tokens) // PART))
     sent = docs.select("text").mapInArrow(_shingles(size, parts, hot, hot_ranks), _BULK)
     counted = sent.groupBy("part").applyInArrow(_count(parts), _BULK)
-    nodes = materialize(counted.groupBy("part").applyInArrow(_gather, _NODE), "ngram-nodes")
+    nodes = materialize(counted.groupBy("part").applyInArrow(_gather, _NODE), "ngram-nodes", exchanged=True)
 
     firsts = nodes.select("key", "n", "first", "tokens").mapInArrow(_firsts, "token long, key binary, n long")
     centres = firsts.groupBy("token").agg(F.min("key").alias("centre"), F.count(F.lit(1)).alias("c")).filter("c > 1").drop("c")
-    members = materialize(firsts.join(centres, "token").select("centre", "key", "n").distinct(), "ngram-members")
+    members = materialize(firsts.join(centres, "token").select("centre", "key", "n").distinct(), "ngram-members", exchanged=True)
     sizes = members.groupBy("centre").agg(F.count(F.lit(1)).alias("m")).filter("m > 1")
     met = members.join(sizes, "centre")
     banded = met.filter(F.col("m") > group).withColumn("band", F.explode(bands(F.col("n"), num, den)))
@@ -409,12 +409,12 @@ def join_documents(docs: DataFrame, size: int = SIZE, num: int = NUM, den: int =
     dealt = met.withColumn("parts", F.ceil(F.col("m") / group)).withColumn("part", F.pmod(F.xxhash64("key"), F.col("parts")))
     unit = lambda *cs: F.concat(F.col("centre"), *(F.encode(F.concat(F.lit("/"), c.cast("string")), "utf-8") for c in cs))
     own = dealt.select(unit(F.col("part")).alias("unit"), "key", F.col("key").alias("component"))
-    links = materialize(_links(own, nodes, num, den), "ngram-links")
+    links = materialize(_links(own, nodes, num, den), "ngram-links", exchanged=True)
     stars = components(links)
 
     large = dealt.filter("parts > 1")
     if large.limit(1).count():
-        named = materialize(large.join(stars, large["key"] == stars["node"], "left").select("centre", "key", "parts", "part", F.coalesce("component", "key").alias("component")), "ngram-large")
+        named = materialize(large.join(stars, large["key"] == stars["node"], "left").select("centre", "key", "parts", "part", F.coalesce("component", "key").alias("component")), "ngram-large", exchanged=True)
         per = named.groupBy("centre", "component").agg(F.count(F.lit(1)).alias("c"))
         main = per.groupBy("centre").agg(F.max_by("component", F.struct("c", "component")).alias("main"), (F.sum("c") - F.max("c")).alias("others"))
         # Larger tiles than above, as each unit of a block and a part carries both sides' shingles.
@@ -425,7 +425,7 @@ def join_documents(docs: DataFrame, size: int = SIZE, num: int = NUM, den: int =
         others = both.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
         units = strays.select("centre", "block", "part", "key", "component").unionByName(others.select("centre", "block", "part", "key", "component"))
         across = units.select(unit(F.col("block"), F.col("part")).alias("unit"), "key", "component").distinct()
-        stars = components(links.unionByName(materialize(_links(across, nodes, num, den), "ngram-across")))
+        stars = components(links.unionByName(materialize(_links(across, nodes, num, den), "ngram-across", exchanged=True)))
 
     ids = rows.filter("key IS NOT NULL").groupBy("key").agg(F.min("doc_id").alias("least"))
     of = ids.join(stars, ids["key"] == stars["node"], "left").select("key", "least", F.coalesce("component", "key").alias("component"))
@@ -452,7 +452,7 @@ def keep_one(docs: DataFrame, **how) -> DataFrame:
 
 
 def op1_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return join_documents(spark.read.parquet(f"{sf_dir}/documents.parquet")).select("doc_id", "n_shingles", "component_id")
+    return few(join_documents(spark.read.parquet(f"{sf_dir}/documents.parquet")).select("doc_id", "n_shingles", "component_id"))
 
 
 ORACLE_SQL = rf"""

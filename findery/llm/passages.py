@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from findery.llm.words import mix, slices, windows, words
+from findery.scratch import few
 
 WINDOW, BASE = 13, 7
 PART_BYTES, SLICE_BYTES = 1 << 25, 1 << 23
@@ -298,7 +299,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, base: int = BASE, dige
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     out = remove_repeats(docs, digest=True)
-    return out.select("doc_id", "n_words", "n_removed", F.col("kept").alias("kept_sha256"))
+    return few(out.select("doc_id", "n_words", "n_removed", F.col("kept").alias("kept_sha256")))
 
 
 ORACLE_SQL = rf"""

@@ -292,7 +292,7 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = K, scale: int = SCAL
     turn = rotation(own, d, unit)
     top = own.orderBy(F.desc("norm"), "vec_id", "v").limit(SEEDS).select("vec_id", "v", "wide").collect()
     seed_ids, seeds = np.array([r[0] for r in top], dtype=np.int64), _matrix([r[1] for r in top], [r[2] for r in top], d)
-    asked = materialize(asked.mapInArrow(_thresholds(d, unit, seed_ids, seeds, k), "vec_id long, v binary, wide boolean, norm double, least double, level long"), "topk-queries")
+    asked = materialize(asked.mapInArrow(_thresholds(d, unit, seed_ids, seeds, k), "vec_id long, v binary, wide boolean, norm double, least double, level long"), "topk-queries", exchanged=True)
     n_queries = asked.count()
     if not n_queries:
         return spark.createDataFrame([], result)
@@ -300,12 +300,12 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = K, scale: int = SCAL
     width = shuffle_partitions(spark)
     block = max(64, BLOCK_BYTES // (4 * d))
     near = own.repartitionByRange(max(1, min(4 * width, -(-n // block))), F.desc("norm"), F.xxhash64("vec_id")).sortWithinPartitions(F.desc("norm"), "vec_id", "v")
-    candidates = materialize(near.mapInArrow(_blocks(block, False), _BLOCK), "topk-blocks")
+    candidates = materialize(near.mapInArrow(_blocks(block, False), _BLOCK), "topk-blocks", exchanged=True)
     levels = sorted(candidates.groupBy("level").count().collect())
     n_blocks = sum(r["count"] for r in levels)
     like = asked.repartitionByRange(-(-n_queries // QUERY_BLOCK), "level", F.xxhash64("vec_id")).sortWithinPartitions("level", "vec_id")
-    questions = materialize(like.mapInArrow(_blocks(QUERY_BLOCK, True), _BLOCK), "topk-questions")
-    numbers = materialize(questions.select("block", "level").withColumn("q", F.row_number().over(W.orderBy("level", "block")) - 1), "topk-numbers")
+    questions = materialize(like.mapInArrow(_blocks(QUERY_BLOCK, True), _BLOCK), "topk-questions", exchanged=True)
+    numbers = materialize(questions.select("block", "level").withColumn("q", F.row_number().over(W.orderBy("level", "block")) - 1), "topk-numbers", exchanged=True)
     n_asked = numbers.count()
     lanes = min(n_blocks, max(-(-n_blocks // LANE_BLOCKS), -(-2 * width // n_asked)))
 
