@@ -8,6 +8,10 @@ then is the interval of keys that start with its own. Rules nest, so one sorted
 ends with a stack of the open ones gives the winner from each end to the next, and one sorted sweep
 over urls and ends together carries the last winner seen to every url.
 
+``judge`` takes the rules as a sequence and gives their ends to every part; ``judge_by_table`` takes them
+as a table of any size, whose ends are range-partitioned with the urls, each part beginning with the
+rule that is open at its border.
+
 Defined results: a null url, or one without ``://``, has an empty host and path; it and a url that
 no rule fits get a null rule and the default verdict. Repeated rows stay repeated. Columns of the
 input named host, path, rule or verdict are replaced, those starting with ``_url_`` are dropped.
@@ -21,7 +25,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from findery.scratch import shuffle_partitions
+from findery.scratch import materialize, shuffle_partitions
 
 RULES = (
     ("allow", "com", "/"),
@@ -106,6 +110,49 @@ def judge(pages: DataFrame, rules=RULES, default: str = DEFAULT, url: str = "url
     )
 
 
+def judge_by_table(pages: DataFrame, rules: DataFrame, default: str = DEFAULT, url: str = "url") -> DataFrame:
+    """Adds ``host, path, rule, verdict``. ``rules``: ``verdict, host, path, ord``; of two for the same host and path the one with the smaller ``ord`` (then verdict) holds, those with a null host, path or verdict don't.
+
+    The sweep is over the distinct keys of the urls and the rules' ends together, in ranges of keys.
+    Where a rule ends, the one around it goes on: it has the same path, and a host that the inner's
+    ends with, and is found by joining the ends of hosts. The driver holds the distinct lengths of
+    the rules' paths and sees nothing else; the unpartitioned window runs over parts, a row each.
+    """
+    spark = pages.sparkSession
+    parts = shuffle_partitions(spark)
+    own = rules.filter("host IS NOT NULL AND path IS NOT NULL AND verdict IS NOT NULL").groupBy("host", "path").agg(F.min(F.struct("ord", "verdict")).alias("x"))
+    low = lambda host, path: F.concat(F.lpad(F.length(path).cast("string"), 6, "0"), path, F.reverse(host))
+    own = materialize(own.select("host", "path", F.col("x.verdict").alias("verdict"), low(F.col("host"), F.col("path")).alias("low")), "url-rules", exchanged=True)
+    lengths = sorted(r["n"] for r in own.select(F.length("path").alias("n")).distinct().collect())
+    labels = F.size(F.split("host", r"\."))
+    ups = own.filter(labels > 1).select("low", "path", "host", F.explode(F.sequence(F.lit(1), labels - 1)).alias("k"))
+    ups = ups.select("low", low(F.expr("substring_index(host, '.', -k)"), F.col("path")).alias("up"))
+    around = ups.join(own.select(F.col("low").alias("up")), "up").groupBy("low").agg(F.max_by("up", F.length("up")).alias("up"))
+    begins = own.select(F.concat("low", F.lit(".")).alias("key"), F.col("low").alias("win"), F.lit(0).alias("is_url"))
+    ends = own.join(around, "low", "left").select(F.concat("low", F.lit("/")).alias("key"), F.coalesce("up", F.lit("")).alias("win"), F.lit(0).alias("is_url"))
+
+    names = [c for c in pages.columns if c not in ("host", "path", "rule", "verdict") and not c.startswith("_url_")]
+    host, path = host_and_path(F.col(url))
+    urls = pages.select(*names, host.alias("_url_host"), path.alias("_url_path"))
+    distinct = urls.select("_url_host", "_url_path").distinct()
+    keys = F.array_compact(F.array(F.lit(None).cast("string"), *(key(F.col("_url_host"), F.col("_url_path"), n) for n in lengths)))
+    asked = materialize(distinct.select("_url_host", "_url_path", F.explode(keys).alias("key")), "url-keys", exchanged=True)
+    every = begins.unionByName(ends).unionByName(asked.select("key").distinct().select("key", F.lit(None).cast("string").alias("win"), F.lit(1).alias("is_url")))
+    dealt = materialize(every.repartitionByRange(parts, "key").withColumn("part", F.spark_partition_id()), "url-sweep", exchanged=True)
+    last = dealt.groupBy("part").agg(F.max_by("win", F.when(F.col("is_url") == 0, F.col("key"))).alias("last"))
+    border = last.select(F.col("part").alias("of"), F.last("last", ignorenulls=True).over(W.orderBy("part").rowsBetween(W.unboundedPreceding, -1)).alias("open"))
+    sweep = W.partitionBy("part").orderBy("key", "is_url").rowsBetween(W.unboundedPreceding, 0)
+    swept = dealt.withColumn("here", F.last("win", ignorenulls=True).over(sweep)).filter("is_url = 1").join(F.broadcast(border), F.col("part") == F.col("of"))
+    found = swept.select(F.col("key").alias("at"), F.coalesce("here", "open").alias("low")).filter("low <> ''")
+    # Keys written anew give both sides of a join an exchange of their own, so that a hot one's partition can be split.
+    met = asked.join(found, asked["key"] == found["at"])
+    rank = F.struct(F.length("low"), F.length("low") - F.substring("low", 1, 6).cast("int"))
+    best = met.groupBy("_url_host", "_url_path").agg(F.max_by("low", rank).alias("low")).select(F.concat("_url_host", F.lit("")).alias("h"), F.concat("_url_path", F.lit("")).alias("p"), F.col("low").alias("best"))
+    told = best.join(own, best["best"] == own["low"]).select("h", "p", F.concat("host", "path").alias("_url_rule"), F.col("verdict").alias("_url_verdict"))
+    out = urls.join(told, (urls["_url_host"] == told["h"]) & (urls["_url_path"] == told["p"]), "left")
+    return out.select(*names, F.col("_url_host").alias("host"), F.col("_url_path").alias("path"), F.col("_url_rule").alias("rule"), F.coalesce("_url_verdict", F.lit(default)).alias("verdict"))
+
+
 def op9_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url")
     return judge(pages).select("page_id", "host", "path", "rule", "verdict")

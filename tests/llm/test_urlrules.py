@@ -33,6 +33,24 @@ def test_against_all_rules(spark):
         got = {r["page_id"]: (r["host"], r["path"], r["rule"], r["verdict"]) for r in urlrules.judge(df.filter("page_id > 0"), rules).collect()}
         assert got == {i: judge(u, rules) for i, u in enumerate(urls) if i}
         assert urlrules.judge(df, rules).count() == len(urls) + 2
+        table = spark.createDataFrame([(*r, n) for n, r in enumerate(rules)] + [("block", None, "/", 0), (None, "com", "/", 0)], "verdict string, host string, path string, ord int")
+        told = urlrules.judge_by_table(df, table).collect()
+        assert len(told) == len(urls) + 2
+        assert {r["page_id"]: (r["host"], r["path"], r["rule"], r["verdict"]) for r in told if r["page_id"]} == got
+
+
+def test_many_rules_as_a_table(spark):
+    rng = random.Random(2)
+    labels = [f"l{i}" for i in range(6)]
+    name = lambda: ".".join(rng.choice(labels) for _ in range(rng.randrange(1, 5)))
+    rules = [(rng.choice(["allow", "block"]), name(), rng.choice(["", "/", "/a", "/a/b"])) for _ in range(400)]
+    urls = [f"http://{name()}{rng.choice(['', '/', '/a', '/a/b/c', '/b'])}" for _ in range(600)] + ["http://l0.l1/a"] * 300
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    got = urlrules.judge_by_table(pages, spark.createDataFrame([(*r, n) for n, r in enumerate(rules)], "verdict string, host string, path string, ord int").repartition(3))
+    assert {r["page_id"]: (r["host"], r["path"], r["rule"], r["verdict"]) for r in got.collect()} == {i: judge(u, rules) for i, u in enumerate(urls)}
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan and "Cartesian" not in plan and "NestedLoop" not in plan
+    assert urlrules.judge_by_table(pages.limit(0), spark.createDataFrame([], "verdict string, host string, path string, ord int")).count() == 0
 
 
 def test_turning_points_are_a_stack():
