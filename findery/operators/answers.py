@@ -1,4 +1,10 @@
-"""Notice numbers, contexts, prompts and answers."""
+"""Notice numbers, contexts, prompts and answers.
+
+Defined results: null and empty texts, ids and metadata values hold no notice number and are empty in a
+context; null metadata has no keys; numbers that repeat count once, at their first place; a question
+without selected rows has no context and an answer that says so; one without notices keeps its answer;
+a null prompt is passed on as it is; empty tables give no rows (``fallback`` gives one for each question).
+"""
 
 from __future__ import annotations
 

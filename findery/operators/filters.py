@@ -1,4 +1,9 @@
-"""Issuer filters of the two retrievers."""
+"""Issuer filters of the two retrievers.
+
+Defined results: null and blank issuers asked for are left out, repeated ones count once; none left is
+an error for ``clean``, no record for the sparse side, every record for the dense side; a record
+without an issuer is found by nothing that asks for one.
+"""
 
 from __future__ import annotations
 

@@ -1,4 +1,11 @@
-"""Reciprocal-rank fusion, backfill from the documents of the first results, reranking, selection."""
+"""Reciprocal-rank fusion, backfill from the documents of the first results, reranking, selection.
+
+Defined results: a row with a null or empty ``chunk_id`` holds its rank in its list but is fused with
+nothing; a chunk that one list has twice counts with both ranks; rows with a null ``question_id`` are
+one question's; chunks without a document give no seed, those without a fact type fill nothing and
+have no points; an unknown type of question needs no facts; empty lists and no questions give no rows.
+Columns beside those named are kept by ``rerank`` and ``select_contexts`` and ignored elsewhere.
+"""
 
 from __future__ import annotations
 

@@ -364,3 +364,28 @@ def test_notices_of_all_records_where_the_results_have_none(spark):
     got = hybrid.lookups(chunks, found, *hybrid.select(chunks, found)).orderBy("question_id", "n").collect()
     want = [(1, 1, "2222222222", "two"), (1, 2, "2100000000", "two"), (1, 3, "2200000000", "two"), (3, 1, "3333333333", "one")]
     assert [(r["question_id"], r["n"], r["notice_number"], r["source_file"]) for r in got] == want
+
+
+def test_fusion_of_hard_rows(spark):
+    shape = "question_id long, ord long, chunk_id string, rank int, retriever string, extra int"
+    rows = spark.createDataFrame([(None, 1, "x", 1, "dense", 0), (None, 2, None, 2, "dense", 0), (1, 1, "x", 1, "dense", 0), (1, 1, "x", 3, "dense", 0)], shape)
+    got = {r["question_id"]: (r["chunk_id"], r["rrf_score"]) for r in fusion.rrf([rows, rows.limit(0)]).collect()}
+    assert got == {None: ("x", 1 / 61), 1: ("x", 1 / 61 + 1 / 63)}
+    assert fusion.rrf([rows.limit(0)]).count() == 0
+    facts = spark.createDataFrame([(1, "x", None, None, None)], "ord long, chunk_id string, issuer string, doc string, fact_type string")
+    assert fusion.seeds(fusion.rrf([rows]), facts).count() == 0
+    asked = spark.createDataFrame([(1, "unheard of", ["가"])], "question_id long, qtype string, issuers array<string>")
+    assert fusion.backfill(fusion.rrf([rows]), asked, facts.withColumn("doc", F.lit("d"))).count() == 0
+
+
+def test_answers_of_hard_rows(spark):
+    rows = spark.createDataFrame([(1, 1, None, None), (1, 2, "t", {"source_file": ""})], "question_id long, context_rank int, text string, metadata map<string,string>")
+    blocks = answers.contexts(rows).first()["context"].split("\n\n[")
+    assert blocks[0] == answers.CONTEXT % (1, "", "", "", "", "", "") and blocks[1].endswith("\nt")
+    asked = spark.createDataFrame([(1, None), (2, "purpose")], "question_id long, qtype string")
+    said = {r["question_id"]: r["answer"] for r in answers.fallback(asked, rows).collect()}
+    assert said[1] == f"{answers.LEAD}\n- t\n\n{answers.SOURCES}{answers.ANY_SOURCE}" and said[2] == answers.NO_CONTEXT
+    texts = spark.createDataFrame([(None, None, None), ("", "", {"a": None, "b": ""}), ("c", "공고번호: 1234567890", {"a": "2024123456"})], "chunk_id string, text string, metadata map<string,string>")
+    got = texts.select(answers.candidate_text(F.col("chunk_id"), F.col("text"), F.col("metadata")).alias("t")).select("t", answers.notice_numbers(F.col("t")).alias("n")).collect()
+    assert [(r["t"], r["n"]) for r in got] == [("", []), ("", []), ("c\n공고번호: 1234567890\n2024123456", ["2024123456", "1234567890"])]
+    assert answers.contexts(rows.limit(0)).count() == answers.fallback(asked.limit(0), rows).count() == 0
