@@ -57,8 +57,10 @@ def fill_targets(sources: DataFrame, weights=WEIGHTS, share=SHARE, cap=CAP) -> D
         .withColumn("_mix_ratio", F.col("source_size") * cap / F.col("_mix_weight"))
         .withColumn("_mix_budget", F.sum("source_size").over(everything) * share[0] / share[1])
     )
-    capped = F.coalesce(F.sum(F.col("source_size") * cap).over(upward.rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
-    rest = F.sum("_mix_weight").over(upward.rowsBetween(0, W.unboundedFollowing))
+    before = upward.rowsBetween(W.unboundedPreceding, -1)
+    capped = F.coalesce(F.sum(F.col("source_size") * cap).over(before), F.lit(0))
+    # Not a sum up to the end, for which Spark would go over all rows after each row.
+    rest = F.sum("_mix_weight").over(everything) - F.coalesce(F.sum("_mix_weight").over(before), F.lit(0))
     level = ranked.withColumn("_mix_level", (F.col("_mix_budget") - capped) / rest)
     chosen = F.max(F.when(F.col("_mix_ratio") >= F.col("_mix_level"), F.col("_mix_level"))).over(everything)
     full = (F.col("source_size") * cap).cast("double")
@@ -69,14 +71,17 @@ def apportion(parties: DataFrame, group: list[str], party: list[str], votes: str
     """Sainte-Laguë: ``seats`` (equal within a group) by highest quotients votes / (2n - 1), ties to the smaller party.
 
     Rounding by the mean divisor is itself an apportionment of a near number of seats, so that
-    only the few seats by which it differs are given or taken by quotient.
+    only the seats by which it differs are given or taken by quotient. Rounding errs by half a seat for
+    each of n parties at most, so the divisor has to change by n / 2 seats' share at most, and a party
+    with x seats gains or loses no more than x * n / (2 * seats) of them and one: together 1.5 n.
     """
     w = W.partitionBy(*group)
     exact = F.when(F.sum(votes).over(w) > 0, F.col(votes) * F.col(seats) / F.sum(votes).over(w)).otherwise(F.lit(0.0))
     base = parties.withColumn("_mix_base", F.floor(exact + 0.5)).withColumn("_mix_any", F.sum(votes).over(w) > 0)
+    base = base.withColumn("_mix_most", F.when(F.col(seats) > 0, F.floor(exact * F.count(F.lit(1)).over(w) / (2 * F.col(seats)))).otherwise(F.lit(0)) + 2)
     base = base.withColumn("_mix_gap", F.when(F.col("_mix_any"), F.col(seats) - F.sum("_mix_base").over(w)).otherwise(F.lit(0)))
     more, fewer = F.col("_mix_gap") > 0, F.col("_mix_gap") < 0
-    steps = F.sequence(F.lit(1).cast("long"), F.abs("_mix_gap"))
+    steps = F.sequence(F.lit(1).cast("long"), F.least(F.abs("_mix_gap"), F.col("_mix_most")))
     one = base.filter(more | fewer).select("*", F.explode(steps).alias("_mix_step"))
     nth = F.when(more, F.col("_mix_base") + F.col("_mix_step")).otherwise(F.col("_mix_base") - F.col("_mix_step") + 1)
     one = one.withColumn("_mix_nth", nth).filter("_mix_nth >= 1").withColumn("_mix_quotient", F.col(votes) / (2 * F.col("_mix_nth") - 1))
@@ -94,7 +99,7 @@ def apportion(parties: DataFrame, group: list[str], party: list[str], votes: str
         c = base[k].eqNullSafe(moved[k])
         same = c if same is None else same & c
     joined = base.join(moved, same, "left").select(base["*"], moved["_mix_moved"])
-    return joined.withColumn(out, F.col("_mix_base") + F.coalesce("_mix_moved", F.lit(0))).drop("_mix_base", "_mix_any", "_mix_gap", "_mix_moved")
+    return joined.withColumn(out, F.col("_mix_base") + F.coalesce("_mix_moved", F.lit(0))).drop("_mix_base", "_mix_any", "_mix_most", "_mix_gap", "_mix_moved")
 
 
 def quotas(sized: DataFrame, weights=WEIGHTS, share=SHARE, cap=CAP, block=BLOCK, shard_docs=SHARD_DOCS) -> DataFrame:

@@ -1,3 +1,4 @@
+import heapq
 import random
 from fractions import Fraction
 
@@ -99,3 +100,26 @@ def test_query_on_null_and_repeated_ids(spark, tmp_path):
     rows = spark.range(9000).select(F.when(F.col("id") % 3 > 0, F.col("id") % 3).alias("doc_id"), F.when(F.col("id") % 7 > 0, "s").alias("source"), F.concat(F.col("id").cast("string"), F.repeat(F.lit(" w"), (F.col("id") % 50).cast("int"))).alias("text"))
     rows.unionByName(rows.limit(20)).write.parquet(str(tmp_path / "documents.parquet"))
     same(mixing.op4_mixing(spark, str(tmp_path)), mixing.ORACLE_SQL, str(tmp_path))
+
+
+def test_apportion_to_many_small_parties(spark):
+    """Rounding is off by thousands of seats, and few of them are any one party's."""
+    rng = random.Random(6)
+    votes = [rng.choice([0.4, 0.6, 1.4, 1.6]) for _ in range(3000)] + [900.0, 2500.5]
+    for seats in (sum(votes), 0.7 * sum(votes), 40):
+        df = spark.createDataFrame([(0, i, float(v), int(seats)) for i, v in enumerate(votes)], "g int, i int, v double, seats long")
+        got = {r["i"]: r["n"] for r in mixing.apportion(df, ["g"], ["i"], "v", "seats", "n").collect()}
+        heap = [(-v, i, 0) for i, v in enumerate(votes)]
+        heapq.heapify(heap)
+        want = dict.fromkeys(range(len(votes)), 0)
+        for _ in range(int(seats)):
+            _, i, n = heapq.heappop(heap)
+            want[i] += 1
+            heapq.heappush(heap, (-votes[i] / (2 * n + 3), i, n + 1))
+        assert got == want
+
+
+def test_as_many_sources_as_documents(spark):
+    df = spark.range(50_000).select(F.col("id").alias("doc_id"), F.concat(F.lit("host"), "id").alias("source"), (F.col("id") % 97 + 1).alias("size"))
+    got = mixing.mix(df).agg(F.sum("taken").alias("taken"), F.max(F.col("taken") / F.col("size")).alias("most"), F.count(F.lit(1)).alias("n")).first()
+    assert got["n"] == 50_000 and got["most"] <= 2
