@@ -30,7 +30,7 @@ WAVES = 4
 
 
 def few(df: DataFrame) -> DataFrame:
-    """Rows that come off an exchange, in ``WAVES`` tasks a core at most: partitions beyond that are read one after another, and each task's file is one instead of many small ones."""
+    """Rows that come off an exchange, in ``WAVES`` tasks a core at most: partitions beyond that are read one after another, and each task's file is one instead of many small ones. Not for the output of hash joins, whose tables a task holds to its end."""
     return df.coalesce(max(1, WAVES * df.sparkSession.sparkContext.defaultParallelism))
 
 
