@@ -1,8 +1,9 @@
-"""Corpus operators: near duplicates, packing, language, mixing, repeats, chat, media, search, URL rules, token counts."""
+"""Corpus operators: near duplicates, packing, language, mixing, repeats, chat, media, search, URL rules, token counts, phrases, fingerprints, alignment."""
 
 from __future__ import annotations
 
-from findery.llm import chat, counts, langid, media, mixing, ngramjoin, packing, passages, topk, urlrules
+from findery.llm import chat, collocations, counts, langid, media, mixing, ngramjoin, packing, passages, simhash, topk, urlrules
+
 
 def queries():
     return {
@@ -16,6 +17,8 @@ def queries():
         "op8_exact_topk": topk.op8_exact_topk,
         "op9_url_filters": urlrules.op9_url_filters,
         "op10_token_counts": counts.op10_token_counts,
+        "op11_collocations": collocations.op11_collocations,
+        "op12_simhash": simhash.op12_simhash,
     }
 
 
@@ -27,4 +30,5 @@ def oracle_sql():
         "op6_chat_formatting": chat.ORACLE_SQL,
         "op8_exact_topk": topk.ORACLE_SQL,
         "op9_url_filters": urlrules.ORACLE_SQL,
+        "op11_collocations": collocations.ORACLE_SQL,
     }
