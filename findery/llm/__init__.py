@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from findery.llm import chat, collocations, counts, langid, media, mixing, ngramjoin, packing, passages, simhash, topk, urlrules
+from findery.llm import alignment, chat, collocations, counts, langid, media, mixing, ngramjoin, packing, passages, simhash, topk, urlrules
 
 
 def queries():
@@ -19,6 +19,7 @@ def queries():
         "op10_token_counts": counts.op10_token_counts,
         "op11_collocations": collocations.op11_collocations,
         "op12_simhash": simhash.op12_simhash,
+        "op13_alignment": alignment.op13_alignment,
     }
 
 

@@ -2,11 +2,12 @@
 
 Python does the tokenising and no more: a document becomes the ids of its A and B tokens and the byte
 offsets where they end. Everything else is Spark's array functions. ``array_intersect`` of the two
-arrays of ends gives where A and B tokens both end. An array and what it shares with the other,
-sorted together, hold each shared end twice in a row; the places of those pairs, less one for each
-pair before them, are the tokens' places (``sequence``, ``filter``, ``transform``), so that no
-element is looked for along an array and the work is linear in a document's tokens. Between two
-shared ends lies a group; the tokens that end at one are linked.
+arrays of ends gives where A and B tokens both end; between two such places lies a group, and the
+tokens that end at one are linked. An array and the ends that it has alone, sorted together, hold each
+of these twice in a row; the places of those pairs, less one for each pair before them, are the
+tokens' places (``sequence``, ``filter``, ``transform``). So no element is looked for along an array,
+and the work is linear in a document's tokens. Runs of such tokens are joined to the token behind
+them; all other groups are one token to one, taken over by slices.
 
 Pairs of ids are counted over all links, added up within a task before they are shuffled. Counts come
 back to the links in two ways that together are all of them: the ``COMMON`` most frequent pairs, a
@@ -14,10 +15,10 @@ table of bounded size, are broadcast, which deals with every pair that a task wo
 from the whole corpus; links of the other pairs are joined by pair. What is summed goes by row of
 the written table, so rows that share an id are told apart.
 
-The tokenizers are read from vocabulary files. Neither joins what is on two sides of a cut (A: its
-pattern's pre-tokens; B: runs of spaces with what follows them, as no piece of the vocabulary has a
-space behind another character), so a batch's distinct pieces are encoded once each; tests compare
-the ids with those of whole texts.
+The tokenizers are read from vocabulary files. Neither joins what is on two sides of a cut (``cuts``;
+A's pattern takes white space with what follows it, and no piece of B has a space behind another
+character), so a slice's distinct pieces are encoded once each; tests compare the ids with those of
+whole texts.
 
 Defined results: texts that are null or empty, or that a tokenizer doesn't give back byte for byte
 (U+2581, which B takes for a space), have no tokens: zeros, and '' for the digest; rows with null or
@@ -39,18 +40,17 @@ from findery.llm.words import slices
 from findery.scratch import few, materialize
 
 A, B = "byte_bpe_50k.json", "piece_bpe_32k.model"
-COMMON, SLICE = 1 << 17, 1 << 22
+COMMON, SLICE = 1 << 17, 1 << 23
 _TOKENS = "doc_id long, a_ids array<int>, a_ends array<int>, b_ids array<int>, b_ends array<int>"
 
 
-def _bytewise(name: str) -> tuple[Callable, Callable]:
-    """(text -> pieces, pieces -> ids of each, lengths of each id's bytes) of a byte-level vocabulary."""
+def _bytewise(name: str) -> tuple[Callable, np.ndarray]:
+    """(pieces -> ids of each, how many bytes an id has) of a byte-level vocabulary."""
     cache = _shared()
     if ("bytewise", name) not in cache:
         import base64
 
         import public_tokenizers
-        import regex
         import tiktoken
 
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(vocabulary(name.replace(".json", ".tiktoken")), "rb"))}
@@ -58,65 +58,69 @@ def _bytewise(name: str) -> tuple[Callable, Callable]:
         sizes = np.zeros(max(ranks.values()) + 1, np.int32)
         for token, i in ranks.items():
             sizes[i] = len(token)
-        cache["bytewise", name] = regex.compile(public_tokenizers.PATTERN).findall, lambda pieces: [bpe.encode_ordinary(p) for p in pieces], sizes
+        cache["bytewise", name] = lambda pieces: list(map(bpe.encode_ordinary, pieces)), sizes
     return cache["bytewise", name]
 
 
-def _piecewise(name: str) -> tuple[Callable, Callable]:
-    """The same of a vocabulary of pieces that puts a space before a text."""
+def _piecewise(name: str) -> tuple[Callable, np.ndarray]:
+    """The same of a vocabulary of pieces that puts a space before a text: it is taken off first."""
     cache = _shared()
     if ("piecewise", name) not in cache:
-        import re
-
         import sentencepiece
 
         model = sentencepiece.SentencePieceProcessor(model_file=vocabulary(name))
         space = model.piece_to_id("▁")
         sizes = np.array([1 if model.is_byte(i) else len(model.id_to_piece(i).replace("▁", " ").encode()) for i in range(model.get_piece_size())], np.int32)
+        cache["piecewise", name] = lambda pieces: [m or [space] for m in model.encode([p[1:] for p in pieces], num_threads=1)], sizes
+    return cache["piecewise", name]
 
-        def encode(pieces: list[str]) -> list[list[int]]:
-            made = model.encode([p[1:] for p in pieces], num_threads=1)
-            return [m or [space] for m in made]
 
-        cache["piecewise", name] = re.compile(r" +[^ ]*").findall, encode, sizes
-    return cache["piecewise", name]
+def cuts(data: np.ndarray) -> np.ndarray:
+    """Where a space follows a character that can't be white space: neither tokenizer joins what is on its two sides."""
+    back = lambda k: np.r_[np.zeros(min(k, len(data)), np.uint8), data[: max(0, len(data) - k)]]
+    one, two, three = back(1), back(2), back(3)
+    plain = (one > 0x20) & (one < 0x7F)
+    wide = (one >= 0x80) & np.where((two >= 0x80) & (two < 0xC0), (three < 0xE1) | (three > 0xE3), two != 0xC2)
+    return np.flatnonzero((data == 0x20) & (plain | wide))
 
 
-def _lists(texts: list[str], how: tuple[Callable, Callable, np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(ids, ends, where each text's begin) of texts with a space before them."""
-    cut, encode, sizes = how
-    pieces = [cut(t) for t in texts]
-    n = np.array([len(p) for p in pieces], np.int64)
-    coded = pa.array([x for p in pieces for x in p], pa.string()).dictionary_encode()
-    own = encode(coded.dictionary.to_pylist())
-    lengths = np.array([len(o) for o in own], np.int64)
+def _gather(own: list[list[int]], sizes: np.ndarray, at: np.ndarray, begin: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(ids, ends, where each text's begin): ``own``: ids of each distinct piece, ``at``: the texts' pieces by number, ``begin``: where each text's pieces begin."""
+    lengths = np.array(list(map(len, own)), np.int64)
     first = np.r_[0, np.cumsum(lengths)]
     flat = np.array([i for o in own for i in o], np.int32)
-    at = np.asarray(coded.indices).astype(np.int64)
     size = lengths[at]
-    place = np.repeat(first[at] - np.r_[0, np.cumsum(size)[:-1]], size) + np.arange(size.sum())
-    ids = flat[place]
-    begin = np.r_[0, np.cumsum(size)][np.r_[0, np.cumsum(n)]]
+    ends = np.r_[0, np.cumsum(size)]
+    place = np.repeat(first[at] - ends[:-1], size)
+    place += np.arange(len(place))
+    ids, begin = flat[place], ends[begin]
     total = np.r_[0, np.cumsum(sizes[ids], dtype=np.int64)]
-    ends = (total[1:] - np.repeat(total[begin[:-1]], np.diff(begin))).astype(np.int32)
-    return ids, ends, begin
+    return ids, (total[1:] - np.repeat(total[begin[:-1]], np.diff(begin))).astype(np.int32), begin
 
 
 def _tokenise(a: str, b: str):
     def run(batches):
         how = _bytewise(a), _piecewise(b)
         for batch in slices(batches, "text", SLICE):
-            texts = [t if t and "▁" not in t else "" for t in batch["text"].to_pylist()]
-            spaced = [" " + t if t else "" for t in texts]
-            size = np.array([len(t.encode("utf-8", "surrogatepass")) for t in spaced])
-            (ai, ae, ab), (bi, be, bb) = (_lists(spaced, h) for h in how)
-            last = lambda ends, begin: np.where(np.diff(begin) > 0, np.r_[ends, 0][begin[1:] - 1], 0)
-            good = (last(ae, ab) == size) & (last(be, bb) == size)
+            texts = [(" " + t).encode("utf-8", "surrogatepass") if t and "▁" not in t else b"" for t in batch["text"].to_pylist()]
+            size = np.array(list(map(len, texts)), np.int64)
+            offsets = np.r_[0, np.cumsum(size)]
+            data = np.frombuffer(b"".join(texts), np.uint8)
+            edge = np.zeros(len(data) + 1, bool)
+            edge[cuts(data)] = edge[offsets] = True
+            edges = np.flatnonzero(edge)
+            own = pa.Array.from_buffers(pa.large_binary(), max(0, len(edges) - 1), [None, pa.py_buffer(edges.astype(np.int64)), pa.py_buffer(data)]).dictionary_encode()
+            pieces, at = [p.decode("utf-8", "replace") for p in own.dictionary.to_pylist()], np.asarray(own.indices).astype(np.int64)
+            begin = np.searchsorted(edges, offsets)
+            made = [_gather(encode(pieces), sizes, at, begin) for encode, sizes in how]
+            good = np.ones(len(texts), bool)
+            for _, ends, first in made:
+                good &= np.where(np.diff(first) > 0, np.r_[ends, 0][first[1:] - 1], 0) == size
             columns = [batch["doc_id"]]
-            for ids, ends, begin in ((ai, ae, ab), (bi, be, bb)):
-                keep = np.repeat(good, np.diff(begin))
-                offsets = pa.array(np.r_[0, np.cumsum(np.where(good, np.diff(begin), 0))].astype(np.int32))
-                columns += [pa.ListArray.from_arrays(offsets, pa.array(x[keep])) for x in (ids, ends)]
+            for ids, ends, first in made:
+                n = np.diff(first)
+                keep, lists = np.repeat(good, n), pa.array(np.r_[0, np.cumsum(np.where(good, n, 0))].astype(np.int32))
+                columns += [pa.ListArray.from_arrays(lists, pa.array(x[keep])) for x in (ids, ends)]
             yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "a_ids", "a_ends", "b_ids", "b_ends"])
 
     return run
@@ -137,28 +141,42 @@ def upto(n: Column) -> Column:
     return F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>"))
 
 
-def places(ends: Column, shared: Column) -> Column:
-    """Where in ``ends`` its elements ``shared`` are, both ascending."""
-    pairs = lambda m: F.filter(upto(F.size(m) - 1), lambda p: F.get(m, p) == F.get(m, p + 1))
-    return F.transform(let(F.sort_array(F.concat(ends, shared)), pairs), lambda p, k: p - k)
+def stretches(merged: Column) -> Column:
+    """Of an array of ends sorted together with those that it has alone: ``begin`` and ``end`` of the runs of these tokens, up to the token behind each run, which ends with another."""
+    found = F.filter(upto(F.size(merged) - 1), lambda p: F.get(merged, p) == F.get(merged, p + 1))
+    other = lambda at, i, x: F.coalesce(F.get(at, i) != x, F.lit(True))
+    runs = lambda at: F.struct(
+        F.filter(at, lambda x, i: other(at, i - 1, x - 1)).alias("begin"), F.transform(F.filter(at, lambda x, i: other(at, i + 1, x + 1)), lambda x: x + 1).alias("end")
+    )
+    return let(F.transform(found, lambda p, k: p - k), runs)
+
+
+def between(of: Column, runs: Column, joined: bool) -> Column:
+    """An array's elements outside of the runs; ``joined``: each run, with the element behind it, as one string."""
 
+    def part(x, begin, end, m):
+        low = F.coalesce(F.get(end, m - 1) + (1 if joined else 0), F.lit(0))
+        plain = F.slice(x, low + 1, F.coalesce(F.get(begin, m), F.size(x)) - low)
+        if not joined:
+            return plain
+        one = F.array(F.array_join(F.slice(x, F.get(begin, m) + 1, F.get(end, m) - F.get(begin, m) + 1), ","))
+        return F.when(m < F.size(begin), F.concat(plain, one)).otherwise(plain)
 
-def notation(ids: Column, at: Column, k: Column) -> Column:
-    """The ids, as strings, from behind place k - 1 of ``at`` to place k, joined by commas."""
-    low = F.when(k > 0, F.get(at, k - 1)).otherwise(F.lit(-1))
-    return F.array_join(F.slice(ids, low + 2, F.get(at, k) - low), ",")
+    cut = lambda x: let(runs, lambda r: let(r["begin"], lambda b: let(r["end"], lambda e: F.flatten(F.transform(upto(F.size(b) + 1), lambda m: part(x, b, e, m))))))
+    return let(of, cut)
 
 
 def align(tokenised: DataFrame) -> DataFrame:
-    """Adds ``a_at, b_at`` (places of the tokens that end a group), ``groups`` (``a1,a2|b1`` each) and ``links`` (A id * 2**32 + B id each)."""
+    """Adds ``shared`` (where A and B tokens end together), ``groups`` (``a1,a2|b1`` each) and ``links`` (A id * 2**32 + B id each)."""
     rows = tokenised.withColumn("shared", F.array_intersect("a_ends", "b_ends"))
-    rows = rows.withColumn("a_at", places(F.col("a_ends"), F.col("shared"))).withColumn("b_at", places(F.col("b_ends"), F.col("shared")))
-    text = lambda c: F.col(c).cast("array<string>")
-    group = lambda a, i, b, j: F.transform(upto(F.size(i)), lambda k: F.concat(notation(a, i, k), F.lit("|"), notation(b, j, k)))
-    groups = let(text("a_ids"), lambda a: let(text("b_ids"), lambda b: let(F.col("a_at"), lambda i: let(F.col("b_at"), lambda j: group(a, i, b, j)))))
-    pair = lambda a, b: F.zip_with("a_at", "b_at", lambda i, j: F.get(a, i).cast("long") * F.lit(1 << 32) + F.get(b, j))
-    links = let(F.col("a_ids"), lambda a: let(F.col("b_ids"), lambda b: pair(a, b)))
-    return rows.withColumn("groups", groups).withColumn("links", links)
+    # Columns of their own, which the optimizer leaves so as they are named twice: sorted in compiled code, and once.
+    for side in ("a", "b"):
+        rows = rows.withColumn(f"{side}_merged", F.sort_array(F.concat(f"{side}_ends", F.array_except(f"{side}_ends", "shared"))))
+    rows = rows.withColumn("a_runs", stretches(F.col("a_merged"))).withColumn("b_runs", stretches(F.col("b_merged"))).drop("a_merged", "b_merged")
+    part = lambda side, joined: between(F.col(f"{side}_ids").cast("array<string>") if joined else F.col(f"{side}_ids"), F.col(f"{side}_runs"), joined)
+    groups = F.zip_with(part("a", True), part("b", True), lambda x, y: F.concat(x, F.lit("|"), y))
+    links = F.zip_with(part("a", False), part("b", False), lambda x, y: F.shiftleft(x.cast("long"), 32).bitwiseOR(y))
+    return rows.withColumn("groups", groups).withColumn("links", links).drop("a_runs", "b_runs")
 
 
 def counts(links: DataFrame) -> DataFrame:

@@ -38,7 +38,7 @@ from findery.llm.words import mix, slices
 from findery.scratch import few, materialize
 
 LEAST, LONGEST, COVER, TOP = 10, 3, 50, 2000
-BLOCK_BYTES, FILTER_BITS, PROBES, SALTS = 1 << 24, 27, 3, 32
+BLOCK_BYTES, FILTER_BITS, PROBES, SALTS = 1 << 22, 27, 3, 32
 UNKNOWN = "und"
 
 _KIND = np.zeros(256, np.uint8)
@@ -93,7 +93,7 @@ def postings(texts: pa.Array, langs: pa.Array, seed: int) -> Postings:
     ends[edge - 1] |= solid[edge - 1]
     start, end = np.flatnonzero(begins), np.flatnonzero(ends) + 1
     doc = np.searchsorted(at, start, side="right") - 1
-    position = np.arange(len(start)) + np.cumsum(kind == 2)[start] + doc
+    position = np.arange(len(start)) + np.cumsum(kind == 2, dtype=np.int32)[start] + doc
     cells = pa.Array.from_buffers(pa.large_binary(), len(start), [None, pa.py_buffer(np.r_[0, np.cumsum(end - start)].astype(np.int64)), pa.py_buffer(np.ascontiguousarray(data[solid]))]).dictionary_encode()
     own = langs.fill_null(UNKNOWN).dictionary_encode()
     pair, number = np.unique(np.asarray(cells.indices).astype(np.int64) * len(own.dictionary) + np.asarray(own.indices)[doc], return_inverse=True)

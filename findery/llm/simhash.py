@@ -38,11 +38,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from findery.llm.components import LOCAL, _stars, components
-from findery.scratch import few, materialize
+from findery.scratch import few, materialize, shuffle_partitions
 
 SIZE, SEED, BITS, FULL = 3, 42, 64, 1 << 16
 _RUN = 1 << 16
 _COPIES, _PAIRS = 1 << 20, 1 << 21
+_FPS, _GATHERED = 1 << 17, 1 << 22  # fingerprints copied by a task, copies gathered by one
 
 
 def votes(hashes: np.ndarray) -> np.ndarray:
@@ -159,6 +160,14 @@ class Code:
             who, at, left = np.repeat(who, n), np.repeat(at, n) ^ p.patterns[place], np.repeat(left, n) - p.excess[place]
         return who, at
 
+    def mean(self) -> int:
+        """How many anchors a word reaches, in the mean over all words."""
+        return max(1, self.most() * self._size() >> BITS)
+
+    def _size(self) -> int:
+        """How many anchors there are."""
+        return 1 << sum(p.width - max(max(p.columns), 0).bit_length() for p in self.parts)
+
     def most(self) -> int:
         """How many different words can reach one anchor."""
         by = np.zeros(self.t + 1, np.int64)
@@ -266,8 +275,12 @@ def _meet(code: Code, full: int):
 
 
 def _met(fps: DataFrame, code: Code, full: int) -> DataFrame:
-    copies = fps.select("fp").mapInArrow(_copies(code), "anchor long, fp long")
-    return copies.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(_meet(code, full), "a binary, b binary")
+    """``fps``: a written table. What a task makes or gathers is bounded by dealing it to as many tasks as its count asks for."""
+    spark, n = fps.sparkSession, fps.count()
+    made = fps.select("fp").repartition(max(spark.sparkContext.defaultParallelism, n // _FPS))
+    copies = made.mapInArrow(_copies(code), "anchor long, fp long")
+    parts = max(shuffle_partitions(spark), n * code.mean() // _GATHERED)
+    return copies.repartition(parts, "anchor").sortWithinPartitions("anchor").mapInArrow(_meet(code, full), "a binary, b binary")
 
 
 def links(fps: DataFrame, t: int = 2, full: int = FULL) -> DataFrame:
@@ -277,7 +290,7 @@ def links(fps: DataFrame, t: int = 2, full: int = FULL) -> DataFrame:
     crowded = met.filter("b IS NULL").select("a").distinct()
     if not crowded.limit(1).count():
         return met
-    again = crowded.select(F.conv(F.hex("a"), 16, -10).cast("long").alias("fp"))
+    again = materialize(crowded.select(F.conv(F.hex("a"), 16, -10).cast("long").alias("fp")), "simhash-crowded", exchanged=True)
     anew = materialize(_met(again, fine, fine.most()), "simhash-anew", exchanged=True)
     return met.filter("b IS NOT NULL").unionByName(anew)
 
