@@ -28,7 +28,7 @@ from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.window import Window as W
 
 from findery.functions.text import token_codes
-from findery.operators import filters
+from findery.operators import filters, postings
 from findery.scratch import materialize, remove_at_end, shared_dir
 
 DENSE_K = SPARSE_K = 50
@@ -68,7 +68,7 @@ class Best:
         self.parts, self.n = [out], 0
         numbers, first, count = np.unique(out[0], return_index=True, return_counts=True)
         full = count == self.k
-        self.least[numbers[full]] = out[1][first[full] + self.k - 1]
+        self.least[numbers[full]] = np.maximum(self.least[numbers[full]], out[1][first[full] + self.k - 1])
         return out
 
 
@@ -167,15 +167,43 @@ def _sparse(rows, ids: pa.Array, k: int):
     return run
 
 
+def _inverted(rows, ids: pa.Array, k: int, block: int, told: dict):
+    """Shards of ``postings`` -> hits; what one shard's best reach is the least that the task's next one has to."""
+    codes = [np.unique(token_codes(r["question"]), return_counts=True) for r in rows]
+    own: dict[str, list[int]] = {}
+    for i, r in enumerate(rows):
+        for issuer in {x.strip() for x in r["issuers"] or [] if x} - {""}:
+            own.setdefault(issuer, []).append(i)
+
+    def run(batches):
+        least = np.full(len(rows), -np.inf)
+        for issuer, order, names, shard in postings.shards_of(batches, block):
+            found = Best(len(rows), k)
+            found.least = least
+            for i in own.get(issuer, ()):
+                at, score, scored, there = shard.scores(codes[i][0], codes[i][1].astype(np.float64), least[i], k)
+                for name, n in (("scored", scored), ("blocks", there)):
+                    if name in told:
+                        told[name].add(n)
+                good = score >= least[i]
+                found.add(np.full(good.sum(), i), score[good], order[at[good]], at[good])
+            yield _hits(pa.RecordBatch.from_arrays([pa.array(order, pa.int64()), pa.array(names, pa.string())], names=["ord", "chunk_id"]), ids, found, "sparse_score")
+
+    return run
+
+
 def _ids(rows, kind) -> pa.Array:
     return pa.array([r["question_id"] for r in rows], to_arrow_type(kind))
 
 
-def sparse_search(chunks: DataFrame, questions: DataFrame, k: int = SPARSE_K, index: DataFrame | None = None) -> DataFrame:
+def sparse_search(chunks: DataFrame, questions: DataFrame, k: int = SPARSE_K, index: DataFrame | postings.Index | None = None, told: dict | None = None) -> DataFrame:
     """Shared tokens (each as often as both have it) over the root of the chunk's distinct tokens: ``question_id, ord, chunk_id, sparse_score, rank, retriever``.
 
-    Reads ``index``, if there is one, else tokenises ``chunks`` (once, however many blocks there are).
-    Chunks of an issuer that no question of the block asks for are left out at the scan.
+    Of a version of ``postings`` reads the lists of tokens that questions have, and scores the blocks
+    that can matter; of a ``sparse_index``, or without one, all chunks (tokenised once, however many
+    blocks of questions there are). Chunks of an issuer that no question of the block asks for are
+    left out at the scan. ``told``: accumulators ``blocks`` (that share a token with a question) and
+    ``scored``, added to where lists are read.
     """
     kind = questions.schema["question_id"].dataType
     shape = f"question_id {kind.simpleString()}, ord long, sparse_score double, chunk_id string"
@@ -184,13 +212,17 @@ def sparse_search(chunks: DataFrame, questions: DataFrame, k: int = SPARSE_K, in
     def plan(rows):
         nonlocal written
         wanted = sorted({i for r in rows for i in r["issuers"] or [] if i})
+        if isinstance(index, postings.Index):
+            asked = [token_codes(r["question"]) for r in rows]
+            lists = postings.wanted(index, sorted({i.strip() for i in wanted} - {""}), np.concatenate(asked) if asked else np.zeros(0, np.uint64))
+            return postings.dealt(lists).mapInArrow(_inverted(rows, _ids(rows, kind), k, index.block, told or {}), shape)
         if len(rows) == BLOCK and written is None:
             written = materialize(sparse_index(chunks), "postings")
         own = filters.records_for_issuers(written, wanted) if written is not None else sparse_index(filters.records_for_issuers(chunks, wanted))
         return own.select("ord", "chunk_id", "issuer", "tokens", "counts").mapInArrow(_sparse(rows, _ids(rows, kind), k), shape)
 
     hits = _by_blocks(questions.select("question_id", "question", "issuers"), "sparse", plan)
-    return _ranked(hits if hits is not None else chunks.sparkSession.createDataFrame([], shape), k, "sparse_score", "sparse")
+    return _ranked(hits if hits is not None else questions.sparkSession.createDataFrame([], shape), k, "sparse_score", "sparse")
 
 
 def _dense(rows, ids: pa.Array, k: int):
