@@ -40,7 +40,7 @@ from findery.llm.words import slices
 from findery.scratch import few, materialize
 
 A, B = "byte_bpe_50k.json", "piece_bpe_32k.model"
-COMMON, SLICE = 1 << 17, 1 << 23
+COMMON, SLICE = 1 << 17, 1 << 21
 _TOKENS = "doc_id long, a_ids array<int>, a_ends array<int>, b_ids array<int>, b_ends array<int>"
 
 

@@ -93,7 +93,7 @@ def gradients(m: Model, seen: np.ndarray, wanted: np.ndarray):
 
 
 def train(texts: list[bytes], targets: np.ndarray, labels: list[str], steps: int = STEPS, seed: int = 5) -> Model:
-    """Adam over random windows, as many of each language."""
+    """Adam over random windows, the languages in turn: all of them, however many there are to a step."""
     rng, classes = np.random.default_rng(seed), len(labels)
     init = lambda *s, by=0.3: (rng.standard_normal(s) * by).astype(np.float32)
     m = Model(labels, init(512, 3 * HIDDEN), init(2, HIDDEN, 3 * HIDDEN), init(2, HIDDEN, classes), np.zeros(classes, np.float32))
@@ -102,7 +102,7 @@ def train(texts: list[bytes], targets: np.ndarray, labels: list[str], steps: int
     weights = (m.x, m.u, m.o, m.b)
     moments = [(np.zeros_like(w), np.zeros_like(w)) for w in weights]
     for step in range(1, steps + 1):
-        who = np.array([rng.choice(of[k]) for k in rng.permutation(np.arange(BATCH) % classes)])
+        who = np.array([rng.choice(of[k]) for k in rng.permutation(np.arange((step - 1) * BATCH, step * BATCH) % classes)])
         at = [rng.integers(0, len(texts[i]) - TRAIN_BYTES + 1) for i in who]
         seen = np.stack([np.frombuffer(texts[i], np.uint8, TRAIN_BYTES, s) for i, s in zip(who, at, strict=True)], 1)
         rate = 0.02 * min(1.0, 2 * (1 - step / (steps + 1)))

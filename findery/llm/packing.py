@@ -24,6 +24,7 @@ import zlib
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from findery.llm.tokens import encoder
 
@@ -93,11 +94,8 @@ class Packer:
 
 def _packed(name: str, capacity: int, small: int, sums: bool):
     def run(batches):
-        from pyspark import TaskContext
-
         encode, packer = encoder(name), Packer(capacity, small)
-        context = TaskContext.get()
-        sequence = (context.partitionId() if context else 0) << 32
+        sequence = None
         columns: list[list] = [[] for _ in range(8 if sums else 7)]
         schema = pa.schema([(n, t) for n, t in zip(["doc_id", "start", "length", "ids_crc32" if sums else "ids", "doc_tokens", "sequence_id", "offset", "sequence_tokens"], [pa.int64()] * 3 + [pa.int64() if sums else pa.list_(pa.int32())] + [pa.int64()] * 4)][: len(columns)])
 
@@ -119,6 +117,8 @@ def _packed(name: str, capacity: int, small: int, sums: bool):
             return out
 
         for b in batches:
+            if sequence is None and len(b):
+                sequence = b["part"][0].as_py() << 32
             for doc_id, text in zip(b["doc_id"].to_pylist(), b["text"], strict=True):
                 ids = np.array([*encode(text.as_py() or ""), CLOSING], dtype="<u4")
                 put(packer.add((doc_id, len(ids)), ids))
@@ -132,12 +132,12 @@ def _packed(name: str, capacity: int, small: int, sums: bool):
 
 def pack(docs: DataFrame, name: str = "byte_bpe_50k.json", capacity: int = CAPACITY, small: int = SMALL) -> DataFrame:
     """Pieces with their token ids."""
-    return docs.select("doc_id", "text").mapInArrow(_packed(name, capacity, small, False), SHAPE)
+    return docs.select("doc_id", "text", F.spark_partition_id().alias("part")).mapInArrow(_packed(name, capacity, small, False), SHAPE)
 
 
 def pack_sums(docs: DataFrame, name: str = "byte_bpe_50k.json", capacity: int = CAPACITY, small: int = SMALL) -> DataFrame:
     """The same pieces with the CRC-32 of their little-endian ids in place of the ids."""
-    return docs.select("doc_id", "text").mapInArrow(_packed(name, capacity, small, True), SUMS)
+    return docs.select("doc_id", "text", F.spark_partition_id().alias("part")).mapInArrow(_packed(name, capacity, small, True), SUMS)
 
 
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

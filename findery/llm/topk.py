@@ -34,7 +34,7 @@ from pyspark.sql.window import Window as W
 from findery.scratch import materialize, shuffle_partitions
 
 SCALE, K, LEADING = 256, 5, 16
-QUERY_BLOCK, BLOCK_BYTES, LANE_BLOCKS, STEP, SEEDS, LEVELS = 8192, 1 << 20, 16, 512, 512, 4
+QUERY_BLOCK, QUERY_BYTES, BLOCK_BYTES, LANE_BLOCKS, STEP, SEEDS, LEVELS = 1 << 16, 1 << 25, 1 << 20, 16, 512, 512, 4
 _ASKED, _PAIRS = 2048, 1 << 16  # queries compared at once; products taken at once
 _TINY, _LOWEST = 1e-290, -(1 << 20)
 _VECTOR = "vec_id long, v binary, wide boolean, dims int, norm double"
@@ -111,13 +111,10 @@ def level_of(norm):
 
 
 def _blocks(size: int, query: bool):
-    """Packs a task's rows, in their order, into rows of up to ``size`` vectors, numbered by partition and count. ``level``: of a block of candidates its greatest length's; of queries the least that can matter."""
+    """Packs a partition's rows, in their order, into rows of up to ``size`` vectors, numbered by ``part`` and count: of ``spark_partition_id``, which stays the partition's own where a task reads several. ``level``: of a block of candidates its greatest length's; of queries the least that can matter."""
 
     def run(batches):
-        from pyspark import TaskContext
-
-        context = TaskContext.get()
-        number, rows = (context.partitionId() if context else 0) << 32, []
+        number, rows = None, []
         schema = pa.schema([("block", pa.int64()), ("level", pa.int64()), ("top", pa.float64()), ("ids", pa.binary()), ("cells", pa.list_(pa.binary())), ("wide", pa.list_(pa.bool_())), ("least", pa.binary())])
 
         def out():
@@ -132,6 +129,8 @@ def _blocks(size: int, query: bool):
 
         names = ["vec_id", "v", "wide", "norm"] + ["least", "level"] * query
         for b in batches:
+            if number is None and len(b):
+                number = b["part"][0].as_py() << 32
             for row in zip(*(b[c].to_pylist() for c in names), strict=True):
                 rows.append(row)
                 if len(rows) == size:
@@ -142,6 +141,10 @@ def _blocks(size: int, query: bool):
     return run
 
 
+def _numbered(rows: DataFrame, size: int, query: bool) -> DataFrame:
+    return rows.withColumn("part", F.spark_partition_id()).mapInArrow(_blocks(size, query), _BLOCK)
+
+
 _BLOCK = "block long, level long, top double, ids binary, cells array<binary>, wide array<boolean>, least binary"
 
 
@@ -264,6 +267,8 @@ def _unit(d: int, turn: np.ndarray, unit: float, k: int, leading: int):
                         yield close()
                     now, search = own, None
                 if b["side"][i].as_py() == 0:
+                    if search is not None:
+                        raise RuntimeError("two blocks of queries have one number")
                     search = Search(ids, _matrix(cells, wide, d), np.frombuffer(b["least"][i].as_py(), "<f8"), turn, unit, k, leading)
                 elif search is not None:
                     search.show(ids, _matrix(cells, wide, d))
@@ -278,7 +283,7 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = K, scale: int = SCAL
 
     The driver holds d * d sums, ``SEEDS`` vectors, and a count of blocks for each level of length
     (a double has some 8,000). The unpartitioned window runs over descriptions of query blocks, one
-    row for ``QUERY_BLOCK`` queries, never over vectors.
+    row for ``QUERY_BLOCK`` queries or ``QUERY_BYTES`` of them, never over vectors.
     """
     spark = vectors.sparkSession
     result = "query_id long, rank int, vec_id long, score long"
@@ -300,11 +305,12 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = K, scale: int = SCAL
     width = shuffle_partitions(spark)
     block = max(64, BLOCK_BYTES // (4 * d))
     near = own.repartitionByRange(max(1, min(4 * width, -(-n // block))), F.desc("norm"), F.xxhash64("vec_id")).sortWithinPartitions(F.desc("norm"), "vec_id", "v")
-    candidates = materialize(near.mapInArrow(_blocks(block, False), _BLOCK), "topk-blocks", exchanged=True)
+    candidates = materialize(_numbered(near, block, False), "topk-blocks", exchanged=True)
     levels = sorted(candidates.groupBy("level").count().collect())
     n_blocks = sum(r["count"] for r in levels)
-    like = asked.repartitionByRange(-(-n_queries // QUERY_BLOCK), "level", F.xxhash64("vec_id")).sortWithinPartitions("level", "vec_id")
-    questions = materialize(like.mapInArrow(_blocks(QUERY_BLOCK, True), _BLOCK), "topk-questions", exchanged=True)
+    most = max(1, min(QUERY_BLOCK, QUERY_BYTES // (8 * d)))
+    like = asked.repartitionByRange(-(-n_queries // most), "level", F.xxhash64("vec_id")).sortWithinPartitions("level", "vec_id")
+    questions = materialize(_numbered(like, most, True), "topk-questions", exchanged=True)
     numbers = materialize(questions.select("block", "level").withColumn("q", F.row_number().over(W.orderBy("level", "block")) - 1), "topk-numbers", exchanged=True)
     n_asked = numbers.count()
     lanes = min(n_blocks, max(-(-n_blocks // LANE_BLOCKS), -(-2 * width // n_asked)))

@@ -79,7 +79,7 @@ def judge(pages: DataFrame, rules=RULES, default: str = DEFAULT, url: str = "url
     lengths = sorted({len(path) for _, _, path in rules})
     names = [c for c in pages.columns if c not in ("host", "path", "rule", "verdict") and not c.startswith("_url_")]
     host, path = host_and_path(F.col(url))
-    urls = pages.withColumn("_url_part", F.monotonically_increasing_id() % parts).withColumn("_url_host", host).withColumn("_url_path", path)
+    urls = pages.withColumn("_url_part", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(parts))).withColumn("_url_host", host).withColumn("_url_path", path)
     urls = urls.select(*names, "_url_part", "_url_host", "_url_path", F.lit(1).alias("_url_is"))
     for n in lengths:
         urls = urls.withColumn(f"_url_key{n}", key(F.col("_url_host"), F.col("_url_path"), n)).withColumn(f"_url_win{n}", F.lit(None).cast("int"))

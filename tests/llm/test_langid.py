@@ -76,6 +76,15 @@ def test_training_tells_two_made_up_languages():
     assert p[0, 0] > 0.9 and p[1, 1] > 0.9
 
 
+def test_all_of_many_languages_are_trained():
+    """200 languages, of which a step sees 128."""
+    m = langid.train([bytes([33 + k % 90, 33 + k // 90]) * 60 for k in range(200)], np.arange(200), [f"l{k:03}" for k in range(200)], steps=2)
+    start = langid.train([b"a" * 60] * 200, np.arange(200), [f"l{k:03}" for k in range(200)], steps=0)
+    seen = {k for n in range(2) for k in np.arange(n * langid.BATCH, (n + 1) * langid.BATCH) % 200}
+    assert seen == set(range(200))
+    assert (np.abs(m.b - start.b) > 0).all()
+
+
 def test_held_out_accuracy(spark):
     docs = spark.read.parquet(f"{SMALL}/documents.parquet")
     rows = langid.op3_language_id(spark, SMALL).join(docs.select("doc_id", "lang"), "doc_id").collect()

@@ -123,3 +123,9 @@ def test_what_waits_holds_no_documents():
     for doc in range(3000):
         packer.add(doc, np.zeros(rng.randrange(1, 60_000), dtype="<u4"))
         assert packer.waiting() <= 4 * 2048 * len(packer.open) <= 1 << 20
+
+
+def test_sequences_keep_their_numbers_in_fewer_tasks(spark, reference):
+    df = spark.createDataFrame([(i, f"word{i} " * (50 + i)) for i in range(64)], "doc_id long, text string").repartition(8)
+    pieces = packing.pack_sums(df).coalesce(2).collect()
+    check([(r["doc_id"], r["text"]) for r in df.collect()], pieces, reference)

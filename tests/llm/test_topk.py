@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -50,12 +51,31 @@ def test_few_and_no_rows(spark):
 @pytest.mark.parametrize("blocks", [1, 2, 8, 16])
 def test_blocks_have_numbers_of_their_own(spark, blocks):
     rows = spark.range(64 * blocks).select(F.col("id").alias("vec_id"), F.lit(b"").alias("v"), F.lit(False).alias("wide"), F.rand(3).alias("norm"))
-    got = rows.repartitionByRange(blocks, F.desc("norm")).mapInArrow(topk._blocks(32, False), topk._BLOCK).collect()
+    dealt = topk._numbered(rows.repartitionByRange(blocks, F.desc("norm")), 32, False)
+    assert len({r["block"] for r in dealt.coalesce(1).collect()}) == dealt.count()
+    got = dealt.collect()
     assert len({r["block"] for r in got}) == len(got) >= 2 * blocks
     dealt = spark.createDataFrame([(r["block"],) for r in got], "block long").select(F.pmod(F.xxhash64("block"), F.lit(len(got))).alias("lane")).distinct().count()
     assert dealt > len(got) // 3
 
 
+def test_more_query_blocks_than_tasks(spark, monkeypatch):
+    monkeypatch.setattr(topk, "QUERY_BLOCK", 4)
+    rng = np.random.default_rng(5)
+    v = rng.standard_normal((600, 8))
+    rows = [(i, [float(x) for x in r / np.linalg.norm(r)]) for i, r in enumerate(v)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(6)
+    asked = {i for i in range(600) if i % 3 == 0}  # 50 blocks for 16 tasks
+    assert sorted(map(tuple, topk.search(df, df.filter("vec_id % 3 = 0")).collect())) == brute(rows, asked, kind=float)
+
+
+def test_two_query_blocks_of_one_number_are_an_error():
+    ids, cells = np.array([1], "<i8").tobytes(), [np.array([3, 4], "<i4").tobytes()]
+    row = {"q": 0, "lane": 0, "side": 0, "top": 5.0, "ids": ids, "cells": cells, "wide": [False], "least": np.array([-np.inf]).tobytes()}
+    with pytest.raises(RuntimeError, match="one number"):
+        list(topk._unit(2, np.eye(2), 1.0, 5, 2)(iter([pa.RecordBatch.from_pylist([row, row])])))
+
+
 def test_large_components(spark):
     shape = "vec_id long, embedding array<float>"
     three = [(0, [1.0, 0.0]), (1, [2000000.0, 0.0]), (2, [3.0, 0.0])]
