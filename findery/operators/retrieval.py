@@ -28,7 +28,7 @@ from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.window import Window as W
 
 from findery.functions.text import token_codes
-from findery.operators import filters, postings
+from findery.operators import filters, neighbours, postings
 from findery.scratch import materialize, remove_at_end, shared_dir
 
 DENSE_K = SPARSE_K = 50
@@ -261,22 +261,26 @@ def _dense(rows, ids: pa.Array, k: int):
     return run
 
 
-def dense_search(chunks: DataFrame, questions: DataFrame, k: int = DENSE_K) -> DataFrame:
+def dense_search(chunks: DataFrame, questions: DataFrame, k: int = DENSE_K, index: neighbours.Cells | None = None, told: dict | None = None) -> DataFrame:
     """Exact nearest neighbours by inner product with the normalised question vector: ``question_id, ord, chunk_id, similarity, distance, rank, retriever``.
 
     ``chunks`` has an ``embedding``, ``questions`` a ``vector``; rows without one, or with a null or NaN
     in it, take no part, and only vectors of one length meet. Similarities are rounded to ``DIGITS``
-    decimals before they rank.
+    decimals before they rank. With an ``index`` of ``neighbours``, the cells that can matter are read
+    in place of ``chunks``; ``told`` then gets how many ``cells`` there were for the questions, and how
+    many were ``read``.
     """
     kind = questions.schema["question_id"].dataType
     shape = f"question_id {kind.simpleString()}, ord long, similarity double, chunk_id string"
     asked = questions.select("question_id", "vector", filters.aliases(F.col("issuers")).alias("forms"))
 
     def plan(rows):
+        if index is not None:
+            return neighbours.search(index, rows, _ids(rows, kind), k, DIGITS, _hits, told)
         forms = [r["forms"] for r in rows]
         own = chunks if any(not f for f in forms) else chunks.filter(F.col("issuer").isin(*sorted({x for f in forms for x in f})))
         return own.filter("embedding IS NOT NULL").select("ord", "chunk_id", "issuer", "embedding").mapInArrow(_dense(rows, _ids(rows, kind), k), shape)
 
     hits = _by_blocks(asked, "dense", plan)
-    out = _ranked(hits if hits is not None else chunks.sparkSession.createDataFrame([], shape), k, "similarity", "dense")
+    out = _ranked(hits if hits is not None else questions.sparkSession.createDataFrame([], shape), k, "similarity", "dense")
     return out.withColumn("distance", 1 - F.col("similarity"))

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from findery.functions.taxonomy import plainly_safe_budget
 from findery.functions.text import question_type, strip
-from findery.operators import answers, filters, fusion, retrieval
+from findery.operators import answers, filters, fusion, neighbours, postings, retrieval
 from findery.scratch import materialize
 from findery.settings import Settings
 
@@ -59,24 +59,25 @@ def facts_of(chunks: DataFrame) -> DataFrame:
     return chunks.select("ord", "chunk_id", "issuer", doc.alias("doc"), "fact_type", "answer_policy", "budget_answer_enabled")
 
 
-def dense_or_none(chunks: DataFrame, asked: DataFrame, k: int) -> DataFrame:
+def dense_or_none(chunks: DataFrame, asked: DataFrame, k: int, cells: neighbours.Cells | None = None) -> DataFrame:
     """The dense results, written; an empty list where the search fails."""
     try:
-        return materialize(retrieval.dense_search(chunks, asked, k), "dense", exchanged=True)
+        return materialize(retrieval.dense_search(chunks, asked, k, cells), "dense", exchanged=True)
     except (PySparkException, Py4JError) as e:
         warnings.warn(f"the dense search failed and is left out: {str(e)[:500]}", stacklevel=2)
         return materialize(retrieval.dense_search(chunks, asked.limit(0), k), "dense", exchanged=True)
 
 
-def retrieve(chunks: DataFrame, questions: DataFrame, dense_k: int = retrieval.DENSE_K, sparse_k: int = retrieval.SPARSE_K, index: DataFrame | None = None) -> Retrieved:
+def retrieve(chunks: DataFrame, questions: DataFrame, dense_k: int = retrieval.DENSE_K, sparse_k: int = retrieval.SPARSE_K, index: DataFrame | postings.Index | None = None, cells: neighbours.Cells | None = None) -> Retrieved:
     """Both searches, fused; documents of the first results filled in; fused again.
 
     The two result lists, k rows a question, are written once, as both fusions read them. ``index``:
-    a written ``retrieval.sparse_index`` of the chunks, where there is one.
+    a version of ``postings`` or a written ``retrieval.sparse_index`` of the chunks, where there is one;
+    ``cells``: of ``neighbours``.
     """
     asked = prepare(questions)
     facts = facts_of(chunks)
-    dense = dense_or_none(chunks, asked, dense_k)
+    dense = dense_or_none(chunks, asked, dense_k, cells)
     sparse = materialize(retrieval.sparse_search(chunks, asked, sparse_k, index), "sparse", exchanged=True)
     initial = fusion.rrf([dense, sparse])
     fills = fusion.backfill(initial, asked, facts)

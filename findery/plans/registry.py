@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from findery.functions import text as text_functions
 from findery.functions.taxonomy import NEEDED, POINTS, metadata_priority
 from findery.functions.text import norm_text, tokens_python
-from findery.operators import answers, filters, fusion, retrieval
+from findery.operators import answers, filters, fusion, neighbours, postings, retrieval
 from findery.plans import hybrid, standins
 from findery.scratch import spread
 from findery.sources import eav
@@ -83,6 +83,27 @@ def dense_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return retrieval.dense_search(standins.chunks(spark, sf_dir), asked).select("question_id", "chunk_id", "similarity", "rank")
 
 
+def sparse_search_indexed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The sparse search off inverted postings."""
+    chunks, asked = standins.chunks(spark, sf_dir), hybrid.prepare(standins.questions(spark, sf_dir))
+    return retrieval.sparse_search(chunks, asked, index=postings.build(chunks)).drop("ord", "retriever")
+
+
+def dense_search_indexed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The dense search over the cells that can matter."""
+    chunks, asked = standins.chunks(spark, sf_dir), hybrid.prepare(standins.questions(spark, sf_dir))
+    return retrieval.dense_search(chunks, asked, index=neighbours.build(chunks)).select("question_id", "chunk_id", "similarity", "rank")
+
+
+def hybrid_retrieve_indexed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hybrid retrieval off both indexes, half of the postings in a second version."""
+    chunks = standins.chunks(spark, sf_dir)
+    late = F.col("ord") % 2 == 1
+    index = postings.update(postings.build(chunks.filter(~late)), chunks.filter(late).select("ord", "chunk_id", "issuer", "text", F.lit(False).alias("gone")))
+    found = hybrid.retrieve(chunks, standins.questions(spark, sf_dir), index=index, cells=neighbours.build(chunks))
+    return found.merged.select("question_id", "chunk_id", "rrf_score", "retrievers", "rrf_rank")
+
+
 def _found(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, hybrid.Retrieved]:
     chunks = standins.chunks(spark, sf_dir)
     return chunks, hybrid.retrieve(chunks, standins.questions(spark, sf_dir))
@@ -155,6 +176,7 @@ def ask(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     own = (eav_records, issuers, issuer_filter, normalise, tokens, mojibake, question_types, metadata_points, sparse_search, dense_search, rrf_two_lists)
     own += (seed_documents, backfill, hybrid_retrieve, rerank, select_contexts, context_text, fallback_answers, notice_numbers, notice_lookups, ask)
+    own += (sparse_search_indexed, dense_search_indexed, hybrid_retrieve_indexed)
     return {f.__name__: f for f in own}
 
 
@@ -268,7 +290,7 @@ FROM typed t JOIN counts USING (question_id) LEFT JOIN f USING (question_id) LEF
 
 
 def oracle_sql() -> dict[str, str]:
-    return {
+    out = {
         "eav_records": _with()
         + """SELECT ord, chunk_id, md5(text) AS text_md5, issuer, canonical_doc_id, doc_id, fact_type, answer_policy, enabled AS budget_answer_enabled, source_file,
  (1 + (issuer IS NOT NULL)::INT + (canonical_doc_id IS NOT NULL)::INT + 2 + (answer_policy IS NOT NULL)::INT + (enabled IS NOT NULL)::INT + (source_file IS NOT NULL)::INT + 1
@@ -298,3 +320,4 @@ def oracle_sql() -> dict[str, str]:
         "ask": _with(*_PICKED, _SNIPPETS, _CANDIDATES, _LOOKUPS, _ASK),
         "notice_numbers": _with(_CANDIDATES) + "SELECT ord, len(x)::INT AS n, array_to_string(x, ',') AS numbers FROM found",
     }
+    return out | {f"{name}_indexed": out[name] for name in ("sparse_search", "dense_search", "hybrid_retrieve")}

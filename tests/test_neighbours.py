@@ -1,0 +1,79 @@
+"""Pruned nearest neighbours against the scan of all vectors."""
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from findery.operators import neighbours, retrieval
+
+
+def clusters(seed, n, d=8, groups=12):
+    rng = np.random.default_rng(seed)
+    middle = rng.standard_normal((groups, d)) * 3
+    return [[float(x) for x in middle[i % groups] + rng.standard_normal(d) * 0.3] for i in range(n)]
+
+
+def table(spark, vectors, kind="double"):
+    return spark.createDataFrame([(i, f"c{i}", "가나다"[i % 3], v) for i, v in enumerate(vectors)], f"ord long, chunk_id string, issuer string, embedding array<{kind}>")
+
+
+def asked(spark, rows):
+    return spark.createDataFrame(rows, "question_id string, issuers array<string>, vector array<double>")
+
+
+def found(chunks, questions, k=5, **how):
+    return sorted(map(tuple, retrieval.dense_search(chunks, questions, k, **how).collect()), key=repr)
+
+
+def test_equal_to_the_scan_and_few_cells_are_read(spark):
+    vectors = clusters(1, 900)
+    chunks = table(spark, vectors).repartition(4)
+    questions = asked(spark, [(f"q{i}", [[], ["가"], ["나", " 다"], None][i % 4], vectors[i * 7]) for i in range(24)])
+    index, told = neighbours.build(chunks, cells=24), {}
+    assert found(None, questions, index=index, told=told) == found(chunks, questions)
+    assert 0 < told["read"] < told["cells"] // 2
+
+
+def test_blocks_of_questions(spark, monkeypatch):
+    monkeypatch.setattr(retrieval, "BLOCK", 5)
+    vectors = clusters(2, 200)
+    chunks = table(spark, vectors, "float")
+    questions = asked(spark, [(f"q{i}", None, vectors[i]) for i in range(13)])
+    assert found(None, questions, index=neighbours.build(chunks)) == found(chunks, questions)
+
+
+@pytest.mark.parametrize("cells", [1, 7])
+def test_hard_vectors(spark, cells):
+    vectors = [*clusters(3, 60), None, [], [1.0], [2.0, None], [float("nan")] * 8, [float("inf")] + [1.0] * 7, [1e200] * 8, [0.0] * 8, [-1e300] * 8, [1.0, 2.0, 3.0], *([[1.0] * 8] * 20)]
+    chunks = table(spark, vectors)
+    questions = asked(spark, [("a", None, [1.0] * 8), ("b", ["가"], [0.0] * 8), ("c", ["없음"], [1.0] * 8), ("d", None, None), ("e", None, [2.0]), ("f", None, [1.0, None]), ("g", None, [1.0] * 5), ("h", ["나"], vectors[3]), (None, None, vectors[4]), ("i", None, [3.0, 2.0, 1.0])])
+    for k in (2, 30):
+        assert found(None, questions, k, index=neighbours.build(chunks, cells=cells, sample=40)) == found(chunks, questions, k)
+
+
+def test_bounds_hold(spark):
+    vectors = clusters(4, 300)
+    index = neighbours.build(table(spark, vectors), cells=9)
+    where = {r["ord"]: r["cell"] for r in index.rows.collect()}
+    assert len(where) == 300
+    (w,) = neighbours.Wanted.of(index, vectors[:20])
+    for n, q in enumerate(np.array(vectors[:20])):
+        own = np.array(vectors) @ (q / np.linalg.norm(q))
+        for i, s in enumerate(own):
+            assert s <= w.bound[n, w.cells.tolist().index(where[i])]
+
+
+def test_a_cell_is_a_partition_that_is_opened_alone(spark):
+    index = neighbours.build(table(spark, clusters(5, 100)), cells=6)
+    cell = sorted(index.size)[0]
+    plan = index.rows.filter(F.col("cell").isin(cell))
+    (scan,) = [x for x in plan._jdf.queryExecution().executedPlan().toString().split("\n") if "FileScan" in x]
+    assert "cell" in scan.split("PartitionFilters: [")[1].split("]")[0]
+    assert {r[0] for r in plan.select(F.input_file_name()).distinct().collect()} < {r[0] for r in index.rows.select(F.input_file_name()).distinct().collect()}
+
+
+def test_no_rows(spark):
+    chunks = table(spark, clusters(6, 5))
+    questions = asked(spark, [("a", None, [1.0] * 8)])
+    assert found(None, questions, index=neighbours.build(chunks.limit(0))) == []
+    assert found(None, questions.limit(0), index=neighbours.build(chunks)) == []
