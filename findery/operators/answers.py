@@ -9,6 +9,7 @@ a null prompt is passed on as it is; empty tables give no rows (``fallback`` giv
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from concurrent.futures import ThreadPoolExecutor
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -16,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 from findery.functions.text import or_else
+from findery.operators.ledger import Ledger, key_of
 
 # How notice numbers look, where they are looked up, and the texts that answers are made of.
 NOTICE_BARE = r"(?U)\b20\d{8,12}(?:-\d{2})?\b"
@@ -116,24 +118,46 @@ def with_lookup(answer: Column, numbers: Column) -> Column:
     return F.when(F.coalesce(F.size(numbers), F.lit(0)) > 0, more).otherwise(answer)
 
 
-def generate(prompts: DataFrame, client: Callable[[], Callable[[str, str, int], str]], tokens: int = ANSWER_TOKENS) -> DataFrame:
-    """``question_id, prompt`` -> ``question_id, generated, error``. ``client()`` makes, once per task, a function (system, prompt, tokens) -> text; what it raises is told in ``error``."""
+def _speaking(client: Callable, tokens: int, folder: str | None):
+    name, parallel = getattr(client, "name", ""), max(1, getattr(client, "parallel", 1))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        speak = client()
-        for b in batches:
-            texts, errors = [], []
-            for p in b["prompt"]:
-                try:
-                    texts.append(speak(SYSTEM, p, tokens))
-                    errors.append(None)
-                except Exception as e:  # noqa: BLE001
-                    texts.append(None)
-                    errors.append(f"{type(e).__name__}: {e}")
-            yield pd.DataFrame({"question_id": b["question_id"], "generated": texts, "error": errors})
-
+        speak, book = client(), Ledger(folder) if folder else None
+
+        def said(prompt: str | None) -> tuple[str | None, str | None]:
+            try:
+                key = key_of(name, SYSTEM, prompt, tokens)
+                text = book.get(key) if book else None
+                if text is None:
+                    text = speak(SYSTEM, prompt, tokens)
+                    if book and text is not None:
+                        book.put(key, text)
+                return text, None
+            except Exception as e:  # noqa: BLE001
+                return None, f"{type(e).__name__}: {e}"
+
+        with ThreadPoolExecutor(parallel) as pool:
+            for b in batches:
+                # A prompt that a batch has twice is asked once.
+                asked = list(dict.fromkeys(b["prompt"]))
+                told = dict(zip(asked, pool.map(said, asked) if parallel > 1 else map(said, asked), strict=True))
+                texts, errors = zip(*(told[p] for p in b["prompt"]), strict=True) if len(b) else ((), ())
+                yield pd.DataFrame({"question_id": b["question_id"], "generated": list(texts), "error": list(errors)})
+
+    return run
+
+
+def generate(prompts: DataFrame, client: Callable[[], Callable[[str, str, int], str]], tokens: int = ANSWER_TOKENS, ledger: str | None = None) -> DataFrame:
+    """``question_id, prompt`` -> ``question_id, generated, error``.
+
+    ``client()`` makes, once per task, a function (system, prompt, tokens) -> text; what it raises is
+    told in ``error``. Of a ``clients.Generator`` up to ``parallel`` requests of a task are on their way
+    at once. ``ledger``: a folder that keeps what was said; rows of one prompt then meet in one task,
+    and neither they nor a task or batch that is run again ask twice.
+    """
     kind = dict(prompts.dtypes)["question_id"]
-    return prompts.select("question_id", "prompt").mapInPandas(run, f"question_id {kind}, generated string, error string")
+    rows = prompts.select("question_id", "prompt")
+    return (rows.repartition("prompt") if ledger else rows).mapInPandas(_speaking(client, tokens, ledger), f"question_id {kind}, generated string, error string")
 
 
 def embed(questions: DataFrame, model: Callable[[], Callable[[list[str]], list[list[float]]]]) -> DataFrame:
