@@ -15,10 +15,15 @@ from findery.functions.text import mojibake_alias, repair_mojibake, strip
 
 def clean(issuers: Column) -> Column:
     """Stripped, without empty ones and repetitions, in order; an error where none is left."""
-    out = F.array_distinct(F.filter(F.transform(issuers, strip), lambda x: x != ""))
+    out = cleaned(issuers)
     return F.when(F.coalesce(F.size(out), F.lit(0)) > 0, out).otherwise(F.raise_error(F.lit("an issuer is required")).cast("array<string>"))
 
 
+def cleaned(issuers: Column) -> Column:
+    """The same without the error: null or empty where none is left."""
+    return F.array_distinct(F.filter(F.transform(issuers, strip), lambda x: x != ""))
+
+
 def sparse_allowed(issuer: Column, issuers: Column) -> Column:
     """The record's issuer, as it is, is one of the stripped ones asked for; none asked for, none allowed."""
     return F.coalesce(F.array_contains(F.filter(F.transform(issuers, strip), lambda x: x != ""), issuer), F.lit(False))

@@ -3,10 +3,11 @@
 ``chunks``: ``ord, chunk_id, text, metadata`` (map), the hot metadata columns and ``embedding``;
 ``questions``: ``question_id, question, issuers, max_contexts, vector``.
 
-Defined results: a question without a visible character, or without an issuer, is an error, as a form
-would tell before sending it; one that nothing is found for has an answer that says so; a null or 0
+Defined results: a question without a visible character, or without an issuer, is refused, as a form
+would tell before sending it: it is searched for nothing and answered by its refusal, and the
+questions beside it are answered; one that nothing is found for has an answer that says so; a null or 0
 ``max_contexts`` means the default; a null text is empty, null metadata has no facts; a dense search
-that fails finds nothing (a warning tells why), and the sparse one goes on alone; no questions give no rows; other columns are ignored.
+that fails finds nothing (a warning and each answer's ``dense_error`` tell why), and the sparse one goes on alone; no questions give no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -40,17 +41,25 @@ class Retrieved:
     initial: DataFrame
     backfill: DataFrame
     merged: DataFrame
+    dense_error: str | None = None
 
 
 def prepare(questions: DataFrame) -> DataFrame:
-    """Cleans the issuers and adds ``qtype``."""
+    """Cleans the issuers and adds ``qtype``; an error where a question has no issuer."""
     return questions.withColumn("issuers", filters.clean(F.col("issuers"))).withColumn("qtype", question_type(F.col("question")))
 
 
-def checked(questions: DataFrame) -> DataFrame:
-    """Fails on a question without a visible character, as a form would before sending it."""
-    seen = F.length(strip(F.coalesce("question", F.lit("")))) > 0
-    return questions.withColumn("question", F.when(seen, F.col("question")).otherwise(F.raise_error(F.lit("a question is required")).cast("string")))
+def accepted(questions: DataFrame) -> DataFrame:
+    """The questions that can be asked, prepared. (Without ``clean``, whose error a filter that Spark moves could meet first.)"""
+    own = judged(questions).filter("refusal IS NULL").drop("refusal")
+    return own.withColumn("issuers", filters.cleaned(F.col("issuers"))).withColumn("qtype", question_type(F.col("question")))
+
+
+def judged(questions: DataFrame) -> DataFrame:
+    """Adds ``refusal``: why a question can't be asked, null where it can."""
+    blank = F.length(strip(F.coalesce("question", F.lit("")))) == 0
+    nobody = F.coalesce(F.size(filters.cleaned(F.col("issuers"))), F.lit(0)) < 1
+    return questions.withColumn("refusal", F.when(blank, "a question is required").when(nobody, "an issuer is required"))
 
 
 def facts_of(chunks: DataFrame) -> DataFrame:
@@ -59,34 +68,35 @@ def facts_of(chunks: DataFrame) -> DataFrame:
     return chunks.select("ord", "chunk_id", "issuer", doc.alias("doc"), "fact_type", "answer_policy", "budget_answer_enabled")
 
 
-def dense_or_none(chunks: DataFrame, asked: DataFrame, k: int, cells: neighbours.Cells | None = None) -> DataFrame:
-    """The dense results, written; an empty list where the search fails."""
+def dense_or_none(chunks: DataFrame, asked: DataFrame, k: int, cells: neighbours.Cells | None = None) -> tuple[DataFrame, str | None]:
+    """The dense results, written; an empty list, and what went wrong, where the search fails."""
     try:
-        return materialize(retrieval.dense_search(chunks, asked, k, cells), "dense", exchanged=True)
+        return materialize(retrieval.dense_search(chunks, asked, k, cells), "dense", exchanged=True), None
     except (PySparkException, Py4JError) as e:
         warnings.warn(f"the dense search failed and is left out: {str(e)[:500]}", stacklevel=2)
-        return materialize(retrieval.dense_search(chunks, asked.limit(0), k), "dense", exchanged=True)
+        return materialize(retrieval.dense_search(chunks, asked.limit(0), k), "dense", exchanged=True), str(e)[:500]
 
 
 def retrieve(chunks: DataFrame, questions: DataFrame, dense_k: int = retrieval.DENSE_K, sparse_k: int = retrieval.SPARSE_K, index: DataFrame | postings.Index | None = None, cells: neighbours.Cells | None = None) -> Retrieved:
     """Both searches, fused; documents of the first results filled in; fused again.
 
-    The two result lists, k rows a question, are written once, as both fusions read them. ``index``:
+    The two result lists, k rows a question, and what is filled in are written once, as more than one
+    step reads them. Questions that are refused (``judged``) are left out. ``index``:
     a version of ``postings`` or a written ``retrieval.sparse_index`` of the chunks, where there is one;
     ``cells``: of ``neighbours``.
     """
-    asked = prepare(questions)
+    asked = accepted(questions)
     facts = facts_of(chunks)
-    dense = dense_or_none(chunks, asked, dense_k, cells)
+    dense, dense_error = dense_or_none(chunks, asked, dense_k, cells)
     sparse = materialize(retrieval.sparse_search(chunks, asked, sparse_k, index), "sparse", exchanged=True)
     initial = fusion.rrf([dense, sparse])
-    fills = fusion.backfill(initial, asked, facts)
-    return Retrieved(asked, facts, dense, sparse, initial, fills, fusion.rrf([dense, sparse, fills]))
+    fills = materialize(fusion.backfill(initial, asked, facts), "fills", exchanged=True)
+    return Retrieved(asked, facts, dense, sparse, initial, fills, fusion.rrf([dense, sparse, fills]), dense_error)
 
 
 def select(chunks: DataFrame, found: Retrieved) -> tuple[DataFrame, DataFrame]:
     """(reranked rows, selected rows)."""
-    merged = materialize(found.merged, "merged", exchanged=True)
+    merged = found.merged = materialize(found.merged, "merged", exchanged=True)
     ranked = materialize(fusion.rerank(merged, found.questions, only(found.facts, merged)), "ranked", exchanged=True)
     return ranked, fusion.select_contexts(ranked, found.questions)
 
@@ -140,24 +150,47 @@ def lookups(chunks: DataFrame, found: Retrieved, ranked: DataFrame, selected: Da
     return hints.unionByName(answers.lookup_contexts(by_records.drop("first"), flat(heads)))
 
 
-def ask(chunks: DataFrame, questions: DataFrame, client: Callable | None = None, settings: Settings | None = None, index: DataFrame | None = None) -> DataFrame:
-    """``question_id, answer, issuers, question_type, route, contexts, lookups`` and the counts of every step. Without a ``client``, as where it fails, answers are made of the contexts themselves."""
+COUNTED = ("dense", "sparse", "backfill", "merged")
+
+
+def counts(found: Retrieved) -> DataFrame:
+    """``question_id`` and how many rows each list has for it: one grouping of all lists."""
+    each = None
+    for n, name in enumerate(COUNTED):
+        rows = getattr(found, name).select("question_id", F.lit(n).alias("list"))
+        each = rows if each is None else each.unionByName(rows)
+    return each.groupBy("question_id").agg(*(F.count_if(F.col("list") == n).alias(f"{name}_count") for n, name in enumerate(COUNTED)))
+
+
+def ask(chunks: DataFrame, questions: DataFrame, client: Callable | None = None, settings: Settings | None = None, index: DataFrame | postings.Index | None = None, cells: neighbours.Cells | None = None, ledger: str | None = None) -> DataFrame:
+    """``question_id, answer, issuers, question_type, route, contexts, lookups``, the counts of every step, ``generator_error``, ``dense_error``, ``status`` (answered or refused) and ``refusal``.
+
+    Without a ``client``, as where it fails, answers are made of the contexts themselves. ``ledger``:
+    a folder in which what the client says is kept (``answers.generate``).
+    """
     limits = settings or Settings.of(chunks.sparkSession)
-    asked = questions.withColumn("max_contexts", F.coalesce(F.nullif("max_contexts", F.lit(0)), F.lit(limits.max_contexts)))
-    found = retrieve(chunks, checked(asked), limits.dense_k, limits.sparse_k, index)
+    asked = judged(questions).withColumn("max_contexts", F.coalesce(F.nullif("max_contexts", F.lit(0)), F.lit(limits.max_contexts)))
+    told = _answers(chunks, asked.filter("refusal IS NULL").drop("refusal"), client, limits, index, cells, ledger).withColumns({"status": F.lit("answered"), "refusal": F.lit(None).cast("string")})
+    known = {"question_id": F.col("question_id"), "issuers": F.coalesce(filters.cleaned(F.col("issuers")), F.array().cast("array<string>")), "route": F.array(F.lit("refused")), "answer": F.col("refusal"), "status": F.lit("refused"), "refusal": F.col("refusal")}
+    zero = lambda f: F.lit(0 if f.name.endswith("_count") else None)
+    refused = asked.filter("refusal IS NOT NULL").select(*(known.get(f.name, zero(f)).cast(f.dataType).alias(f.name) for f in told.schema))
+    return told.unionByName(refused)
+
+
+def _answers(chunks: DataFrame, asked: DataFrame, client: Callable | None, limits: Settings, index, cells, ledger: str | None) -> DataFrame:
+    found = retrieve(chunks, asked, limits.dense_k, limits.sparse_k, index, cells)
     ranked, picked = select(chunks, found)
     rows = materialize(with_texts(picked, chunks), "selected")
     hints = materialize(lookups(chunks, found, ranked, rows), "lookups", exchanged=True)
     plain = answers.fallback(found.questions, rows).withColumnRenamed("answer", "plain")
     context = answers.contexts(rows)
     prompts = found.questions.join(context, "question_id").select("question_id", F.format_string(answers.PROMPT, "question", "context").alias("prompt"))
-    said = answers.generate(prompts, client, limits.answer_tokens) if client else prompts.select("question_id", F.lit(None).cast("string").alias("generated"), F.lit("RuntimeError: no generator").alias("error"))
+    said = answers.generate(prompts, client, limits.answer_tokens, ledger) if client else prompts.select("question_id", F.lit(None).cast("string").alias("generated"), F.lit("RuntimeError: no generator").alias("error"))
     parts = F.struct("context_rank", "chunk_id", "retrievers", "final_score", F.col("metadata")["source_file"].alias("filename"), "metadata", "text")
     given = rows.groupBy("question_id").agg(F.array_sort(F.collect_list(parts), lambda a, b: a["context_rank"] - b["context_rank"]).alias("contexts"), F.count(F.lit(1)).alias("selected_count"))
     noted = hints.groupBy("question_id").agg(F.sort_array(F.collect_list(F.struct("n", "notice_number", "issuer", "project_name", "source_file", "g2b_url", "text"))).alias("lookups"))
     out = found.questions.join(plain, "question_id").join(said, "question_id", "left").join(given, "question_id", "left").join(noted, "question_id", "left")
-    for name, x in (("dense", found.dense), ("sparse", found.sparse), ("backfill", found.backfill), ("merged", found.merged)):
-        out = out.join(x.groupBy("question_id").agg(F.count(F.lit(1)).alias(f"{name}_count")), "question_id", "left")
+    out = out.join(counts(found), "question_id", "left")
     zero = lambda c: F.coalesce(c, F.lit(0).cast("long")).alias(c)
     numbers = F.transform(F.col("lookups"), lambda x: x["notice_number"])
     steps = F.array(
@@ -169,4 +202,5 @@ def ask(chunks: DataFrame, questions: DataFrame, client: Callable | None = None,
         "question_id", answers.with_lookup(F.coalesce("generated", "plain"), numbers).alias("answer"), "issuers", F.col("qtype").alias("question_type"),
         F.array_compact(steps).alias("route"), "contexts", "lookups", *map(zero, ("dense_count", "sparse_count", "backfill_count", "merged_count", "selected_count")),
         F.coalesce(F.size("lookups"), F.lit(0)).alias("lookup_count"), F.when(F.col("selected_count").isNotNull(), F.col("error")).alias("generator_error"),
+        F.lit(found.dense_error).cast("string").alias("dense_error"),
     )

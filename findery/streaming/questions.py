@@ -7,20 +7,24 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
-from findery.operators import retrieval
+from findery.operators import postings, retrieval
 from findery.plans import hybrid
 from findery.scratch import materialize
 
 
-def answer_stream(questions: DataFrame, chunks: DataFrame, sink: Callable[[DataFrame, int], None], checkpoint: str, client: Callable | None = None, **trigger) -> StreamingQuery:
+def answer_stream(questions: DataFrame, chunks: DataFrame, sink: Callable[[DataFrame, int], None], checkpoint: str, client: Callable | None = None, path: str | None = None, **trigger) -> StreamingQuery:
     """Each micro-batch is one set of questions over the corpus; ``sink(answers, batch_id)`` writes it, and may be called again with the same id after a failure.
 
-    The corpus is tokenised once, when the stream starts; a batch reads the written index.
+    A question that can't be asked is refused in its row, and the stream goes on. ``path``: an index of
+    ``postings``, of which every batch reads the version that is newest as it begins; without one, the
+    corpus is tokenised once, when the stream starts. What a client says is kept beside the
+    checkpoint, so a batch that is replayed asks nothing twice.
     """
-    index = materialize(retrieval.sparse_index(chunks), "postings")
+    index = None if path else materialize(retrieval.sparse_index(chunks), "postings")
 
     def each(batch: DataFrame, batch_id: int) -> None:
         if not batch.isEmpty():
-            sink(hybrid.ask(chunks, batch, client, index=index), batch_id)
+            now = postings.load(batch.sparkSession, path) if path else index
+            sink(hybrid.ask(chunks, batch, client, index=now, ledger=f"{checkpoint.rstrip('/')}/generations" if client else None), batch_id)
 
     return questions.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()

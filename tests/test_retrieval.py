@@ -237,12 +237,44 @@ def test_eav_pivot(spark):
 def test_answer_stream(spark, corpus, tmp_path):
     from findery.streaming.questions import answer_stream
 
-    asked = make_questions(spark, [(1, "서버 예산", ["가"], 3, [1.0, 0.0])])
+    asked = make_questions(spark, [(1, "서버 예산", ["가"], 3, [1.0, 0.0]), (2, " ", ["가"], 3, None), (3, "서버", None, 3, None)])
     asked.write.parquet(str(tmp_path / "in"))
     seen = []
     stream = spark.readStream.schema(asked.schema).parquet(str(tmp_path / "in"))
-    answer_stream(stream, corpus, lambda df, n: seen.extend(r["question_id"] for r in df.collect()), str(tmp_path / "check")).awaitTermination()
-    assert seen == [1]
+    answer_stream(stream, corpus, lambda df, n: seen.extend((r["question_id"], r["status"], r["refusal"]) for r in df.collect()), str(tmp_path / "check")).awaitTermination()
+    assert sorted(seen) == [(1, "answered", None), (2, "refused", "a question is required"), (3, "refused", "an issuer is required")]
+
+
+def test_a_stream_reads_the_newest_index_and_asks_nothing_twice(spark, corpus, tmp_path):
+    from findery.operators import clients, postings
+    from findery.streaming.questions import answer_stream
+
+    path, calls = str(tmp_path / "index"), str(tmp_path / "calls")
+    index = postings.build(corpus.filter("ord < 2"), path)
+    rows = make_questions(spark, [(1, "보안", ["가"], 3, None)])
+
+    def speaks():
+        def speak(system, prompt, tokens):
+            with open(calls, "a") as f:
+                f.write("x")
+            return "말"
+
+        return speak
+
+    counts, client = [], clients.Generator(speaks, "m")
+    for n in range(2):
+        rows.write.mode("append").parquet(str(tmp_path / "in"))
+        stream = spark.readStream.schema(rows.schema).parquet(str(tmp_path / "in"))
+
+        def sink(df, batch):
+            counts.append([(r["sparse_count"], r["answer"]) for r in df.collect()])
+            df.collect()  # as a sink that tries again
+
+        answer_stream(stream, corpus, sink, str(tmp_path / "check"), client, path).awaitTermination()
+        if not n:
+            index = postings.update(index, corpus.filter("ord >= 2").select("ord", "chunk_id", "issuer", "text", F.lit(False).alias("gone")))
+    assert [c[0][0] for c in counts] == [0, 2]
+    assert counts[1][0][1] == "말" and len(open(calls).read()) == 1
 
 
 def test_settings_and_checks(spark, corpus):
@@ -256,19 +288,34 @@ def test_settings_and_checks(spark, corpus):
     finally:
         spark.conf.unset("spark.findery.sparse_k")
     assert (row["sparse_count"], row["dense_count"]) == (1, 0)
-    assert hybrid.checked(asked).count() == 1
-    for bad in (None, "", " \u3000"):
-        with pytest.raises(Exception, match="question"):
-            hybrid.checked(make_questions(spark, [(1, bad, ["가"], 5, None)])).collect()
     assert spark.range(1).select(answers.display(F.lit("x" * 1300))).first()[0] == "x" * 1200
 
 
-def test_ask_refuses_what_a_form_would(spark, corpus):
-    for bad in (None, " \u3000"):
-        with pytest.raises(Exception, match="question is required"):
-            hybrid.ask(corpus, make_questions(spark, [(1, bad, ["가"], 5, None)])).collect()
+def test_ask_refuses_by_row(spark, corpus):
+    """Bad rows among good ones: each is told, and the good ones are answered as they are alone."""
+    good = [(1, "서버 구축", ["가"], 5, [1.0, 0.0]), (4, "보안", [" 나 "], 5, None)]
+    bad = [(2, None, ["가"], 5, None), (3, " \u3000", ["가"], 5, None), (5, "서버", [" "], 5, None), (6, "서버", None, 5, None), (7, "", [], 5, None), (8, "서버", [None, ""], 5, [1.0, 0.0])]
+    alone = {r["question_id"]: r for r in hybrid.ask(corpus, make_questions(spark, good)).collect()}
+    rows = {r["question_id"]: r for r in hybrid.ask(corpus, make_questions(spark, good + bad)).collect()}
+    assert {k: rows[k] for k in alone} == alone and all(r["status"] == "answered" for r in alone.values())
+    told = {2: "a question is required", 3: "a question is required", 5: "an issuer is required", 6: "an issuer is required", 7: "a question is required", 8: "an issuer is required"}
+    assert {k: rows[k]["refusal"] for k in rows if rows[k]["status"] == "refused"} == told
+    assert rows[5]["answer"] == told[5] and rows[5]["route"] == ["refused"] and rows[5]["issuers"] == [] and rows[5]["sparse_count"] == rows[5]["lookup_count"] == 0
+    assert [r["status"] for r in hybrid.ask(corpus, make_questions(spark, bad[:1])).collect()] == ["refused"]
+    found = hybrid.retrieve(corpus, make_questions(spark, good + bad))
+    assert {r[0] for r in found.merged.select("question_id").distinct().collect()} == {1} and found.questions.count() == 2
     with pytest.raises(Exception, match="issuer is required"):
-        hybrid.ask(corpus, make_questions(spark, [(1, "서버", [" "], 5, None)])).collect()
+        hybrid.prepare(make_questions(spark, bad[2:3])).collect()
+
+
+def test_lists_are_counted_in_one_grouping(spark, corpus):
+    found = hybrid.retrieve(corpus, make_questions(spark, [(1, "서버 구축", ["가", "나"], 5, [1.0, 0.0]), (2, "보안", ["나"], 5, None), (3, "없는말", ["가"], 5, None)]))
+    hybrid.select(corpus, found)
+    got = {r["question_id"]: tuple(r)[1:] for r in hybrid.counts(found).collect()}
+    want = {q: tuple(getattr(found, name).filter(f"question_id = {q}").count() for name in hybrid.COUNTED) for q in (1, 2, 3)}
+    assert got == {q: n for q, n in want.items() if any(n)}
+    plan = hybrid.counts(found)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan
 
 
 def test_a_failing_dense_search_finds_nothing(spark, corpus):
@@ -276,7 +323,9 @@ def test_a_failing_dense_search_finds_nothing(spark, corpus):
     asked = make_questions(spark, [(1, "서버 구축", ["가"], 5, [1.0, 0.0])])
     with pytest.warns(UserWarning, match="no vectors"):
         found = hybrid.retrieve(broken, asked)
-    assert found.dense.count() == 0 and found.merged.count() == found.sparse.count() > 0
+    assert found.dense.count() == 0 and found.merged.count() == found.sparse.count() > 0 and "no vectors" in found.dense_error
+    with pytest.warns(UserWarning, match="no vectors"):
+        assert "no vectors" in hybrid.ask(broken, asked).first()["dense_error"]
 
 
 def test_texts_of_other_chunks_do_not_move(spark, corpus, tmp_path, monkeypatch):
