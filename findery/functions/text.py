@@ -34,10 +34,20 @@ def _nfc(values: pd.Series) -> pd.Series:
     return values.map(lambda v: "" if v is None else unicodedata.normalize("NFC", v))
 
 
+#: Ranges of characters that NFC leaves as they are wherever they stand: none is decomposed, none joins
+#: what is before it, none is moved. Hangul syllables are among them, jamo that could form one aren't.
+SETTLED = (
+    (0x0000, 0x02FF), (0x0400, 0x0482), (0x048A, 0x052F), (0x2010, 0x205E), (0x20A0, 0x20C0), (0x2190, 0x2328), (0x232B, 0x2426), (0x2460, 0x2ADB), (0x3000, 0x3029),
+    (0x3041, 0x3096), (0x30A1, 0x30FF), (0x3131, 0x318E), (0x3200, 0x33FF), (0x3400, 0x4DBF), (0x4E00, 0x9FFF), (0xAC00, 0xD7A3), (0xFF01, 0xFFEE), (0x1F300, 0x1FAFF),
+)
+_SETTLED = "^[" + "".join(f"\\x{{{a:X}}}-\\x{{{b:X}}}" for a, b in SETTLED) + "]*$"
+
+
 def nfc(value: Column) -> Column:
-    """Unicode NFC, null as empty. Text of ASCII alone, which NFC leaves as it is, isn't sent to Python."""
+    """Unicode NFC, null as empty. Only text with a character outside of ``SETTLED`` is sent to Python."""
     plain = F.coalesce(value.cast("string"), F.lit(""))
-    return F.when(plain.rlike(r"^\p{ASCII}*$"), plain).otherwise(_nfc(F.when(~plain.rlike(r"^\p{ASCII}*$"), plain)))
+    settled = plain.rlike(_SETTLED)
+    return F.when(settled, plain).otherwise(_nfc(F.when(~settled, plain)))
 
 
 def norm_text(value: Column) -> Column:

@@ -19,6 +19,29 @@ def test_nfc(spark):
     assert column(spark, SAMPLES, T.nfc) == [unicodedata.normalize("NFC", v or "") for v in SAMPLES]
 
 
+def test_settled_characters_are_ones_that_nfc_leaves_alone():
+    """By the rules of normalisation: not decomposed, of class zero, second in no composition."""
+    joins = {chr(c) for c in [*range(0x1161, 0x1176), *range(0x11A8, 0x11C3)]}
+    for c in (chr(n) for n in range(0x110000) if not 0xD800 <= n < 0xE000):
+        parts = unicodedata.decomposition(c).split()
+        if len(parts) == 2 and not parts[0].startswith("<"):
+            a, b = (chr(int(x, 16)) for x in parts)
+            if unicodedata.normalize("NFC", a + b) == c:
+                joins.add(b)
+    for low, high in T.SETTLED:
+        for c in map(chr, range(low, high + 1)):
+            assert unicodedata.is_normalized("NFC", c) and not unicodedata.combining(c) and c not in joins, hex(ord(c))
+
+
+def test_only_doubtful_text_goes_to_python(spark, monkeypatch):
+    marked = F.pandas_udf(lambda v: v.map(lambda x: "" if x is None else unicodedata.normalize("NFC", x) + "!"), "string")
+    monkeypatch.setattr(T, "_nfc", marked)
+    settled = ["서울특별시 정보화 사업 (2024년) ①호", "日本語、カナ・かな", "Ünïcode – “quotes” → 5 ㎡", "", None, "abc\n\t"]
+    doubtful = [unicodedata.normalize("NFD", "서울"), "e\u0301", "\u212b", "か\u3099", "a\u0323\u0307", "ελλάδα", "가\u11a8"]
+    assert column(spark, settled, T.nfc) == [unicodedata.normalize("NFC", v or "") for v in settled]
+    assert column(spark, doubtful, T.nfc) == [unicodedata.normalize("NFC", v) + "!" for v in doubtful]
+
+
 def test_norm_text_on_both_sides(spark):
     got = column(spark, SAMPLES, T.norm_text)
     assert got == [T.norm_python(v) for v in SAMPLES]
