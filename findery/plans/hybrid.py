@@ -126,22 +126,32 @@ def response(selected: DataFrame) -> DataFrame:
     )
 
 
-def lookups(chunks: DataFrame, found: Retrieved, ranked: DataFrame, selected: DataFrame) -> DataFrame:
-    """Notice numbers for budget questions without a safe row: from their results, else from all records of their issuers. With the hints' texts."""
+def notice_rows(chunks: DataFrame) -> DataFrame:
+    """``ord, issuer, project_name, source_file, numbers``: what lookups need of each record, without its text. To be kept (``versions``) where records are asked about more than once."""
+    numbers = answers.notice_numbers(answers.candidate_text(F.col("chunk_id"), F.col("text"), F.col("metadata")))
+    return chunks.select("ord", "issuer", "project_name", "source_file", numbers.alias("numbers"))
+
+
+def lookups(chunks: DataFrame, found: Retrieved, ranked: DataFrame, selected: DataFrame, notices: DataFrame | None = None) -> DataFrame:
+    """Notice numbers for budget questions without a safe row: from their results, else from all records of their issuers. With the hints' texts.
+
+    ``notices``: of ``notice_rows``; without them every text of the issuers asked for is searched.
+    """
     budget = found.questions.filter("qtype = 'budget'").select("question_id", "issuers")
     safe = selected.filter(plainly_safe_budget(F.col("fact_type"), F.col("budget_answer_enabled"))).select("question_id").distinct()
     need = budget.join(safe, "question_id", "left_anti")
-    numbers = answers.notice_numbers(answers.candidate_text(F.col("chunk_id"), F.col("text"), F.col("metadata")))
     fields = ("issuer", "project_name", "source_file")
+    kept = chunks if notices is None else notices
+    told = notice_rows if notices is None else (lambda rows: rows.select("ord", *fields, "numbers"))
     first = selected.select("question_id", "ord", F.col("context_rank").alias("at")).unionByName(ranked.select("question_id", "ord", (F.col("final_rank") + fusion.MOST_CONTEXTS).alias("at")))
     first = materialize(first.join(need.select("question_id"), "question_id"), "looked-up", exchanged=True)
-    own = first.join(only(chunks, first).select("ord", numbers.alias("numbers"), *fields), "ord")
+    own = first.join(told(only(kept, first)), "ord")
     head = F.min_by(F.struct(*(F.coalesce(c, F.lit("")).alias(c) for c in fields)), "at").alias("head")
     flat = lambda rows: rows.select("question_id", "head.*")
     by_results = answers.notices(own, "at")
     # All records of an issuer: what is kept of each issuer is its first record and its first numbers, however many questions ask for it.
     rest = need.join(by_results.select("question_id").distinct(), "question_id", "left_anti").select("question_id", F.explode("issuers").alias("issuer"))
-    records = chunks.join(rest.select("issuer").distinct(), "issuer", "left_semi").select(F.col("ord").alias("at"), numbers.alias("numbers"), *fields)
+    records = told(kept.join(rest.select("issuer").distinct(), "issuer", "left_semi")).withColumnRenamed("ord", "at")
     by_issuer = answers.notices(records, "at", "issuer").drop("n")
     by_records = answers.first_notices(rest.join(by_issuer, "issuer"))
     heads = records.groupBy("issuer").agg(head, F.min("at").alias("at")).withColumnRenamed("issuer", "own_issuer")
@@ -162,26 +172,27 @@ def counts(found: Retrieved) -> DataFrame:
     return each.groupBy("question_id").agg(*(F.count_if(F.col("list") == n).alias(f"{name}_count") for n, name in enumerate(COUNTED)))
 
 
-def ask(chunks: DataFrame, questions: DataFrame, client: Callable | None = None, settings: Settings | None = None, index: DataFrame | postings.Index | None = None, cells: neighbours.Cells | None = None, ledger: str | None = None) -> DataFrame:
+def ask(chunks: DataFrame, questions: DataFrame, client: Callable | None = None, settings: Settings | None = None, index: DataFrame | postings.Index | None = None, cells: neighbours.Cells | None = None, ledger: str | None = None, notices: DataFrame | None = None) -> DataFrame:
     """``question_id, answer, issuers, question_type, route, contexts, lookups``, the counts of every step, ``generator_error``, ``dense_error``, ``status`` (answered or refused) and ``refusal``.
 
     Without a ``client``, as where it fails, answers are made of the contexts themselves. ``ledger``:
-    a folder in which what the client says is kept (``answers.generate``).
+    a folder in which what the client says is kept (``answers.generate``). ``index, cells, notices``: of
+    ``postings``, ``neighbours`` and ``notice_rows``, kept beside the chunks.
     """
     limits = settings or Settings.of(chunks.sparkSession)
     asked = judged(questions).withColumn("max_contexts", F.coalesce(F.nullif("max_contexts", F.lit(0)), F.lit(limits.max_contexts)))
-    told = _answers(chunks, asked.filter("refusal IS NULL").drop("refusal"), client, limits, index, cells, ledger).withColumns({"status": F.lit("answered"), "refusal": F.lit(None).cast("string")})
+    told = _answers(chunks, asked.filter("refusal IS NULL").drop("refusal"), client, limits, index, cells, ledger, notices).withColumns({"status": F.lit("answered"), "refusal": F.lit(None).cast("string")})
     known = {"question_id": F.col("question_id"), "issuers": F.coalesce(filters.cleaned(F.col("issuers")), F.array().cast("array<string>")), "route": F.array(F.lit("refused")), "answer": F.col("refusal"), "status": F.lit("refused"), "refusal": F.col("refusal")}
     zero = lambda f: F.lit(0 if f.name.endswith("_count") else None)
     refused = asked.filter("refusal IS NOT NULL").select(*(known.get(f.name, zero(f)).cast(f.dataType).alias(f.name) for f in told.schema))
     return told.unionByName(refused)
 
 
-def _answers(chunks: DataFrame, asked: DataFrame, client: Callable | None, limits: Settings, index, cells, ledger: str | None) -> DataFrame:
+def _answers(chunks: DataFrame, asked: DataFrame, client: Callable | None, limits: Settings, index, cells, ledger: str | None, notices: DataFrame | None) -> DataFrame:
     found = retrieve(chunks, asked, limits.dense_k, limits.sparse_k, index, cells)
     ranked, picked = select(chunks, found)
     rows = materialize(with_texts(picked, chunks), "selected")
-    hints = materialize(lookups(chunks, found, ranked, rows), "lookups", exchanged=True)
+    hints = materialize(lookups(chunks, found, ranked, rows, notices), "lookups", exchanged=True)
     plain = answers.fallback(found.questions, rows).withColumnRenamed("answer", "plain")
     context = answers.contexts(rows)
     prompts = found.questions.join(context, "question_id").select("question_id", F.format_string(answers.PROMPT, "question", "context").alias("prompt"))

@@ -14,7 +14,7 @@ from findery.functions.text import norm_text, tokens_python
 from findery.operators import answers, filters, fusion, neighbours, postings, retrieval
 from findery.plans import hybrid, standins
 from findery.scratch import spread
-from findery.sources import eav
+from findery.sources import eav, versions
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -150,13 +150,21 @@ def notice_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("ord", F.size(found).alias("n"), F.array_join(found, ",").alias("numbers"))
 
 
-def notice_lookups(spark: SparkSession, sf_dir: str) -> DataFrame:
+def notice_lookups(spark: SparkSession, sf_dir: str, notices: DataFrame | None = None) -> DataFrame:
     """Lookup hints of budget questions to one issuer each, with short result lists."""
     chunks, asked = standins.chunks(spark, sf_dir), standins.questions(spark, sf_dir)
     asked = asked.withColumn("question", F.concat(F.lit("예산 "), "question")).withColumn("issuers", F.slice("issuers", 1, 1))
     found = hybrid.retrieve(chunks, asked, 5, 5)
     ranked, picked = hybrid.select(chunks, found)
-    return hybrid.lookups(chunks, found, ranked, picked).select("question_id", "n", "notice_number", "issuer", "project_name", "source_file")
+    return hybrid.lookups(chunks, found, ranked, picked, notices).select("question_id", "n", "notice_number", "issuer", "project_name", "source_file")
+
+
+def notice_lookups_indexed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same off notice numbers that are kept beside the records: half of them, then the other half as changes."""
+    rows = hybrid.notice_rows(standins.chunks(spark, sf_dir))
+    late = F.col("ord") % 2 == 1
+    kept = versions.apply(versions.create(rows.filter(~late), by="issuer"), rows.filter(late).withColumn("gone", F.lit(False)))
+    return notice_lookups(spark, sf_dir, kept.read())
 
 
 def fallback_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -176,7 +184,7 @@ def ask(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     own = (eav_records, issuers, issuer_filter, normalise, tokens, mojibake, question_types, metadata_points, sparse_search, dense_search, rrf_two_lists)
     own += (seed_documents, backfill, hybrid_retrieve, rerank, select_contexts, context_text, fallback_answers, notice_numbers, notice_lookups, ask)
-    own += (sparse_search_indexed, dense_search_indexed, hybrid_retrieve_indexed)
+    own += (sparse_search_indexed, dense_search_indexed, hybrid_retrieve_indexed, notice_lookups_indexed)
     return {f.__name__: f for f in own}
 
 
@@ -320,4 +328,4 @@ def oracle_sql() -> dict[str, str]:
         "ask": _with(*_PICKED, _SNIPPETS, _CANDIDATES, _LOOKUPS, _ASK),
         "notice_numbers": _with(_CANDIDATES) + "SELECT ord, len(x)::INT AS n, array_to_string(x, ',') AS numbers FROM found",
     }
-    return out | {f"{name}_indexed": out[name] for name in ("sparse_search", "dense_search", "hybrid_retrieve")}
+    return out | {f"{name}_indexed": out[name] for name in ("sparse_search", "dense_search", "hybrid_retrieve", "notice_lookups")}
