@@ -161,13 +161,11 @@ def generate(prompts: DataFrame, client: Callable[[], Callable[[str, str, int],
 
 
 def embed(questions: DataFrame, model: Callable[[], Callable[[list[str]], list[list[float]]]]) -> DataFrame:
-    """Adds ``vector``. ``model()`` is loaded once per task."""
+    """Adds ``vector``, a row for each row. ``model()`` is loaded once per task; null questions are embedded as empty."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         encode = model()
         for b in batches:
-            yield pd.DataFrame({"question_id": b["question_id"], "vector": [list(map(float, v)) for v in encode(b["question"].tolist())]})
+            yield pd.Series([list(map(float, v)) for v in encode(["" if x is None else x for x in b])], dtype=object)
 
-    kind = dict(questions.dtypes)["question_id"]
-    vectors = questions.select("question_id", "question").mapInPandas(run, f"question_id {kind}, vector array<double>")
-    return questions.drop("vector").join(vectors, "question_id")
+    return questions.withColumn("vector", F.pandas_udf(run, "array<double>")("question"))

@@ -68,13 +68,20 @@ def facts_of(chunks: DataFrame) -> DataFrame:
     return chunks.select("ord", "chunk_id", "issuer", doc.alias("doc"), "fact_type", "answer_policy", "budget_answer_enabled")
 
 
+def _reason(e: Exception) -> str:
+    """The beginning and the end of what an error says, without the frames between."""
+    lines = "\n".join(x.strip() for x in str(e).splitlines() if x.strip() and not x.lstrip().startswith(("at ", "File ", "...")))
+    return lines if len(lines) <= 600 else f"{lines[:200]} ... {lines[-400:]}"
+
+
 def dense_or_none(chunks: DataFrame, asked: DataFrame, k: int, cells: neighbours.Cells | None = None) -> tuple[DataFrame, str | None]:
     """The dense results, written; an empty list, and what went wrong, where the search fails."""
     try:
         return materialize(retrieval.dense_search(chunks, asked, k, cells), "dense", exchanged=True), None
     except (PySparkException, Py4JError) as e:
-        warnings.warn(f"the dense search failed and is left out: {str(e)[:500]}", stacklevel=2)
-        return materialize(retrieval.dense_search(chunks, asked.limit(0), k), "dense", exchanged=True), str(e)[:500]
+        reason = _reason(e)
+        warnings.warn(f"the dense search failed and is left out: {reason}", stacklevel=2)
+        return materialize(retrieval.dense_search(chunks, asked.limit(0), k), "dense", exchanged=True), reason
 
 
 def retrieve(chunks: DataFrame, questions: DataFrame, dense_k: int = retrieval.DENSE_K, sparse_k: int = retrieval.SPARSE_K, index: DataFrame | postings.Index | None = None, cells: neighbours.Cells | None = None) -> Retrieved:
@@ -172,16 +179,19 @@ def counts(found: Retrieved) -> DataFrame:
     return each.groupBy("question_id").agg(*(F.count_if(F.col("list") == n).alias(f"{name}_count") for n, name in enumerate(COUNTED)))
 
 
-def ask(chunks: DataFrame, questions: DataFrame, client: Callable | None = None, settings: Settings | None = None, index: DataFrame | postings.Index | None = None, cells: neighbours.Cells | None = None, ledger: str | None = None, notices: DataFrame | None = None) -> DataFrame:
+def ask(chunks: DataFrame, questions: DataFrame, client: Callable | None = None, settings: Settings | None = None, index: DataFrame | postings.Index | None = None, cells: neighbours.Cells | None = None, ledger: str | None = None, notices: DataFrame | None = None, embedder: Callable | None = None) -> DataFrame:
     """``question_id, answer, issuers, question_type, route, contexts, lookups``, the counts of every step, ``generator_error``, ``dense_error``, ``status`` (answered or refused) and ``refusal``.
 
     Without a ``client``, as where it fails, answers are made of the contexts themselves. ``ledger``:
     a folder in which what the client says is kept (``answers.generate``). ``index, cells, notices``: of
-    ``postings``, ``neighbours`` and ``notice_rows``, kept beside the chunks.
+    ``postings``, ``neighbours`` and ``notice_rows``, kept beside the chunks. ``embedder``: makes the
+    questions' vectors (``answers.embed``), in place of those they come with; where it fails, so does
+    the dense search.
     """
     limits = settings or Settings.of(chunks.sparkSession)
     asked = judged(questions).withColumn("max_contexts", F.coalesce(F.nullif("max_contexts", F.lit(0)), F.lit(limits.max_contexts)))
-    told = _answers(chunks, asked.filter("refusal IS NULL").drop("refusal"), client, limits, index, cells, ledger, notices).withColumns({"status": F.lit("answered"), "refusal": F.lit(None).cast("string")})
+    good = asked.filter("refusal IS NULL").drop("refusal")
+    told = _answers(chunks, answers.embed(good, embedder) if embedder else good, client, limits, index, cells, ledger, notices).withColumns({"status": F.lit("answered"), "refusal": F.lit(None).cast("string")})
     known = {"question_id": F.col("question_id"), "issuers": F.coalesce(filters.cleaned(F.col("issuers")), F.array().cast("array<string>")), "route": F.array(F.lit("refused")), "answer": F.col("refusal"), "status": F.lit("refused"), "refusal": F.col("refusal")}
     zero = lambda f: F.lit(0 if f.name.endswith("_count") else None)
     refused = asked.filter("refusal IS NOT NULL").select(*(known.get(f.name, zero(f)).cast(f.dataType).alias(f.name) for f in told.schema))

@@ -219,6 +219,22 @@ def test_ask(spark):
 def test_embed(spark):
     asked = make_questions(spark, [(1, "ab", ["가"], 5, None)])
     assert answers.embed(asked, lambda: lambda texts: [[len(t), 0.5] for t in texts]).first()["vector"] == [2.0, 0.5]
+    twice = asked.unionByName(asked).withColumn("question", F.lit(None).cast("string"))
+    assert [r["vector"] for r in answers.embed(twice, lambda: lambda texts: [[len(t), 0.5] for t in texts]).collect()] == [[0.0, 0.5]] * 2
+
+
+def test_ask_embeds_the_questions(spark, corpus):
+    asked = make_questions(spark, [(1, "서버 구축", ["가"], 5, [9.0, 9.0]), (2, "", ["가"], 5, None)])
+    rows = {r["question_id"]: r for r in hybrid.ask(corpus, asked, embedder=lambda: lambda texts: [[1.0, 0.0] for _ in texts]).collect()}
+    given = hybrid.ask(corpus, make_questions(spark, [(1, "서버 구축", ["가"], 5, [1.0, 0.0])])).first()
+    assert rows[1]["contexts"] == given["contexts"] and rows[1]["dense_count"] == given["dense_count"] > 0 and rows[2]["status"] == "refused"
+
+    def broken():
+        raise OSError("no model")
+
+    with pytest.warns(UserWarning, match="no model"):
+        row = hybrid.ask(corpus, asked, embedder=broken).filter("question_id = 1").first()
+    assert row["dense_count"] == 0 and row["sparse_count"] > 0 and "no model" in row["dense_error"]
 
 
 def test_eav_pivot(spark):
