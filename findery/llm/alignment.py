@@ -17,7 +17,7 @@ the written table, so rows that share an id are told apart.
 
 The tokenizers are read from vocabulary files. Neither joins what is on two sides of a cut (``cuts``;
 A's pattern takes white space with what follows it, and no piece of B has a space behind another
-character), so a slice's distinct pieces are encoded once each; tests compare the ids with those of
+character), so a slice's distinct pieces are encoded once each, and a worker keeps up to ``MOST_SEEN``; tests compare the ids with those of
 whole texts.
 
 Defined results: texts that are null or empty, or that a tokenizer doesn't give back byte for byte
@@ -40,7 +40,7 @@ from findery.llm.words import slices
 from findery.scratch import few, materialize
 
 A, B = "byte_bpe_50k.json", "piece_bpe_32k.model"
-COMMON, SLICE = 1 << 17, 1 << 21
+COMMON, SLICE, MOST_SEEN = 1 << 17, 1 << 21, 1 << 17
 _TOKENS = "doc_id long, a_ids array<int>, a_ends array<int>, b_ids array<int>, b_ends array<int>"
 
 
@@ -100,7 +100,7 @@ def _gather(own: list[list[int]], sizes: np.ndarray, at: np.ndarray, begin: np.n
 
 def _tokenise(a: str, b: str):
     def run(batches):
-        how = _bytewise(a), _piecewise(b)
+        how, seen = (_bytewise(a), _piecewise(b)), _shared().setdefault(("pieces", a, b), {})
         for batch in slices(batches, "text", SLICE):
             texts = [(" " + t).encode("utf-8", "surrogatepass") if t and "▁" not in t else b"" for t in batch["text"].to_pylist()]
             size = np.array(list(map(len, texts)), np.int64)
@@ -112,7 +112,15 @@ def _tokenise(a: str, b: str):
             own = pa.Array.from_buffers(pa.large_binary(), max(0, len(edges) - 1), [None, pa.py_buffer(edges.astype(np.int64)), pa.py_buffer(data)]).dictionary_encode()
             pieces, at = [p.decode("utf-8", "replace") for p in own.dictionary.to_pylist()], np.asarray(own.indices).astype(np.int64)
             begin = np.searchsorted(edges, offsets)
-            made = [_gather(encode(pieces), sizes, at, begin) for encode, sizes in how]
+            known = [seen.get(p) for p in pieces]
+            fresh = [p for p, k in zip(pieces, known, strict=True) if k is None]
+            new = list(zip(*(encode(fresh) for encode, _ in how), strict=True))
+            if len(seen) + len(new) > MOST_SEEN:
+                seen.clear()
+            seen.update(zip(fresh[:MOST_SEEN], new, strict=False))
+            told = iter(new)
+            known = [next(told) if k is None else k for k in known]
+            made = [_gather([k[n] for k in known], sizes, at, begin) for n, (_, sizes) in enumerate(how)]
             good = np.ones(len(texts), bool)
             for _, ends, first in made:
                 good &= np.where(np.diff(first) > 0, np.r_[ends, 0][first[1:] - 1], 0) == size

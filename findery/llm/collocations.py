@@ -104,26 +104,35 @@ def postings(texts: pa.Array, langs: pa.Array, seed: int) -> Postings:
 
 
 def grouped(keys: np.ndarray, at: np.ndarray) -> Lists:
-    """Lists of occurrences given one by one, with a key each."""
-    code = keys[:, 0].astype(np.int64)
+    """Lists of occurrences given one by one in the order of their positions, with a key each."""
+    code, most = keys[:, 0].astype(np.int64), int(keys[:, 0].max(initial=0)) + 1
     for j in range(1, keys.shape[1]):
-        code = np.unique(code, return_inverse=True)[1] * (int(keys[:, j].max(initial=0)) + 1) + keys[:, j]
-    o = np.lexsort((at, code))
+        width = int(keys[:, j].max(initial=0)) + 1
+        if most * width >= 1 << 62:
+            code = np.unique(code, return_inverse=True)[1].astype(np.int64)
+            most = len(code) + 1
+        code, most = code * width + keys[:, j], most * width
+    o = np.argsort(code, kind="stable")
     code = code[o]
     new = np.flatnonzero(np.r_[True, code[1:] != code[:-1]]) if len(code) else np.zeros(0, int)
     return Lists(keys[o[new]], np.r_[new, len(code)], at[o])
 
 
 def extend(lists: Lists, words: Postings, may: np.ndarray) -> Lists:
-    """Lists of the phrases one word longer: each list's positions, moved by its length, meet the postings of the words that ``may`` follow."""
+    """Lists of the phrases one word longer: each list's positions, moved by its length, meet the postings of the words that ``may`` follow.
+
+    All lists are merged in one pass: a position begins one phrase of a length, so a posting finds by
+    its own position, moved back, the list that it extends.
+    """
     follows = may[words.number]
     position, number = words.position[follows], words.number[follows]
-    owner, wanted = np.repeat(np.arange(len(lists.keys)), lists.lengths()), lists.at + lists.keys.shape[1]
-    o = np.argsort(wanted, kind="stable")
-    there = np.searchsorted(position, wanted[o])
-    met = np.flatnonzero(there < len(position))
-    met = met[position[there[met]] == wanted[o[met]]]
-    return grouped(np.column_stack([lists.keys[owner[o[met]]], number[there[met]]]), lists.at[o[met]])
+    owner = np.full((int(words.position[-1]) if len(words.position) else 0) + 1, -1, np.int32)
+    owner[lists.at] = np.repeat(np.arange(len(lists.keys), dtype=np.int32), lists.lengths())
+    start = position - lists.keys.shape[1]
+    met = start >= 0
+    met[met] = owner[start[met]] >= 0
+    start, number = start[met], number[met]
+    return grouped(np.column_stack([lists.keys[owner[start]], number]), start)
 
 
 def _probes(keys: list[np.ndarray]) -> list[np.ndarray]:
