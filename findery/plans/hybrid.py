@@ -112,7 +112,8 @@ def only(chunks: DataFrame, rows: DataFrame, most: int = MOST_SENT) -> DataFrame
     """The chunks whose ``ord`` the written ``rows`` have.
 
     Up to ``most`` different ones (8 bytes each) are sent to every task, so that the corpus is filtered
-    where it is read and nothing of it moves but what is asked for; more of them are joined.
+    where it is read and nothing of it moves but what is asked for; more of them are joined (before which
+    Spark filters the scan of a large corpus by a Bloom filter of its own).
     """
     wanted = rows.select("ord").distinct()
     few = wanted.limit(most + 1).count() <= most
