@@ -38,7 +38,7 @@ from findery.llm.words import mix, slices
 from findery.scratch import few, materialize
 
 LEAST, LONGEST, COVER, TOP = 10, 3, 50, 2000
-BLOCK_BYTES, FILTER_BITS, PROBES, SALTS = 1 << 22, 27, 3, 32
+BLOCK_BYTES, FILTER_BITS, PROBES, SALTS = 1 << 21, 27, 3, 32
 UNKNOWN = "und"
 
 _KIND = np.zeros(256, np.uint8)
