@@ -29,7 +29,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import combinations
+from itertools import combinations, islice
 from math import comb
 
 import numpy as np
@@ -59,11 +59,9 @@ def fingerprint(text: str | None, size: int = SIZE, seed: int = SEED) -> int:
         return 0
     shingles = zip(*(own[k:] for k in range(size)), strict=False) if len(own) >= size else iter([own])
     total, n, digest = np.zeros(BITS, np.int64), 0, xxhash.xxh64_intdigest
-    while part := [digest(b" ".join(s), seed) for s, _ in zip(shingles, range(_RUN), strict=False)]:
+    while part := [digest(b" ".join(s), seed) for s in islice(shingles, _RUN)]:
         total += votes(np.array(part, np.uint64))
         n += len(part)
-        if len(part) < _RUN:
-            break
     return int.from_bytes(np.packbits(total * 2 > n).tobytes(), "big")
 
 

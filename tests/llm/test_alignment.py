@@ -86,7 +86,7 @@ def test_pieces_give_the_ids_of_whole_texts(plain):
 
 def test_pieces_of_real_texts(spark, plain):
     rows = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{SMALL}/documents.parquet").collect()]
-    assert sorted(map(tuple, al.op13_alignment(spark, SMALL).collect())) == expected(rows, plain)
+    assert sorted(map(tuple, al.op13_alignment(spark, SMALL).collect()), key=repr) == expected(rows, plain)
 
 
 def test_groups_and_links(spark):
