@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 
 from findery.llm.tokens import _shared, vocabulary
 from findery.llm.words import slices
-from findery.scratch import few, materialize
+from findery.scratch import few, materialize, spread
 
 A, B = "byte_bpe_50k.json", "piece_bpe_32k.model"
 COMMON, SLICE = 1 << 17, 1 << 21
@@ -210,4 +210,4 @@ def digests(docs: DataFrame, a: str = A, b: str = B, common: int = COMMON) -> Da
 
 
 def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return few(digests(spark.read.parquet(f"{sf_dir}/documents.parquet")))
+    return few(digests(spread(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"))))
