@@ -70,6 +70,21 @@ def tokens_python(value: str | None) -> list[str]:
     return out
 
 
+def _grams(joined: str) -> tuple[np.ndarray, np.ndarray]:
+    """All pairs and triples of neighbours, letters side by side in 64-bit numbers."""
+    c = np.frombuffer(joined.encode("utf-32-le"), "<u4").astype(np.uint64)
+    two = c[:-1] << np.uint64(21) | c[1:]
+    return two, two[:-1] << np.uint64(21) | c[2:] if len(c) > 2 else two[:0]
+
+
+def token_numbers(value: str | None) -> tuple[int, int]:
+    """How many ``tokens_python`` there are, and how many different ones, without making them: a word of two or three letters is a pair or triple as well."""
+    base = norm_python(value)
+    two, three = _grams(base.replace(" ", ""))
+    words = [w for w in base.split(" ") if len(w) > 1]
+    return len(words) + len(two) + len(three), len(np.unique(two)) + len(np.unique(three)) + len({w for w in words if len(w) > 3})
+
+
 _WORDS: dict[str, int] = {}
 
 
@@ -80,9 +95,7 @@ def token_codes(value: str | None) -> np.ndarray:
     bit set, so that only two long words could ever be taken for each other (one in 2**63 a pair).
     """
     base = norm_python(value)
-    c = np.frombuffer(base.replace(" ", "").encode("utf-32-le"), "<u4").astype(np.uint64)
-    two = c[:-1] << np.uint64(21) | c[1:]
-    three = two[:-1] << np.uint64(21) | c[2:] if len(c) > 2 else two[:0]
+    two, three = _grams(base.replace(" ", ""))
     words = []
     for w in base.split(" "):
         if len(w) > 1:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from findery.functions import text as text_functions
 from findery.functions.taxonomy import NEEDED, POINTS, metadata_priority
-from findery.functions.text import norm_text, tokens_python
+from findery.functions.text import norm_text, token_numbers
 from findery.operators import answers, filters, fusion, neighbours, postings, retrieval
 from findery.plans import hybrid, standins
 from findery.scratch import spread
@@ -44,13 +44,15 @@ def normalise(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _documents(spark, sf_dir).select("doc_id", F.md5(norm_text(F.col("text"))).alias("norm_md5"))
 
 
-def tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
-    def run(batches):
-        for b in batches:
-            own = [tokens_python(t) for t in b["text"].to_pylist()]
-            yield pa.RecordBatch.from_arrays([b["doc_id"], pa.array(map(len, own), pa.int64()), pa.array((len(set(t)) for t in own), pa.int64())], names=["doc_id", "n_tokens", "n_distinct"])
+def _numbers(batches):
+    """One text after another: a batch's tokens are some hundred times its text."""
+    for b in batches:
+        n, distinct = zip(*(token_numbers(t.as_py()) for t in b["text"]), strict=True) if len(b) else ((), ())
+        yield pa.RecordBatch.from_arrays([b["doc_id"], pa.array(n, pa.int64()), pa.array(distinct, pa.int64())], names=["doc_id", "n_tokens", "n_distinct"])
+
 
-    return spread(_documents(spark, sf_dir).select("doc_id", "text")).mapInArrow(run, "doc_id long, n_tokens long, n_distinct long")
+def tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spread(_documents(spark, sf_dir).select("doc_id", "text")).mapInArrow(_numbers, "doc_id long, n_tokens long, n_distinct long")
 
 
 def mojibake(spark: SparkSession, sf_dir: str) -> DataFrame:

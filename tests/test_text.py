@@ -1,11 +1,15 @@
+import random
+import tracemalloc
 import unicodedata
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from findery.functions import text as T
 from findery.operators import filters
 from findery.operators.fusion import context_limit
+from findery.plans import registry
 
 SAMPLES = [None, "", "  ", "한국 Data-센터 2024!", unicodedata.normalize("NFD", "한국어 텍스트"), "漢字 한글", "ＡＢＣ 전각", "a b", "É è ß", "a\nb\tc"]
 
@@ -61,6 +65,26 @@ def test_number_of_grams():
         assert len(T.tokens_python(" ".join("x" * n))) == max(0, n - 1) + max(0, n - 2)
 
 
+def test_token_numbers_are_those_of_the_tokens():
+    rng = random.Random(4)
+    texts = [*SAMPLES, "a", "ab", "abc abc", "abc abcd ab abcd", *(" ".join("".join(rng.choice("ab가나1") for _ in range(rng.randrange(6))) for _ in range(rng.randrange(40))) for _ in range(300))]
+    for text in texts:
+        own = T.tokens_python(text)
+        assert T.token_numbers(text) == (len(own), len(set(own))), repr(text)
+
+
+def test_a_batch_of_texts_is_counted_in_little_memory():
+    """Beside its own texts, those of one text at a time."""
+    rng = random.Random(5)
+    text = ["".join(rng.choice("abcdefgh 가나다라") for _ in range(2000)) for _ in range(500)]
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(500)), "text": text})
+    tracemalloc.start()
+    (out,) = registry._numbers([batch])
+    assert tracemalloc.get_traced_memory()[1] < 10 << 20 and out["n_tokens"].to_pylist() == [len(T.tokens_python(t)) for t in text]
+    tracemalloc.stop()
+    assert [b.num_rows for b in registry._numbers([batch.slice(0, 0)])] == [0]
+
+
 def test_mojibake(spark):
     broken = "한국전력".encode().decode("latin1")
     values = [broken, "한국전력", "café Ã", "plain", "", None, "é"]
