@@ -34,6 +34,7 @@ from findery.scratch import materialize, remove_at_end, shared_dir
 DENSE_K = SPARSE_K = 50
 BLOCK = 4096
 STEP, PENDING = 256, 1 << 19
+RUN, PAIRS = 1 << 18, 1 << 18
 DIGITS = 9
 
 
@@ -100,6 +101,24 @@ def _ranked(hits: DataFrame, k: int, score: str, name: str) -> DataFrame:
     return ranked.select("question_id", "ord", "chunk_id", score, "rank", F.lit(name).alias("retriever"))
 
 
+def _runs(b: pa.RecordBatch):
+    """(where it begins, part) of a batch, parts of about ``RUN`` bytes of text at most: what a text's tokens take is some twenty times the text."""
+    size = np.asarray(pc.fill_null(pc.binary_length(b["text"]), 0)).astype(np.int64)
+    number = (np.cumsum(size) - size) // RUN
+    at = np.flatnonzero(np.r_[True, number[1:] != number[:-1]]) if len(b) else np.zeros(1, int)
+    for begin, end in zip(at, np.r_[at[1:], len(b)], strict=True):
+        yield int(begin), b.slice(begin, end - begin)
+
+
+def _indexed(b: pa.RecordBatch) -> pa.RecordBatch:
+    """Texts -> rows of ``sparse_index``."""
+    made = [np.unique(token_codes(t), return_counts=True) for t in b["text"].to_pylist()]
+    ends = np.r_[0, np.cumsum([len(t) for t, _ in made])].astype(np.int32)
+    flat = lambda i, t, k: pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.zeros(0, t), *(m[i] for m in made)]).view(k)))
+    tokens, counts = flat(0, np.uint64, np.int64), flat(1, np.int64, np.int64)
+    return pa.RecordBatch.from_arrays([b["ord"], b["chunk_id"], b["issuer"], tokens, counts], names=["ord", "chunk_id", "issuer", "tokens", "counts"])
+
+
 def sparse_index(chunks: DataFrame) -> DataFrame:
     """``ord, chunk_id, issuer, tokens, counts``: a chunk's distinct tokens (``token_codes``, ascending) and how often each comes.
 
@@ -109,11 +128,8 @@ def sparse_index(chunks: DataFrame) -> DataFrame:
 
     def run(batches):
         for b in batches:
-            made = [np.unique(token_codes(t), return_counts=True) for t in b["text"].to_pylist()]
-            ends = np.r_[0, np.cumsum([len(t) for t, _ in made])].astype(np.int32)
-            flat = lambda i, t, k: pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.zeros(0, t), *(m[i] for m in made)]).view(k)))
-            tokens, counts = flat(0, np.uint64, np.int64), flat(1, np.int64, np.int64)
-            yield pa.RecordBatch.from_arrays([b["ord"], b["chunk_id"], b["issuer"], tokens, counts], names=["ord", "chunk_id", "issuer", "tokens", "counts"])
+            for _, part in _runs(b):
+                yield _indexed(part)
 
     return chunks.select("ord", "chunk_id", "issuer", "text").mapInArrow(run, "ord long, chunk_id string, issuer string, tokens array<long>, counts array<long>")
 
@@ -137,31 +153,43 @@ def _asked(rows) -> dict[str, tuple]:
 
 
 def _sparse(rows, ids: pa.Array, k: int):
+    """Batches of ``sparse_index``, or of texts, which are tokenised here a run at a time -> hits."""
     asked = _asked(rows)
 
+    def score(found: Best, b: pa.RecordBatch, first: int) -> None:
+        order, issuers = np.asarray(b["ord"]), b["issuer"].to_pylist()
+        ends = np.asarray(b["tokens"].offsets)
+        tokens, counts = np.asarray(b["tokens"].values).view(np.uint64), np.asarray(b["counts"].values)
+        for j, issuer in enumerate(issuers):
+            if issuer not in asked:
+                continue
+            who, known, begin, number, times = asked[issuer]
+            own, n = tokens[ends[j] : ends[j + 1]], counts[ends[j] : ends[j + 1]]
+            at = np.minimum(np.searchsorted(known, own), max(0, len(known) - 1))
+            both = np.flatnonzero(known[at] == own) if len(known) else at[:0]
+            if not len(both):
+                continue
+            at, n = at[both], n[both]
+            size = begin[at + 1] - begin[at]
+            # A long text's tokens are met by the questions in runs of about PAIRS.
+            number_of = (np.cumsum(size) - size) // PAIRS
+            cut = np.r_[np.flatnonzero(np.r_[True, number_of[1:] != number_of[:-1]]), len(at)]
+            overlap = np.zeros(len(who))
+            for x, y in zip(cut[:-1], cut[1:], strict=True):
+                m = size[x:y]
+                flat = np.repeat(begin[at[x:y]] - np.r_[0, np.cumsum(m)[:-1]], m) + np.arange(m.sum())
+                overlap += np.bincount(number[flat], np.minimum(times[flat], np.repeat(n[x:y], m)), len(who))
+            q = np.flatnonzero(overlap)
+            score = overlap[q] / np.sqrt(len(own))
+            q = who[q]
+            good = score >= found.least[q]
+            found.add(q[good], score[good], np.full(good.sum(), order[j]), np.full(good.sum(), first + j))
+
     def run(batches):
         for b in batches:
-            found, order, issuers = Best(len(rows), k), np.asarray(b["ord"]), b["issuer"].to_pylist()
-            ends = np.asarray(b["tokens"].offsets)
-            tokens, counts = np.asarray(b["tokens"].values).view(np.uint64), np.asarray(b["counts"].values)
-            for j, issuer in enumerate(issuers):
-                if issuer not in asked:
-                    continue
-                who, known, begin, number, times = asked[issuer]
-                own, n = tokens[ends[j] : ends[j + 1]], counts[ends[j] : ends[j + 1]]
-                at = np.minimum(np.searchsorted(known, own), max(0, len(known) - 1))
-                both = np.flatnonzero(known[at] == own) if len(known) else at[:0]
-                if not len(both):
-                    continue
-                at, n = at[both], n[both]
-                size = begin[at + 1] - begin[at]
-                flat = np.repeat(begin[at] - np.r_[0, np.cumsum(size)[:-1]], size) + np.arange(size.sum())
-                overlap = np.bincount(number[flat], np.minimum(times[flat], np.repeat(n, size)), len(who))
-                q = np.flatnonzero(overlap)
-                score = overlap[q] / np.sqrt(len(own))
-                q = who[q]
-                good = score >= found.least[q]
-                found.add(q[good], score[good], np.full(good.sum(), order[j]), np.full(good.sum(), j))
+            found = Best(len(rows), k)
+            for first, part in [(0, b)] if "tokens" in b.schema.names else _runs(b):
+                score(found, part if "tokens" in b.schema.names else _indexed(part), first)
             yield _hits(b, ids, found, "sparse_score")
 
     return run
@@ -218,8 +246,8 @@ def sparse_search(chunks: DataFrame, questions: DataFrame, k: int = SPARSE_K, in
             return postings.dealt(lists).mapInArrow(_inverted(rows, _ids(rows, kind), k, index.block, told or {}), shape)
         if len(rows) == BLOCK and written is None:
             written = materialize(sparse_index(chunks), "postings")
-        own = filters.records_for_issuers(written, wanted) if written is not None else sparse_index(filters.records_for_issuers(chunks, wanted))
-        return own.select("ord", "chunk_id", "issuer", "tokens", "counts").mapInArrow(_sparse(rows, _ids(rows, kind), k), shape)
+        own = filters.records_for_issuers(chunks if written is None else written, wanted)
+        return own.select("ord", "chunk_id", "issuer", *(("text",) if written is None else ("tokens", "counts"))).mapInArrow(_sparse(rows, _ids(rows, kind), k), shape)
 
     hits = _by_blocks(questions.select("question_id", "question", "issuers"), "sparse", plan)
     return _ranked(hits if hits is not None else questions.sparkSession.createDataFrame([], shape), k, "sparse_score", "sparse")

@@ -131,6 +131,30 @@ def test_a_full_block_takes_little_memory():
         tracemalloc.stop()
 
 
+def test_texts_are_scored_in_little_memory():
+    """As an index of them is, whatever a batch holds: tokens of a run of texts at a time, and of a long text in runs of pairs."""
+    import tracemalloc
+
+    rng, letters = np.random.default_rng(1), list("abcdefghijklmnopqrstuvwxyz ")
+    texts = ["".join(rng.choice(letters, 2000)) for _ in range(1000)] + ["".join(rng.choice(letters, 60_000))]
+    rows = [{"question_id": i, "question": texts[i][:500] if i % 2 else texts[-1][:5000], "issuers": ["가"]} for i in range(200)]
+    ids, n = pa.array(range(200)), len(texts)
+    batch = pa.RecordBatch.from_arrays([pa.array(range(n)), pa.array([f"c{i}" for i in range(n)]), pa.array(["가"] * n), pa.array(texts)], names=["ord", "chunk_id", "issuer", "text"])
+    run = retrieval._sparse(rows, ids, 5)
+    tracemalloc.start()
+    (out,) = run([batch])
+    assert tracemalloc.get_traced_memory()[1] < 48 << 20
+    tracemalloc.stop()
+    (want,) = run([retrieval._indexed(batch)])
+    assert out.equals(want) and len(out) == 200 * 5
+    assert [len(x) for x in run([batch.slice(0, 0)])] == [0]
+
+
+def test_texts_reach_one_worker_a_task(spark, corpus):
+    plan = retrieval.sparse_search(corpus, make_questions(spark, [(1, "서버", ["가"], 5, None)]))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1
+
+
 def test_dense_search(spark, corpus):
     got = retrieval.dense_search(corpus, make_questions(spark, [(1, "q", ["가"], 5, [3.0, 4.0]), (2, "q", [], 5, [0.0, 2.0]), (3, "q", ["가"], 5, None)]), k=3).orderBy("question_id", "rank")
     assert [(r["question_id"], r["ord"], r["similarity"]) for r in got.collect()] == [(1, 6, 4.4), (1, 4, 3.2), (1, 2, 2.0), (2, 0, 1.0), (2, 1, 1.0), (2, 2, 1.0)]
