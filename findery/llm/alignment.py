@@ -1,13 +1,11 @@
 """Tokens of one tokenizer against those of another, by where they end in the text.
 
-Python does the tokenising and no more: a document becomes the ids of its A and B tokens and the byte
-offsets where they end. Everything else is Spark's array functions. ``array_intersect`` of the two
-arrays of ends gives where A and B tokens both end; between two such places lies a group, and the
-tokens that end at one are linked. An array and the ends that it has alone, sorted together, hold each
-of these twice in a row; the places of those pairs, less one for each pair before them, are the
-tokens' places (``sequence``, ``filter``, ``transform``). So no element is looked for along an array,
-and the work is linear in a document's tokens. Runs of such tokens are joined to the token behind
-them; all other groups are one token to one, taken over by slices.
+A slice of documents becomes the ids of its A and B tokens and the byte offsets where they end, going on
+from one document to the next. Where both have an end, marked by byte, a group ends, and the tokens that
+end there are linked. A token's place among all of both sides, group by group, is its number and that
+of the other side's tokens in groups before it (in its own as well, for B), so no element is looked
+for and nothing is sorted: some operations on whole arrays, linear in the tokens. The groups' text is
+their ids' decimals, each with the sign behind it, taken from a table in that order.
 
 Pairs of ids are counted over all links, added up within a task before they are shuffled. Counts come
 back to the links in two ways that together are all of them: the ``COMMON`` most frequent pairs, a
@@ -32,15 +30,19 @@ from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructField, StructType
 
 from findery.llm.tokens import _shared, vocabulary
 from findery.llm.words import slices
 from findery.scratch import few, materialize, spread
 
 A, B = "byte_bpe_50k.json", "piece_bpe_32k.model"
-COMMON, SLICE = 1 << 17, 1 << 21
+COMMON, SLICE = 1 << 17, 1 << 20
+#: A tokens that are aligned at once; ids below which their decimals are kept.
+RUN, LARGEST = 1 << 17, 1 << 17
 _TOKENS = "doc_id long, a_ids array<int>, a_ends array<int>, b_ids array<int>, b_ends array<int>"
 
 
@@ -131,52 +133,107 @@ def tokens(docs: DataFrame, a: str = A, b: str = B) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_tokenise(a, b), _TOKENS)
 
 
-def let(value: Column, use: Callable[[Column], Column]) -> Column:
-    """``use`` of a value that is worked out once, however often ``use`` names it for each element of an array."""
-    return F.get(F.transform(F.array(value), use), F.lit(0))
+def _named(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(numbers, where among them each id is): all numbers up to the greatest id; of ids from no vocabulary, those there are."""
+    if len(ids) and (ids.min() < 0 or ids.max() >= LARGEST):
+        return np.unique(ids, return_inverse=True)
+    return np.arange(LARGEST), ids
 
 
-def upto(n: Column) -> Column:
-    """0 to n - 1."""
-    return F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>"))
+def _names(numbers: np.ndarray) -> pa.Array:
+    """Each number in decimal, followed by a comma, then by ``|``, then by ``;``."""
+    known = len(numbers) == LARGEST
+    cache = _shared() if known else {}
+    if "alignment-names" not in cache:
+        cache["alignment-names"] = pa.array([f"{i}{sign}" for i in numbers.tolist() for sign in ",|;"], pa.large_string())
+    return cache["alignment-names"]
 
 
-def stretches(merged: Column) -> Column:
-    """Of an array of ends sorted together with those that it has alone: ``begin`` and ``end`` of the runs of these tokens, up to the token behind each run, which ends with another."""
-    found = F.filter(upto(F.size(merged) - 1), lambda p: F.get(merged, p) == F.get(merged, p + 1))
-    other = lambda at, i, x: F.coalesce(F.get(at, i) != x, F.lit(True))
-    runs = lambda at: F.struct(
-        F.filter(at, lambda x, i: other(at, i - 1, x - 1)).alias("begin"), F.transform(F.filter(at, lambda x, i: other(at, i + 1, x + 1)), lambda x: x + 1).alias("end")
-    )
-    return let(F.transform(found, lambda p, k: p - k), runs)
+def _aligned(a: tuple, b: tuple) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+    """(which A tokens end where a B token ends, links, the groups' text by token).
 
+    ``a``, ``b``: ids, and ends that go on from text to text; both end together where a text ends.
+    """
+    (x, at), (y, bt) = a, b
+    last = np.zeros((max(at[-1:].max(initial=0), bt[-1:].max(initial=0)) + 1, 2), bool)
+    last[at, 0] = last[bt, 1] = True
+    mine, theirs = last[at, 1], last[bt, 0]
+    links = x[mine].astype(np.int64) << 32 | y[theirs]
+    # A group's A tokens, then its B tokens: each stands behind all of the other side's groups before.
+    first = [np.r_[0, np.flatnonzero(s) + 1] for s in (mine, theirs)]
+    group = [np.cumsum(s) - s for s in (mine, theirs)]
+    numbers, where = _named(np.concatenate([x, y]))
+    order = np.empty(len(x) + len(y), np.int64)
+    order[np.arange(len(x)) + first[1][group[0]]] = where[: len(x)] * 3 + mine
+    order[np.arange(len(y)) + first[0][group[1] + 1]] = where[len(x) :] * 3 + 2 * theirs
+    return mine, links, _names(numbers).take(pa.array(order))
 
-def between(of: Column, runs: Column, joined: bool) -> Column:
-    """An array's elements outside of the runs; ``joined``: each run, with the element behind it, as one string."""
 
-    def part(x, begin, end, m):
-        low = F.coalesce(F.get(end, m - 1) + (1 if joined else 0), F.lit(0))
-        plain = F.slice(x, low + 1, F.coalesce(F.get(begin, m), F.size(x)) - low)
-        if not joined:
-            return plain
-        one = F.array(F.array_join(F.slice(x, F.get(begin, m) + 1, F.get(end, m) - F.get(begin, m) + 1), ","))
-        return F.when(m < F.size(begin), F.concat(plain, one)).otherwise(plain)
+def _starts(n: np.ndarray) -> np.ndarray:
+    return np.r_[0, np.cumsum(n)].astype(np.int64)
 
-    cut = lambda x: let(runs, lambda r: let(r["begin"], lambda b: let(r["end"], lambda e: F.flatten(F.transform(upto(F.size(b) + 1), lambda m: part(x, b, e, m))))))
-    return let(of, cut)
+
+def _texts(words: pa.Array, at: np.ndarray) -> list[bytes]:
+    """What stands between the places, without the sign at its end."""
+    ends, data = np.frombuffer(words.buffers()[1], np.int64)[at], words.buffers()[2]
+    return [data[i : max(i, j - 1)].to_pybytes() if data is not None else b"" for i, j in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)]
+
+
+def _sides(b: pa.RecordBatch) -> tuple[list[tuple[np.ndarray, np.ndarray]], list[np.ndarray]]:
+    """(ids and ends, going on from row to row, of each side; where each row's tokens begin) of a batch of ``tokens``."""
+    n = [np.asarray(pc.fill_null(pc.list_value_length(b[f"{s}_ids"]), 0)).astype(np.int64) for s in "ab"]
+    begin = [_starts(x) for x in n]
+    flat = lambda c: np.asarray(b[c].flatten())
+    ends = [flat(f"{s}_ends").astype(np.int64) for s in "ab"]
+    size = np.where(n[0] > 0, np.r_[ends[0], 0][begin[0][1:] - 1], 0)
+    shift = np.r_[0, np.cumsum(size)[:-1]] if len(size) else size
+    return [(flat(f"{s}_ids"), e + np.repeat(shift, m)) for s, e, m in zip("ab", ends, n, strict=True)], begin
+
+
+def _runs(b: pa.RecordBatch):
+    """Parts of a batch of ``tokens``, of about ``RUN`` A tokens each."""
+    n = np.asarray(pc.fill_null(pc.list_value_length(b["a_ids"]), 0)).astype(np.int64)
+    number = (np.cumsum(n) - n) // RUN
+    at = np.r_[np.flatnonzero(np.r_[True, number[1:] != number[:-1]]), len(b)] if len(b) else np.zeros(1, int)
+    return (b.slice(i, j - i) for i, j in zip(at[:-1].tolist(), at[1:].tolist(), strict=True))
+
+
+def _lists(values: np.ndarray | pa.Array, at: np.ndarray) -> pa.ListArray:
+    return pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), values if isinstance(values, pa.Array) else pa.array(values))
+
+
+def _aligning(batches):
+    for whole in batches:
+        for b in _runs(whole):
+            sides, (begin, other) = _sides(b)
+            mine, links, words = _aligned(*sides)
+            at = _starts(mine)[begin]
+            groups = [g for t in _texts(words, begin + other) for g in (t.decode().split(";") if t else ())]
+            shared = np.asarray(b["a_ends"].flatten())[mine]
+            added = [_lists(shared, at), _lists(pa.array(groups, pa.string()), at), _lists(links, at)]
+            yield pa.RecordBatch.from_arrays([*b.columns, *added], names=[*b.schema.names, "shared", "groups", "links"])
 
 
 def align(tokenised: DataFrame) -> DataFrame:
     """Adds ``shared`` (where A and B tokens end together), ``groups`` (``a1,a2|b1`` each) and ``links`` (A id * 2**32 + B id each)."""
-    rows = tokenised.withColumn("shared", F.array_intersect("a_ends", "b_ends"))
-    # Columns of their own, which the optimizer leaves so as they are named twice: sorted in compiled code, and once.
-    for side in ("a", "b"):
-        rows = rows.withColumn(f"{side}_merged", F.sort_array(F.concat(f"{side}_ends", F.array_except(f"{side}_ends", "shared"))))
-    rows = rows.withColumn("a_runs", stretches(F.col("a_merged"))).withColumn("b_runs", stretches(F.col("b_merged"))).drop("a_merged", "b_merged")
-    part = lambda side, joined: between(F.col(f"{side}_ids").cast("array<string>") if joined else F.col(f"{side}_ids"), F.col(f"{side}_runs"), joined)
-    groups = F.zip_with(part("a", True), part("b", True), lambda x, y: F.concat(x, F.lit("|"), y))
-    links = F.zip_with(part("a", False), part("b", False), lambda x, y: F.shiftleft(x.cast("long"), 32).bitwiseOR(y))
-    return rows.withColumn("groups", groups).withColumn("links", links).drop("a_runs", "b_runs")
+    shape = StructType([*tokenised.schema, *(StructField(n, ArrayType(t)) for n, t in (("shared", IntegerType()), ("groups", StringType()), ("links", LongType())))])
+    return tokenised.mapInArrow(_aligning, shape)
+
+
+def _text_aligned(a: str, b: str):
+    def run(batches):
+        for x in (r for t in _tokenise(a, b)(batches) for r in _runs(t)):
+            sides, (begin, other) = _sides(x)
+            mine, links, words = _aligned(*sides)
+            columns = [x["doc_id"], pa.array(np.diff(begin)), pa.array(np.diff(other)), pa.array(_texts(words, begin + other), pa.binary()).cast(pa.string()), _lists(links, _starts(mine)[begin])]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_a", "n_b", "groups", "links"])
+
+    return run
+
+
+def aligned(docs: DataFrame, a: str = A, b: str = B) -> DataFrame:
+    """``doc_id, text`` -> ``doc_id, n_a, n_b, groups, links``: ``tokens`` and ``align`` in one worker, the groups as one text (``a1,a2|b1;a3|b2``)."""
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_text_aligned(a, b), "doc_id long, n_a long, n_b long, groups string, links array<long>")
 
 
 def counts(links: DataFrame) -> DataFrame:
@@ -198,10 +255,10 @@ def summed(rows: DataFrame, pairs: DataFrame, common: int = COMMON) -> DataFrame
 
 def digests(docs: DataFrame, a: str = A, b: str = B, common: int = COMMON) -> DataFrame:
     """``doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256``, a row for each row."""
-    rows = align(tokens(docs, a, b))
-    size = lambda c: F.size(c).cast("long")
-    sha = F.when(F.size("a_ids") > 0, F.sha2(F.array_join("groups", ";"), 256)).otherwise("")
-    told = rows.select("doc_id", size("a_ids").alias("n_a"), size("b_ids").alias("n_b"), size("shared").alias("n_groups"), size("links").alias("n_links"), sha.alias("groups_sha256"), "links")
+    rows = aligned(docs, a, b)
+    size = F.size("links").cast("long")
+    sha = F.when(F.col("n_a") > 0, F.sha2("groups", 256)).otherwise("")
+    told = rows.select("doc_id", "n_a", "n_b", size.alias("n_groups"), size.alias("n_links"), sha.alias("groups_sha256"), "links")
     told = materialize(told.withColumn("row", F.monotonically_increasing_id()), "alignment-rows")
     sums = summed(told, counts(told), common)
     out = told.drop("links").join(sums.withColumnRenamed("row", "own"), F.col("row") == F.col("own"), "left")
