@@ -2,9 +2,9 @@
 
 An index is a folder of parts and versions. A part holds shards of some ``SHARD`` chunks. A shard's
 chunks of one issuer are numbered by how many distinct tokens they have, and every token's list names
-them in that order, in blocks of ``BLOCK`` numbers: next to the list stands what a single occurrence
-in a block can be worth at most (the greatest tf over the root of distinct tokens) and the greatest
-root that divides it. Rows are sorted by issuer and token, so a search whose tokens are few reads
+them in that order, in blocks of ``BLOCK`` numbers. What a single occurrence in a block can be worth at
+most (the greatest tf over the root of distinct tokens), and the greatest root that divides it, are
+worked out where a shard is met: kept, they were more than the lists, and went where these go. Rows are sorted by issuer and token, so a search whose tokens are few reads
 their pages alone, and one of many joins them.
 
 A search meets a shard's lists in one task. The bounds of a question's tokens, added up by block, tell
@@ -40,10 +40,10 @@ from findery.scratch import remove_at_end, shared_dir, shuffle_partitions
 SHARD, SHARD_BYTES, BLOCK, FEW = 4096, 1 << 23, 64, 256
 PARTS, DEAD = 8, 0.3
 #: ``token`` is null in the row that names a shard's chunks of an issuer (``ords, chunk_ids, sizes``), and in tombstones (``gone``).
-ROW = "shard long, issuer string, token long, places array<int>, counts array<int>, blocks array<int>, most array<double>, roots array<double>, ords array<long>, chunk_ids array<string>, sizes array<int>, gone array<long>"
+ROW = "shard long, issuer string, token long, places array<int>, counts array<int>, ords array<long>, chunk_ids array<string>, sizes array<int>, gone array<long>"
 _SCHEMA = pa.schema(
-    [("shard", pa.int64()), ("issuer", pa.string()), ("token", pa.int64()), ("places", pa.list_(pa.int32())), ("counts", pa.list_(pa.int32())), ("blocks", pa.list_(pa.int32()))]
-    + [("most", pa.list_(pa.float64())), ("roots", pa.list_(pa.float64())), ("ords", pa.list_(pa.int64())), ("chunk_ids", pa.list_(pa.string())), ("sizes", pa.list_(pa.int32())), ("gone", pa.list_(pa.int64()))]
+    [("shard", pa.int64()), ("issuer", pa.string()), ("token", pa.int64()), ("places", pa.list_(pa.int32())), ("counts", pa.list_(pa.int32()))]
+    + [("ords", pa.list_(pa.int64())), ("chunk_ids", pa.list_(pa.string())), ("sizes", pa.list_(pa.int32())), ("gone", pa.list_(pa.int64()))]
 )
 
 
@@ -56,8 +56,8 @@ def _lists(values: np.ndarray, at: np.ndarray, kind: pa.DataType) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(values, kind))
 
 
-def _invert(shard: int, issuer: str, ords: list, ids: list, made: list, block: int) -> list[pa.RecordBatch]:
-    """Rows of a shard's chunks of one issuer; ``made``: (distinct tokens, counts) of each."""
+def _invert(shard: int, issuer: str, ords: list, ids: list, made: list, block: int = BLOCK) -> list[pa.RecordBatch]:
+    """Rows of a shard's chunks of one issuer; ``made``: (distinct tokens, counts) of each. What is kept is the same for every ``block``, the search's."""
     size = np.array([len(t) for t, _ in made])
     order = np.lexsort((np.array(ords), size))
     size, made = size[order], [made[i] for i in order]
@@ -65,20 +65,16 @@ def _invert(shard: int, issuer: str, ords: list, ids: list, made: list, block: i
     token, count = (np.concatenate([m[i] for m in made]) for i in (0, 1))
     o = np.argsort(token, kind="stable")
     token, count, place = token[o], count[o].astype(np.int64), place[o]
-    root = 1 / np.sqrt(size[place])
     lists = _starts(token)
-    of = np.repeat(np.arange(len(lists) - 1), np.diff(lists))
-    cell = _starts(of * (len(size) // block + 1) + place // block)[:-1]
-    blocks = np.searchsorted(cell, lists)
     n = len(lists) - 1
     none = lambda t: pa.nulls(n, t)
-    rows = [pa.array(np.full(n, shard)), pa.array([issuer] * n), pa.array(token[lists[:-1]].view(np.int64)), _lists(place, lists, pa.int32()), _lists(count, lists, pa.int32()), _lists(place[cell] // block, blocks, pa.int32())]
-    rows += [_lists(np.maximum.reduceat(count * root, cell), blocks, pa.float64()), _lists(np.maximum.reduceat(root, cell), blocks, pa.float64()), *(none(_SCHEMA.field(c).type) for c in ("ords", "chunk_ids", "sizes", "gone"))]
+    rows = [pa.array(np.full(n, shard)), pa.array([issuer] * n), pa.array(token[lists[:-1]].view(np.int64)), _lists(place, lists, pa.int32()), _lists(count, lists, pa.int32())]
+    rows += [none(_SCHEMA.field(c).type) for c in ("ords", "chunk_ids", "sizes", "gone")]
     head = {"shard": shard, "issuer": issuer, "ords": [ords[i] for i in order], "chunk_ids": [ids[i] for i in order], "sizes": size.tolist()}
     return [pa.RecordBatch.from_pylist([head], schema=_SCHEMA), pa.RecordBatch.from_arrays(rows, schema=_SCHEMA)]
 
 
-def _shards(first: int, block: int):
+def _shards(first: int):
     """A partition's chunks, sorted by issuer, are a shard of the partition's own number."""
 
     def run(batches):
@@ -88,7 +84,7 @@ def _shards(first: int, block: int):
                 shard = first + b["part"][0].as_py()
             for ord_, name, issuer, text in zip(*(b[c].to_pylist() for c in ("ord", "chunk_id", "issuer", "text")), strict=True):
                 if issuer != now and own[0]:
-                    yield from _invert(shard, now, *own, block)
+                    yield from _invert(shard, now, *own)
                     own = ([], [], [])
                 now = issuer
                 t, n = np.unique(token_codes(text), return_counts=True)
@@ -96,19 +92,19 @@ def _shards(first: int, block: int):
                     for x, v in zip(own, (ord_, name, (t, n)), strict=True):
                         x.append(v)
         if own[0]:
-            yield from _invert(shard, now, *own, block)
+            yield from _invert(shard, now, *own)
 
     return run
 
 
-def inverted(chunks: DataFrame, first: int = 0, shards: int | None = None, block: int = BLOCK) -> DataFrame:
+def inverted(chunks: DataFrame, first: int = 0, shards: int | None = None) -> DataFrame:
     """``ord, chunk_id, issuer, text`` -> rows of shards numbered from ``first`` on, sorted by issuer and token. One exchange of the texts."""
     own = chunks.select("ord", "chunk_id", "issuer", "text").filter("ord IS NOT NULL AND issuer IS NOT NULL")
     if shards is None:
         n, size = own.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
         shards = max(1, -(-n // SHARD), -(-size // SHARD_BYTES))
     dealt = own.repartitionByRange(shards, "issuer", F.xxhash64("ord"), "ord").sortWithinPartitions("issuer", "ord").withColumn("part", F.spark_partition_id())
-    return dealt.mapInArrow(_shards(first, block), ROW)
+    return dealt.mapInArrow(_shards(first), ROW)
 
 
 def _fs(spark: SparkSession, path: str):
@@ -176,7 +172,7 @@ def build(chunks: DataFrame, path: str | None = None, shards: int | None = None,
         path = f"{shared_dir(spark)}/findery/postings-{uuid.uuid4().hex}"
         remove_at_end(spark, path)
     part = f"parts/{uuid.uuid4().hex}"
-    rows = inverted(chunks, 0, shards, block)
+    rows = inverted(chunks, 0, shards)
     rows.write.parquet(f"{path}/{part}")
     made = spark.read.schema(ROW).parquet(f"{path}/{part}").agg(F.max("shard")).first()[0]
     return _commit(spark, path, 1, [part], 0 if made is None else made + 1, block)
@@ -189,7 +185,7 @@ def update(index: Index, changes: DataFrame, most_parts: int = PARTS, most_dead:
     left = index.alive().join(changes.select("ord").distinct(), "ord", "left_semi")
     stones = left.groupBy("shard", "issuer").agg(F.collect_set("ord").alias("gone"))
     part = f"parts/{uuid.uuid4().hex}"
-    fresh = inverted(changes.filter("NOT coalesce(gone, false)"), index.shards, shards, index.block)
+    fresh = inverted(changes.filter("NOT coalesce(gone, false)"), index.shards, shards)
     columns = [f.name for f in _SCHEMA]
     tombs = stones.select(*(F.col(c) if c in ("shard", "issuer", "gone") else F.lit(None).alias(c) for c in columns))
     tombs = tombs.select(*(F.col(c).cast(fresh.schema[c].dataType) for c in columns))
@@ -203,7 +199,7 @@ def update(index: Index, changes: DataFrame, most_parts: int = PARTS, most_dead:
     return _commit(spark, new.path, new.version, list(new.parts), new.shards, new.block)
 
 
-def _rewritten(block: int):
+def _rewritten():
     """Live chunks of the shards that a new one is made of: rows of a shard's chunks with their tokens -> rows of the shard."""
 
     def run(batches):
@@ -213,7 +209,7 @@ def _rewritten(block: int):
                 shard = b["part"][0].as_py()
             for ord_, name, issuer, pairs in zip(*(b[c].to_pylist() for c in ("ord", "chunk_id", "issuer", "pairs")), strict=True):
                 if issuer != now and own[0]:
-                    yield from _invert(shard, now, *own, block)
+                    yield from _invert(shard, now, *own)
                     own = ([], [], [])
                 now = issuer
                 t, n = np.array([p["token"] for p in pairs], np.int64).view(np.uint64), np.array([p["count"] for p in pairs], np.int64)
@@ -221,7 +217,7 @@ def _rewritten(block: int):
                 for x, v in zip(own, (ord_, name, (t[o], n[o])), strict=True):
                     x.append(v)
         if own[0]:
-            yield from _invert(shard, now, *own, block)
+            yield from _invert(shard, now, *own)
 
     return run
 
@@ -235,7 +231,7 @@ def compact(index: Index) -> Index:
     shards = max(1, -(-alive.count() // SHARD))
     dealt = whole.select("ord", "chunk_id", "issuer", "pairs").repartitionByRange(shards, "issuer", F.xxhash64("ord"), "ord").sortWithinPartitions("issuer", "ord").withColumn("part", F.spark_partition_id())
     part = f"parts/{uuid.uuid4().hex}"
-    dealt.mapInArrow(_rewritten(index.block), ROW).write.parquet(f"{index.path}/{part}")
+    dealt.mapInArrow(_rewritten(), ROW).write.parquet(f"{index.path}/{part}")
     made = spark.read.schema(ROW).parquet(f"{index.path}/{part}").agg(F.max("shard")).first()[0]
     return _commit(spark, index.path, index.version, [part], 0 if made is None else made + 1, index.block)
 
@@ -328,6 +324,14 @@ def shards_of(batches, block: int):
         yield from _shard(now, held, block)
 
 
+def _bounds(place: np.ndarray, count: np.ndarray, first: np.ndarray, size: np.ndarray, block: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(blocks that each list has, what an occurrence in each can be worth at most, the greatest root that divides it, where each list's blocks begin)."""
+    root = 1 / np.sqrt(size[place])
+    of = np.repeat(np.arange(len(first) - 1), np.diff(first))
+    cell = _starts(of * (len(size) // block + 1) + place // block)[:-1]
+    return place[cell] // block, np.maximum.reduceat(count * root, cell) if len(cell) else root, np.maximum.reduceat(root, cell) if len(cell) else root, np.searchsorted(cell, first)
+
+
 def _shard(key: tuple, held: list[pa.RecordBatch], block: int):
     rows = pa.Table.from_batches(held).combine_chunks()
     heads = rows.filter(rows["token"].is_null())
@@ -342,8 +346,9 @@ def _shard(key: tuple, held: list[pa.RecordBatch], block: int):
     # Lists come in the order of signed numbers, or in none; the search wants that of unsigned ones.
     o = np.argsort(token, kind="stable")
     lists = lists.take(pa.array(o))
+    place, count, first = flat("places").astype(np.int64), flat("counts").astype(np.float64), ends("places")
     yield key[1], np.array(ords), ids, Shard(
-        token[o], flat("places").astype(np.int64), flat("counts").astype(np.float64), ends("places"), flat("blocks").astype(np.int64), flat("most"), flat("roots"), ends("blocks"), np.array(size, np.float64), np.array([x not in gone for x in ords]), block
+        token[o], place, count, first, *_bounds(place, count, first, np.array(size, np.float64), block), np.array(size, np.float64), np.array([x not in gone for x in ords]), block
     )
 
 

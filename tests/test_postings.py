@@ -138,3 +138,21 @@ def test_empty_tables(spark):
     index = postings.update(nothing, changed(spark, [(1, "c1", "가", "서버 구축", False)]))
     assert [r[1] for r in found(None, spark.createDataFrame([(1, "서버", ["가"])], "question_id long, question string, issuers array<string>"), index=index)] == [1]
     assert found(None, asked(spark).limit(0), index=index) == []
+
+
+def test_lists_are_kept_and_sent_without_their_bounds(spark):
+    """Bounds are worked out where a shard is met: for each list and block the greatest worth and root of its entries."""
+    rng = np.random.default_rng(2)
+    size = np.sort(rng.integers(1, 50, 300)).astype(float)
+    lists = [np.sort(rng.choice(300, n, replace=False)) for n in (1, 7, 64, 300)]
+    count = rng.integers(1, 9, sum(map(len, lists))).astype(float)
+    first = np.r_[0, np.cumsum([len(x) for x in lists])]
+    block, most, root, begin = postings._bounds(np.concatenate(lists), count, first, size, 64)
+    want = []
+    for n, own in enumerate(lists):
+        c = count[first[n] : first[n + 1]]
+        want.append([(b, max(c[own // 64 == b] * (1 / np.sqrt(size[own[own // 64 == b]]))), max(1 / np.sqrt(size[own[own // 64 == b]]))) for b in sorted(set(own // 64))])
+    assert [list(zip(block[i:j], most[i:j], root[i:j], strict=True)) for i, j in zip(begin[:-1], begin[1:], strict=True)] == want
+    assert [len(x) for x in postings._bounds(np.zeros(0, int), np.zeros(0), np.zeros(1, int), np.zeros(0), 64)] == [0, 0, 0, 1]
+    chunks = spark.createDataFrame([(1, "c1", "가", "abc abd")], "ord long, chunk_id string, issuer string, text string")
+    assert {"most", "roots", "blocks"}.isdisjoint(postings.dealt(postings.build(chunks).rows()).columns)
