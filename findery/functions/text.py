@@ -85,6 +85,8 @@ def token_numbers(value: str | None) -> tuple[int, int]:
     return len(words) + len(two) + len(three), len(np.unique(two)) + len(np.unique(three)) + len({w for w in words if len(w) > 3})
 
 
+#: Hashes of words that came lately, kept by a worker: so many, of so many letters, some 15 MB at most whatever the texts are.
+KEPT_WORDS, KEPT_LETTERS = 1 << 16, 32
 _WORDS: dict[str, int] = {}
 
 
@@ -101,12 +103,14 @@ def token_codes(value: str | None) -> np.ndarray:
         if len(w) > 1:
             code = _WORDS.get(w)
             if code is None:
-                if len(_WORDS) >= 1 << 20:
-                    _WORDS.clear()
                 code = 0
                 for x in w if len(w) < 4 else "":
                     code = code << 21 | ord(x)
-                _WORDS[w] = code = code or int.from_bytes(hashlib.blake2b(w.encode(), digest_size=8).digest(), "little") | 1 << 63
+                code = code or int.from_bytes(hashlib.blake2b(w.encode(), digest_size=8).digest(), "little") | 1 << 63
+                if len(w) <= KEPT_LETTERS:
+                    if len(_WORDS) >= KEPT_WORDS:
+                        _WORDS.clear()
+                    _WORDS[w] = code
             words.append(code)
     return np.concatenate([two, three, np.array(words, np.uint64)])
 

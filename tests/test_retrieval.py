@@ -1,5 +1,6 @@
 """Searches, fusion, backfill and selection against plain Python over hand-made corpora."""
 
+import sys
 from collections import Counter
 from math import sqrt
 
@@ -8,6 +9,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from findery.functions import text as text_functions
 from findery.functions.text import token_codes, tokens_python
 from findery.operators import answers, fusion, retrieval
 from findery.plans import hybrid
@@ -89,6 +91,17 @@ def test_token_codes_are_the_tokens():
                 assert seen.setdefault(c, w) == w and codes[c] == words[w]
 
 
+def test_words_that_a_worker_keeps_are_bounded():
+    """However many and however long a corpus' words are, and with the same codes."""
+    first = token_codes("서버구축사업 abcdef " + "x" * 5000)
+    for i in range(20):
+        token_codes(" ".join(f"w{i}x{k}" for k in range(10_000)))
+    token_codes(" ".join("y" * 20_000 + str(k) for k in range(100)))
+    kept = text_functions._WORDS
+    assert sys.getsizeof(kept) + sum(map(sys.getsizeof, kept)) + sum(map(sys.getsizeof, kept.values())) < 15 << 20
+    assert token_codes("서버구축사업 abcdef " + "x" * 5000).tolist() == first.tolist()
+
+
 @pytest.mark.parametrize("kind", ["string", "int", "decimal(20,0)"])
 def test_question_ids_of_any_type(spark, corpus, monkeypatch, kind):
     asked = make_questions(spark, [(i, t or "x", ["가", "나"], 5, [1.0, float(i)]) for i, t in enumerate(TEXTS)])
