@@ -7,7 +7,8 @@ Defined results: a question without a visible character, or without an issuer, i
 would tell before sending it: it is searched for nothing and answered by its refusal, and the
 questions beside it are answered; one that nothing is found for has an answer that says so; a null or 0
 ``max_contexts`` means the default; a null text is empty, null metadata has no facts; a dense search
-that fails finds nothing (a warning and each answer's ``dense_error`` tell why), and the sparse one goes on alone; no questions give no rows; other columns are ignored.
+that fails finds nothing (a warning and each answer's ``dense_error`` tell why), and the sparse one goes on alone, or,
+asked not to (``alone``), the whole fails; no questions give no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -74,27 +75,30 @@ def _reason(e: Exception) -> str:
     return lines if len(lines) <= 600 else f"{lines[:200]} ... {lines[-400:]}"
 
 
-def dense_or_none(chunks: DataFrame, asked: DataFrame, k: int, cells: neighbours.Cells | None = None) -> tuple[DataFrame, str | None]:
-    """The dense results, written; an empty list, and what went wrong, where the search fails."""
+def dense_or_none(chunks: DataFrame, asked: DataFrame, k: int, cells: neighbours.Cells | None = None, alone: bool = True) -> tuple[DataFrame, str | None]:
+    """The dense results, written; where the search fails, an empty list and what went wrong, or, without ``alone``, the error itself."""
     try:
         return materialize(retrieval.dense_search(chunks, asked, k, cells), "dense", exchanged=True), None
     except (PySparkException, Py4JError) as e:
+        if not alone:
+            raise
         reason = _reason(e)
         warnings.warn(f"the dense search failed and is left out: {reason}", stacklevel=2)
         return materialize(retrieval.dense_search(chunks, asked.limit(0), k), "dense", exchanged=True), reason
 
 
-def retrieve(chunks: DataFrame, questions: DataFrame, dense_k: int = retrieval.DENSE_K, sparse_k: int = retrieval.SPARSE_K, index: DataFrame | postings.Index | None = None, cells: neighbours.Cells | None = None) -> Retrieved:
+def retrieve(chunks: DataFrame, questions: DataFrame, dense_k: int = retrieval.DENSE_K, sparse_k: int = retrieval.SPARSE_K, index: DataFrame | postings.Index | None = None, cells: neighbours.Cells | None = None, alone: bool = True) -> Retrieved:
     """Both searches, fused; documents of the first results filled in; fused again.
 
     The two result lists, k rows a question, and what is filled in are written once, as more than one
     step reads them. Questions that are refused (``judged``) are left out. ``index``:
     a version of ``postings`` or a written ``retrieval.sparse_index`` of the chunks, where there is one;
-    ``cells``: of ``neighbours``.
+    ``cells``: of ``neighbours``. ``alone``: whether the sparse search goes on alone where the dense one
+    fails, which ``dense_error`` then tells; callers whose rows have no place for that pass False, and fail.
     """
     asked = accepted(questions)
     facts = facts_of(chunks)
-    dense, dense_error = dense_or_none(chunks, asked, dense_k, cells)
+    dense, dense_error = dense_or_none(chunks, asked, dense_k, cells, alone)
     sparse = materialize(retrieval.sparse_search(chunks, asked, sparse_k, index), "sparse", exchanged=True)
     initial = fusion.rrf([dense, sparse])
     fills = materialize(fusion.backfill(initial, asked, facts), "fills", exchanged=True)

@@ -102,7 +102,7 @@ def hybrid_retrieve_indexed(spark: SparkSession, sf_dir: str) -> DataFrame:
     chunks = standins.chunks(spark, sf_dir)
     late = F.col("ord") % 2 == 1
     index = postings.update(postings.build(chunks.filter(~late)), chunks.filter(late).select("ord", "chunk_id", "issuer", "text", F.lit(False).alias("gone")))
-    found = hybrid.retrieve(chunks, standins.questions(spark, sf_dir), index=index, cells=neighbours.build(chunks))
+    found = hybrid.retrieve(chunks, standins.questions(spark, sf_dir), index=index, cells=neighbours.build(chunks), alone=False)
     return found.merged.select("question_id", "chunk_id", "rrf_score", "retrievers", "rrf_rank")
 
 
