@@ -184,27 +184,27 @@ def counts(found: Retrieved) -> DataFrame:
     return each.groupBy("question_id").agg(*(F.count_if(F.col("list") == n).alias(f"{name}_count") for n, name in enumerate(COUNTED)))
 
 
-def ask(chunks: DataFrame, questions: DataFrame, client: Callable | None = None, settings: Settings | None = None, index: DataFrame | postings.Index | None = None, cells: neighbours.Cells | None = None, ledger: str | None = None, notices: DataFrame | None = None, embedder: Callable | None = None) -> DataFrame:
+def ask(chunks: DataFrame, questions: DataFrame, client: Callable | None = None, settings: Settings | None = None, index: DataFrame | postings.Index | None = None, cells: neighbours.Cells | None = None, ledger: str | None = None, notices: DataFrame | None = None, embedder: Callable | None = None, alone: bool = True) -> DataFrame:
     """``question_id, answer, issuers, question_type, route, contexts, lookups``, the counts of every step, ``generator_error``, ``dense_error``, ``status`` (answered or refused) and ``refusal``.
 
     Without a ``client``, as where it fails, answers are made of the contexts themselves. ``ledger``:
     a folder in which what the client says is kept (``answers.generate``). ``index, cells, notices``: of
     ``postings``, ``neighbours`` and ``notice_rows``, kept beside the chunks. ``embedder``: makes the
     questions' vectors (``answers.embed``), in place of those they come with; where it fails, so does
-    the dense search.
+    the dense search. ``alone``: as of ``retrieve``.
     """
     limits = settings or Settings.of(chunks.sparkSession)
     asked = judged(questions).withColumn("max_contexts", F.coalesce(F.nullif("max_contexts", F.lit(0)), F.lit(limits.max_contexts)))
     good = asked.filter("refusal IS NULL").drop("refusal")
-    told = _answers(chunks, answers.embed(good, embedder) if embedder else good, client, limits, index, cells, ledger, notices).withColumns({"status": F.lit("answered"), "refusal": F.lit(None).cast("string")})
+    told = _answers(chunks, answers.embed(good, embedder) if embedder else good, client, limits, index, cells, ledger, notices, alone).withColumns({"status": F.lit("answered"), "refusal": F.lit(None).cast("string")})
     known = {"question_id": F.col("question_id"), "issuers": F.coalesce(filters.cleaned(F.col("issuers")), F.array().cast("array<string>")), "route": F.array(F.lit("refused")), "answer": F.col("refusal"), "status": F.lit("refused"), "refusal": F.col("refusal")}
     zero = lambda f: F.lit(0 if f.name.endswith("_count") else None)
     refused = asked.filter("refusal IS NOT NULL").select(*(known.get(f.name, zero(f)).cast(f.dataType).alias(f.name) for f in told.schema))
     return told.unionByName(refused)
 
 
-def _answers(chunks: DataFrame, asked: DataFrame, client: Callable | None, limits: Settings, index, cells, ledger: str | None, notices: DataFrame | None) -> DataFrame:
-    found = retrieve(chunks, asked, limits.dense_k, limits.sparse_k, index, cells)
+def _answers(chunks: DataFrame, asked: DataFrame, client: Callable | None, limits: Settings, index, cells, ledger: str | None, notices: DataFrame | None, alone: bool) -> DataFrame:
+    found = retrieve(chunks, asked, limits.dense_k, limits.sparse_k, index, cells, alone)
     ranked, picked = select(chunks, found)
     rows = materialize(with_texts(picked, chunks), "selected")
     hints = materialize(lookups(chunks, found, ranked, rows, notices), "lookups", exchanged=True)

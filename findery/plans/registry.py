@@ -107,8 +107,9 @@ def hybrid_retrieve_indexed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _found(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, hybrid.Retrieved]:
+    """Where a search fails, so does the query: its rows can't tell."""
     chunks = standins.chunks(spark, sf_dir)
-    return chunks, hybrid.retrieve(chunks, standins.questions(spark, sf_dir))
+    return chunks, hybrid.retrieve(chunks, standins.questions(spark, sf_dir), alone=False)
 
 
 def rrf_two_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -156,7 +157,7 @@ def notice_lookups(spark: SparkSession, sf_dir: str, notices: DataFrame | None =
     """Lookup hints of budget questions to one issuer each, with short result lists."""
     chunks, asked = standins.chunks(spark, sf_dir), standins.questions(spark, sf_dir)
     asked = asked.withColumn("question", F.concat(F.lit("예산 "), "question")).withColumn("issuers", F.slice("issuers", 1, 1))
-    found = hybrid.retrieve(chunks, asked, 5, 5)
+    found = hybrid.retrieve(chunks, asked, 5, 5, alone=False)
     ranked, picked = hybrid.select(chunks, found)
     return hybrid.lookups(chunks, found, ranked, picked, notices).select("question_id", "n", "notice_number", "issuer", "project_name", "source_file")
 
@@ -176,7 +177,7 @@ def fallback_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def ask(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = hybrid.ask(standins.chunks(spark, sf_dir), standins.questions(spark, sf_dir))
+    rows = hybrid.ask(standins.chunks(spark, sf_dir), standins.questions(spark, sf_dir), alone=False)
     return rows.select(
         "question_id", "question_type", F.array_join("route", ",").alias("route"), F.md5("answer").alias("answer_md5"),
         "dense_count", "sparse_count", "backfill_count", "merged_count", "selected_count", F.col("lookup_count").cast("long").alias("lookup_count"),
