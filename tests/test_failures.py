@@ -8,7 +8,7 @@ from findery.plans import registry
 SMALL = "/root/testdata/sf0.001"
 
 
-@pytest.mark.parametrize("name", ["hybrid_retrieve_indexed", "rrf_two_lists", "notice_lookups", "ask"])
+@pytest.mark.parametrize("name", ["hybrid_retrieve_indexed", "rrf_two_lists", "seed_documents", "notice_lookups", "ask"])
 def test_a_failing_dense_search_is_no_result(spark, monkeypatch, name):
     def failing(*_):
         def run(batches):
